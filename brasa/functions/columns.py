@@ -8,7 +8,6 @@ Null rules (pandas semantics reproduced on Spark):
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 from itertools import chain
 
@@ -36,11 +35,9 @@ def cut(c, bins: Sequence[float], labels: Sequence[str], right: bool = False) ->
     expr = None
     for lo, hi, lab in zip(bins[:-1], bins[1:], labels):
         if right:
-            cond = (c > F.lit(lo)) if math.isfinite(lo) else F.lit(True)
-            cond = cond & ((c <= F.lit(hi)) if math.isfinite(hi) else F.lit(True))
+            cond = (c > F.lit(float(lo))) & (c <= F.lit(float(hi)))
         else:
-            cond = (c >= F.lit(lo)) if math.isfinite(lo) else F.lit(True)
-            cond = cond & ((c < F.lit(hi)) if math.isfinite(hi) else F.lit(True))
+            cond = (c >= F.lit(float(lo))) & (c < F.lit(float(hi)))
         expr = F.when(cond, F.lit(lab)) if expr is None else expr.when(cond, F.lit(lab))
     # NaN never falls in a bin
     return F.when(c.isNotNull() & ~F.isnan(c), expr)
