@@ -19,6 +19,7 @@ from brasa.operators.schema import key_overlap, union_with_lineage
 from brasa.plans import oracle_shared as OS
 from brasa.plans.oracle_views import add_view, with_views
 from brasa.plans.pipelines import feature_engineering, postprocessing
+from brasa.session import cut_lineage
 from brasa.sources import derived as D
 
 SPARK: dict = {}
@@ -55,16 +56,22 @@ def dispatches(spark, d):
     return D.dispatches(spark, d)
 
 
+# Stage outputs are cut with a reliable checkpoint (shared spark.checkpoint.dir):
+# each stage is planned once and survives executor loss without replaying
+# the whole lineage.
 def features_table(spark, d) -> DataFrame:
-    return feature_engineering(D.fires(spark, d), topo=D.topo(spark, d), weather=D.weather(spark, d))
+    return cut_lineage(feature_engineering(D.fires(spark, d), topo=D.topo(spark, d), weather=D.weather(spark, d)))
 
 
 def post_table(spark, d) -> tuple[DataFrame, DataFrame]:
-    return postprocessing(features_table(spark, d))
+    out, mapping = postprocessing(features_table(spark, d))
+    out = cut_lineage(out)
+    from brasa.operators.reduce import learn_groupwise_mapping
+    return out, learn_groupwise_mapping(out)
 
 
 def based_table(spark, d) -> DataFrame:
-    return M.add_base_model_predictions(post_table(spark, d)[0])
+    return cut_lineage(M.add_base_model_predictions(post_table(spark, d)[0]))
 
 
 # ================================================================ A1 / J1 / W4
