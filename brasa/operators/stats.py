@@ -27,12 +27,29 @@ SKETCH_ACCURACY = 100_000
 
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                     probs: Sequence[float], names: Sequence[str] | None = None,
-                    accuracy: int = SKETCH_ACCURACY, small_group_rows: int = SMALL_GROUP_ROWS) -> DataFrame:
+                    accuracy: int = SKETCH_ACCURACY, small_group_rows: int = SMALL_GROUP_ROWS,
+                    method: str = "auto") -> DataFrame:
     """One row per group: ``group_cols + names + ['n']``.
 
     Linear interpolation between order statistics at ``p * (n - 1)`` (the
     numpy / ``quantile_cont`` definition).  NULL and NaN values are skipped.
+
+    ``method``: ``"window"`` always uses the skew-safe sketch-window plan;
+    ``"auto"`` first measures the largest group (one count aggregate) and, when
+    every group holds at most ``small_group_rows`` values, uses Spark's exact
+    ``percentile`` (one partial/final aggregate whose per-group buffer is then
+    bounded); larger groups take the sketch-window plan.
     """
+    if method == "auto":
+        v = F.col(value_col).cast("double")
+        valid = df.where(v.isNotNull() & ~F.isnan(v))
+        sizes = valid.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
+        biggest = sizes.agg(F.max("_n")).first()[0] or 0
+        if biggest <= small_group_rows:
+            names = list(names or [f"q{i}" for i in range(len(probs))])
+            pct = F.percentile(v, F.array(*[F.lit(float(p)) for p in probs]))
+            out = valid.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n"), pct.alias("_q"))
+            return out.select(*group_cols, *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)], "n")
     g = list(group_cols)
     ungrouped = not g
     if ungrouped:  # one global group: a constant key, its one-row tables broadcast
@@ -85,9 +102,9 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     return out.drop("_all") if ungrouped else out
 
 
-def exact_quantile_value(df: DataFrame, value_col: str, prob: float) -> float | None:
+def exact_quantile_value(df: DataFrame, value_col: str, prob: float, **kw) -> float | None:
     """Scalar exact quantile (one small action)."""
-    r = exact_quantiles(df, [], value_col, [prob], ["q"]).collect()
+    r = exact_quantiles(df, [], value_col, [prob], ["q"], **kw).collect()
     return r[0]["q"] if r else None
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from brasa.functions.lookups import FEATURE_COLUMNS, FUEL_CODE_LABELS, ZONE_FACTORS
 from brasa.operators import clean, features as X, geo, match, reduce as R
+from brasa.session import cut_lineage
 
 DEFAULT_THRESHOLDS = {"dt_minutes": {"lower": 10, "upper": 30}, "initial_radius_m": {"lower": 2, "upper": 100}}
 
@@ -38,8 +39,13 @@ def preprocessing(fires: DataFrame, dispatches: DataFrame, *, dispatch_order: Se
 def feature_engineering(df: DataFrame, *, topo: DataFrame | None, weather: DataFrame | None = None,
                         polygons: DataFrame | None = None, zone_threshold: int = 5,
                         fuel_cells: DataFrame | None = None, fuel_meta=None, skip_target: bool = False,
-                        include: Sequence[str] = FEATURE_COLUMNS) -> DataFrame:
-    """Zones -> split zones -> hour -> topography -> day/season -> fuel -> weather -> target."""
+                        include: Sequence[str] = FEATURE_COLUMNS, checkpoint: bool = True) -> DataFrame:
+    """Zones -> split zones -> hour -> topography -> day/season -> fuel -> weather -> target.
+
+    With a target, the table is cut (reliable checkpoint) right before the
+    outlier trim, so the trim's quantile scans materialised rows instead of
+    replaying the joins, and the stage is planned once.
+    """
     out = df
     if polygons is not None:
         out = geo.add_zones(out, polygons, zone_threshold=zone_threshold)
@@ -58,8 +64,10 @@ def feature_engineering(df: DataFrame, *, topo: DataFrame | None, weather: DataF
         out = X.merge_weather(out, weather)
         out = X.add_weather_features(out)
     if not skip_target:
-        out = X.add_elapsed_minutes(out)
-        out = X.add_surface(out)
+        out = X.add_surface_radius(X.add_elapsed_minutes(out))
+        if checkpoint:
+            out = cut_lineage(out)
+        out = X.trim_upper_outliers(out, "initial_surface_m2", 0.99)
         out = X.add_propagation_speed(out)
     return X.select_columns(out, include=include)
 

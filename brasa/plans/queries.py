@@ -60,7 +60,7 @@ def dispatches(spark, d):
 # each stage is planned once and survives executor loss without replaying
 # the whole lineage.
 def features_table(spark, d) -> DataFrame:
-    return cut_lineage(feature_engineering(D.fires(spark, d), topo=D.topo(spark, d), weather=D.weather(spark, d)))
+    return feature_engineering(D.fires(spark, d), topo=D.topo(spark, d), weather=D.weather(spark, d))
 
 
 def post_table(spark, d) -> tuple[DataFrame, DataFrame]:
@@ -850,10 +850,20 @@ ORACLE["residual_diagnostics"] = _head + ",\nlg AS" + _tail
 # ================================================================ M1-M6 (rows-only: learner is not SQL)
 @query("zone_gbt_predictions")
 def q_zone_gbt_predictions(spark, d, n_trials: int = 1, max_iter: int = 20):
+    """M1-M4 + A8 + J12: per-zone GBT (evaluation and final models) with residual intervals.
+
+    Rows-only check (the learner is not SQL).  The registered run uses a small
+    tuning budget; the library default is 50 trials.
+    """
     post, _ = post_table(spark, d)
     models = M.train_zone_models(post, n_trials=n_trials, max_iter=max_iter)
-    scored = M.add_zone_predictions(post, models, prediction_col="prediction_circular_speed_mm")
-    return scored.select("fire_id", "zone_WE", "zone_NS", "split3", "prediction_circular_speed_mm")
+    out = M.add_zone_predictions(post, models, prediction_col="prediction_xgb0", which=0)
+    out = M.add_zone_predictions(out, models, prediction_col="prediction_circular_speed_mm", which=1)
+    out = M.add_prediction_interval(out, M.zone_intervals(post, models, 0), lo_col="lo_xgb0", hi_col="hi_xgb0")
+    out = M.add_prediction_interval(out, M.zone_intervals(post, models, 1), lo_col="lo_circular_speed_mm",
+                                    hi_col="hi_circular_speed_mm")
+    return out.select("fire_id", "zone_WE", "zone_NS", "split3", "prediction_xgb0", "lo_xgb0", "hi_xgb0",
+                      "prediction_circular_speed_mm", "lo_circular_speed_mm", "hi_circular_speed_mm")
 
 
 @lru_cache(maxsize=1)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -58,7 +59,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint into the shared checkpoint folder (never local)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def cut_lineage(df):
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder and
+    continue from it.
+
+    One columnar write (``Dataset.checkpoint`` would compute the plan twice
+    and store Java-serialised rows); the table lives on the shared storage the
+    cluster names in ``spark.checkpoint.dir``, so it survives executor loss,
+    and the new plan starts at a plain scan.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/brasa-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

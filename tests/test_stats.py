@@ -17,7 +17,7 @@ def _data(spark, n=3000, seed=0):
 def test_exact_quantiles_match_numpy(spark):
     pdf, df = _data(spark)
     probs = [0.0, 0.05, 0.1, 0.5, 0.9, 0.95, 1.0]
-    for kw in ({}, {"small_group_rows": 5, "accuracy": 500}):
+    for kw in ({}, {"method": "window"}, {"small_group_rows": 5, "accuracy": 500}):
         out = exact_quantiles(df, ["g"], "v", probs, **kw).toPandas()
         for _, row in out.iterrows():
             x = pdf[pdf.g == row.g].v.dropna().to_numpy()
