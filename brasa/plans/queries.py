@@ -866,6 +866,64 @@ def q_zone_gbt_predictions(spark, d, n_trials: int = 1, max_iter: int = 20):
                       "prediction_circular_speed_mm", "lo_circular_speed_mm", "hi_circular_speed_mm")
 
 
+# ================================================================ P1 preprocessing pipeline
+def _p1(spark, d):
+    from brasa.plans.pipelines import preprocessing
+    return preprocessing(fires(spark, d), dispatches(spark, d), dispatch_order=DISPATCH_ORDER,
+                         v1_sources=["despachos_a"], v2_sources=["despachos_b"])
+
+
+add_view("p1_disp", r"""
+SELECT * REPLACE (
+  CASE WHEN file_source = 'despachos_a' THEN
+         regexp_replace(regexp_replace(regexp_replace(glosa, '^H(\d+)\b', 'BHA\1'), '^A(\d+)\b', 'AA\1'), '^B(\d+)\b.*', 'BA\1')
+       WHEN file_source = 'despachos_b' THEN
+         regexp_replace(regexp_replace(regexp_replace(glosa, '^(BHA-(\d+)).*$', 'BHA\2'), '^(AA\d+).*$', '\1'), '^(BA\d+).*$', '\1')
+       ELSE glosa END AS glosa)
+FROM std_dispatches
+WHERE fire_id IN (SELECT fire_id FROM fires WHERE length(CAST(fire_id AS VARCHAR)) = 9)
+""", ["std_dispatches", "fires"])
+
+add_view("p1_fires", """
+SELECT f.fire_id, f.season, z.zone, f.start_datetime, f.arrival_datetime_inc, f.control_datetime,
+  CASE f.target_zone WHEN 'UNIDAD BASICA' THEN 'BASICA' WHEN 'ZONA INTERFAZ' THEN 'INTERFAZ' WHEN 'CONFLICTO' THEN 'CONFLICTO'
+       WHEN 'VALDIVIA' THEN 'VALDIVIA' WHEN 'NOCTURNO' THEN 'NOCTURNO' END AS target_zone
+FROM fires f
+LEFT JOIN (SELECT fire_id, zone FROM (
+    SELECT fire_id, zone, row_number() OVER (PARTITION BY fire_id ORDER BY seq_ship, seq_part, seq_supp, seq_qty) AS rn
+    FROM p1_disp WHERE zone IS NOT NULL) a WHERE rn = 1) z USING (fire_id)
+WHERE length(CAST(f.fire_id AS VARCHAR)) = 9 AND f.fire_id IN (SELECT fire_id FROM p1_disp)
+  AND f.target_zone IN ('UNIDAD BASICA', 'ZONA INTERFAZ', 'CONFLICTO', 'VALDIVIA', 'NOCTURNO')
+""", ["p1_disp"])
+
+
+@query("preprocess_fires", "SELECT fire_id, season, zone, target_zone FROM p1_fires", ["p1_fires"])
+def q_preprocess_fires(spark, d):
+    return _p1(spark, d)[0].select("fire_id", "season", "zone", "target_zone")
+
+
+@query("preprocess_dispatches", """
+WITH arr AS (SELECT fire_id, min(hr_arribo) AS arr0 FROM p1_disp GROUP BY fire_id),
+flag AS (SELECT f.fire_id FROM p1_fires f JOIN arr a USING (fire_id)
+         WHERE round_even(CAST(date_diff('microsecond', a.arr0, f.arrival_datetime_inc) AS DOUBLE) / 60000000.0::DOUBLE, 0) = 60)
+SELECT d.fire_id, d.dispatch_id, d.zone, d.glosa,
+  CASE WHEN g.fire_id IS NOT NULL THEN d.hr_arribo + to_minutes(60) ELSE d.hr_arribo END AS hr_arribo,
+  CASE WHEN g.fire_id IS NOT NULL THEN coalesce(try_strptime(trim(d.hr_control), '%Y-%m-%d %H:%M:%S'),
+       try_strptime(trim(d.hr_control), '%Y-%m-%d %H:%M')) + to_minutes(60)
+       ELSE coalesce(try_strptime(trim(d.hr_control), '%Y-%m-%d %H:%M:%S'), try_strptime(trim(d.hr_control), '%Y-%m-%d %H:%M')) END AS hr_control,
+  f.start_datetime, f.arrival_datetime_inc, f.season
+FROM p1_disp d LEFT JOIN p1_fires f USING (fire_id) LEFT JOIN (SELECT DISTINCT fire_id FROM flag) g USING (fire_id)
+""", ["p1_fires"])
+def q_preprocess_dispatches(spark, d):
+    return _p1(spark, d)[1].select("fire_id", "dispatch_id", "zone", "glosa", "hr_arribo", "hr_control",
+                                   "start_datetime", "arrival_datetime_inc", "season")
+
+
+_pd = ORACLE["preprocess_dispatches"]
+_h, _, _t = _pd.partition("\nWITH arr AS")
+ORACLE["preprocess_dispatches"] = _h + ",\narr AS" + _t
+
+
 @lru_cache(maxsize=1)
 def names() -> tuple[str, ...]:
     return tuple(SPARK)
