@@ -866,6 +866,16 @@ def q_zone_gbt_predictions(spark, d, n_trials: int = 1, max_iter: int = 20):
                       "prediction_circular_speed_mm", "lo_circular_speed_mm", "hi_circular_speed_mm")
 
 
+@query("prediction_contributions")
+def q_prediction_contributions(spark, d, n_trials: int = 1, max_iter: int = 10):
+    """M5: per-feature contributions of each zone's final model (rows-only)."""
+    from brasa.functions.lookups import COVARIATES
+    from brasa.operators.explain import add_contributions
+    post, _ = post_table(spark, d)
+    models = M.train_zone_models(post, n_trials=n_trials, max_iter=max_iter)
+    return add_contributions(post, models, COVARIATES)
+
+
 # ================================================================ P1 preprocessing pipeline
 def _p1(spark, d):
     from brasa.plans.pipelines import preprocessing
