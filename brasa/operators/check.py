@@ -31,7 +31,8 @@ def diff(actual: DataFrame, expected: DataFrame, key: Sequence[str], numeric_col
     bad = F.filter(F.array(*diffs), lambda v: v.isNotNull()) if diffs else F.array()
     side = (F.when(F.col("_a").isNull(), "missing_actual").when(F.col("_e").isNull(), "missing_expected")
               .otherwise("value"))
-    out = j.select(*key, side.alias("_side"), bad.alias("_columns"))
+    cols = F.when(side == "value", bad).otherwise(F.array().cast("array<string>"))
+    out = j.select(*key, side.alias("_side"), cols.alias("_columns"))
     return out.where((F.col("_side") != "value") | (F.size("_columns") > 0))
 
 
