@@ -198,7 +198,7 @@ def polygons(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
         F.array(pt(x_w, y_s), pt(x_e, y_s), pt(x_e + tilt, y_n), pt(x_w + tilt, y_n)).alias("ring"),
     )
     tri = spark.range(1).select(
-        F.lit("Valle 2").alias("area"),
+        F.concat(F.lit("Valle "), (F.col("id") + 2).cast("string")).alias("area"),   # "Valle 2"
         F.array(pt(F.lit(-73.9), F.lit(-39.9)), pt(F.lit(-72.3), F.lit(-39.5)),
                 pt(F.lit(-73.2), F.lit(-38.1))).alias("ring"),
     )
