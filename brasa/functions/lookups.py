@@ -117,3 +117,41 @@ FEATURE_COLUMNS = (
 # Scoring input columns.
 SCORING_INPUT = ["fire_id", "longitude", "latitude", "start_datetime",
                  "temperature", "wind_speed_kmh", "relative_humidity"]
+
+# ---- FIXED VALUES: incident report columns kept, raw name -> canonical name (26) ----
+FIRE_COLUMN_NAMES = {
+    "ID_FOCO_INCENDIO": "fire_id",
+    "LATITUD": "latitude",
+    "LONGITUD": "longitude",
+    "REGION": "region",
+    "PROVINCIA": "province",
+    "COMUNA": "commune",
+    "PREDIO": "property",
+    "TEMPORADA": "season",
+    "DIA_INICIO": "start_day",
+    "HORA_INICIO": "start_time",
+    "INICIO": "start_datetime",
+    "ARRIBO": "arrival_datetime_inc",
+    "CONTROL": "control_datetime",
+    "EXTINCION": "extinction_datetime",
+    "ZONA_META": "target_zone",
+    "COMBUSTIBLE_INICIAL": "initial_fuel",
+    "PIRA": "pyre",
+    "EUCA": "euca",
+    "OTRAS": "other_fuels",
+    "GRUPO_CAUSAL": "causal_group",
+    "CAUSA": "cause",
+    "SUP_INICIAL": "initial_surface_ha",
+    "SUP": "final_surface_ha",
+    "CLASE": "class",
+    "GASTO_COMBATE_UF": "combat_cost_per_unit",
+    "ARCHIVO": "file_source",
+}
+
+# ---- FIXED VALUES: dispatch columns renamed before lower-casing the rest ----
+DISPATCH_COLUMN_NAMES = {"ID_FOCO_INCENDIO": "fire_id", "ZONA": "zone", "ARCHIVO": "file_source"}
+
+COVARIATE_META = {
+    "factors": ZONE_FACTORS, "covariates": COVARIATES, "covariates_categorical": COVARIATES_CATEGORICAL,
+    "pi_covariates": PI_COVARIATES, "target": TARGET,
+}

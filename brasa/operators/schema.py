@@ -149,3 +149,21 @@ class DtypeSchema:
                 exprs.append(F.col(c).try_cast(T._parse_datatype_string(e["dtype"])).alias(c))
         extras = [] if drop_extras else [F.col(c) for c in df.columns if c not in set(cols)]
         return df.select(*exprs, *extras)
+
+
+# ---- C2 / C3 -------------------------------------------------------------------
+def rename_fire_columns(df: DataFrame, names: Mapping[str, str] | None = None) -> DataFrame:
+    """Keep the incident report's canonical columns (in that order) under English names."""
+    from brasa.functions.lookups import FIRE_COLUMN_NAMES
+    names = dict(names or FIRE_COLUMN_NAMES)
+    missing = [c for c in names if c not in df.columns]
+    if missing:
+        raise KeyError(f"Columns not found in df: {missing}")
+    return df.select(*[F.col(src).alias(dst) for src, dst in names.items()])
+
+
+def rename_dispatch_columns(df: DataFrame, names: Mapping[str, str] | None = None) -> DataFrame:
+    """Rename the key columns, lower-case every other name."""
+    from brasa.functions.lookups import DISPATCH_COLUMN_NAMES
+    names = dict(names or DISPATCH_COLUMN_NAMES)
+    return df.toDF(*[names[c] if c in names else c.lower() for c in df.columns])

@@ -11,20 +11,24 @@ from pyspark.sql import functions as F
 
 from brasa.functions.lookups import FEATURE_COLUMNS, FUEL_CODE_LABELS, ZONE_FACTORS
 from brasa.operators import clean, features as X, geo, match, reduce as R
+from brasa.operators.schema import rename_dispatch_columns, rename_fire_columns
 from brasa.session import cut_lineage
 
 DEFAULT_THRESHOLDS = {"dt_minutes": {"lower": 10, "upper": 30}, "initial_radius_m": {"lower": 2, "upper": 100}}
 
 
 def preprocessing(fires: DataFrame, dispatches: DataFrame, *, dispatch_order: Sequence[str],
-                  v1_sources: Sequence[str] = (), v2_sources: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+                  v1_sources: Sequence[str] = (), v2_sources: Sequence[str] = (),
+                  already_standard: bool = False) -> tuple[DataFrame, DataFrame]:
     """P1 on canonical (English) column names: standardise, match, zone, recode,
     normalise surfaces, coerce times, merge and repair clocks.
     Returns ``(fires, dispatches)``."""
-    d = clean.standardize_dispatches(
-        dispatches, report_type_col="report_type", std_id_col="fire_dispatch_id", dispatch_id_col="dispatch_id",
-        fire_id_col="fire_id", zone_col="zone", order_cols=dispatch_order)
-    d = clean.standardize_teams(d, "glosa", "file_source", v1_sources, v2_sources)
+    d = dispatches
+    if not already_standard:
+        d = clean.standardize_dispatches(
+            d, report_type_col="report_type", std_id_col="fire_dispatch_id", dispatch_id_col="dispatch_id",
+            fire_id_col="fire_id", zone_col="zone", order_cols=dispatch_order)
+        d = clean.standardize_teams(d, "glosa", "file_source", v1_sources, v2_sources)
     f = clean.filter_id_length(fires, "fire_id", 9)
     f, d = match.match_fires_and_dispatches(f, d, "fire_id")
     f = match.zone_from_dispatch(f, d, "zone", "fire_id", dispatch_order)
@@ -36,6 +40,37 @@ def preprocessing(fires: DataFrame, dispatches: DataFrame, *, dispatch_order: Se
     return f, d
 
 
+def preprocessing_raw(fires: DataFrame, dispatches: DataFrame, *, v1_sources: Sequence[str],
+                      v2_sources: Sequence[str], dispatch_order: Sequence[str] = ("ROW_SEQ",)
+                      ) -> tuple[DataFrame, DataFrame]:
+    """P1 from the raw report tables (normalised upper-case headers, ``ARCHIVO`` lineage):
+    parse start time, standardise ids, filter/dedup dispatches, rewrite team codes,
+    rename to canonical names, then the canonical P1 core.
+
+    ``dispatch_order``: the columns giving the reports' row order for keep-first
+    (the scan sequence ``ROW_SEQ`` added by ``load_csv``).
+
+    The loaded report tables are materialised first (parquet in the shared
+    checkpoint folder): CSV parsing happens once, and the all-empty-row filter
+    — one predicate over every column — stays below the cut, so the 26
+    renames that follow do not multiply the optimizer's inferred constraints.
+    """
+    fires, dispatches = cut_lineage(fires), cut_lineage(dispatches)
+    f = clean.add_date_time_columns(fires, "INICIO")
+    f = clean.standardize_fire_ids(f)
+    d = clean.standardize_dispatches(dispatches, order_cols=list(dispatch_order))
+    d = clean.standardize_teams(d, "GLOSA", "ARCHIVO", v1_sources, v2_sources)
+    d = (d.withColumn("ID_DESPACHO", F.col("ID_DESPACHO").try_cast("bigint"))
+          .withColumn("ID_FOCO_INCENDIO", F.col("ID_FOCO_INCENDIO").try_cast("bigint")))
+    f = f.withColumn("ID_FOCO_INCENDIO", F.col("ID_FOCO_INCENDIO").try_cast("bigint"))
+    f = rename_fire_columns(f)
+    d = rename_dispatch_columns(d)
+    for c in ("arrival_datetime_inc", "control_datetime", "extinction_datetime"):
+        f = f.withColumn(c, clean.parse_datetime(c))
+    order = [c.lower() for c in dispatch_order]
+    return preprocessing(f, d, dispatch_order=order, already_standard=True)
+
+
 def feature_engineering(df: DataFrame, *, topo: DataFrame | None, weather: DataFrame | None = None,
                         polygons: DataFrame | None = None, zone_threshold: int = 5,
                         fuel_cells: DataFrame | None = None, fuel_meta=None, skip_target: bool = False,
@@ -105,3 +140,50 @@ def scoring(df: DataFrame, *, models: dict, intervals: DataFrame, mapping: DataF
                                     "lo_circular_speed_mm", "hi_circular_speed_mm")
     return X.add_elliptical_speed(out, ratio=ratio)
 
+
+
+def training_run(fires: DataFrame, dispatches: DataFrame, *, topo: DataFrame, weather: DataFrame | None,
+                 polygons: DataFrame | None, run_dir: str, dispatch_order: Sequence[str],
+                 v1_sources: Sequence[str] = (), v2_sources: Sequence[str] = (), alpha: float = 0.1,
+                 ratio: float = 3.0, n_trials: int = 50, max_iter: int = 200) -> dict:
+    """P1 -> P2 -> P3 -> per-zone models -> elliptical speeds -> base model ->
+    long form -> diagnostics -> artifacts + metrics.  Returns the artifact paths
+    and the six headline MAEs."""
+    from brasa.functions.lookups import COVARIATES, COVARIATE_META
+    from brasa.operators import diagnostics as DG, model as M
+    from brasa.sources.artifacts import save_artifacts
+    f, _ = preprocessing(fires, dispatches, dispatch_order=dispatch_order, v1_sources=v1_sources,
+                         v2_sources=v2_sources)
+    counts = {"df_rows_after_preprocessing": f.count()}
+    feats = feature_engineering(f, topo=topo, weather=weather, polygons=polygons)
+    counts["df_rows_after_features"] = feats.count()
+    post, mapping = postprocessing(feats)
+    post = cut_lineage(post)
+    counts["df_rows_after_postprocessing"] = post.count()
+    models = M.train_zone_models(post, n_trials=n_trials, max_iter=max_iter)
+    out = M.add_zone_predictions(post, models, prediction_col="prediction_xgb0", which=0)
+    out = M.add_zone_predictions(out, models, prediction_col="prediction_circular_speed_mm", which=1)
+    out = M.add_prediction_interval(out, M.zone_intervals(post, models, 0, alpha=alpha), lo_col="lo_xgb0", hi_col="hi_xgb0")
+    iv = M.zone_intervals(post, models, 1, alpha=alpha)
+    out = M.add_prediction_interval(out, iv, lo_col="lo_circular_speed_mm", hi_col="hi_circular_speed_mm")
+    out = X.add_elliptical_speed(out, ratio=ratio)
+    out = cut_lineage(M.add_base_model_predictions(out, alpha=alpha))
+    diag = DG.residual_diagnostics(DG.to_long(out), ["model", "split2"], "propagation_speed_mm", "prediction")
+    maes = {f"MAE_{r['model']}_{'train' if r['split2'] == 'train+valid' else 'test'}": r["MAE"]
+            for r in diag.collect()}                      # one row per (model, split): 6 rows
+    meta = dict(COVARIATE_META, alpha=alpha, ratio=ratio)
+    metrics = out.sparkSession.createDataFrame([(k, float(v)) for k, v in {**counts, **maes}.items() if v is not None],
+                                               "key string, value double")
+    paths = save_artifacts(run_dir, df=out, models=models, intervals=iv, mapping=mapping, covariates=COVARIATES,
+                           meta=meta, metrics=metrics, outputs={"diagnostics.parquet": diag})
+    return {"paths": paths, "metrics": {**counts, **maes}}
+
+
+def assert_matches_file(actual: DataFrame, path: str, key: Sequence[str], schema=None, sep: str = ";",
+                        numeric_cols: Sequence[str] = (), exclude: Sequence[str] = (), tol: float = 1e-6) -> None:
+    """Compare with a golden CSV after applying a stored schema."""
+    from brasa.operators.check import assert_same
+    expected = actual.sparkSession.read.option("sep", sep).option("header", True).csv(path)
+    if schema is not None:
+        expected = schema.apply(expected)
+    assert_same(actual, expected, key, numeric_cols=numeric_cols, exclude=exclude, tol=tol)

@@ -38,6 +38,9 @@ def _expand(spark: SparkSession, path: str | Sequence[str], suffix: str = ".csv"
     return out
 
 
+SEQ_COL = "ROW_SEQ"
+
+
 def load_csv(spark: SparkSession, path: str | Sequence[str], sep: str = ";",
              lineage_col: str = "ARCHIVO") -> DataFrame:
     """Read every file (all strings), normalise headers, tag the file stem,
@@ -47,7 +50,8 @@ def load_csv(spark: SparkSession, path: str | Sequence[str], sep: str = ";",
     df = r.csv(files)
     stem = F.regexp_replace(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.[^.]*)?$", 1), r"\s", "_")
     df = normalise_headers(df)
-    df = drop_all_null_rows(df).withColumn(lineage_col, stem)
+    # scan order (file, position): the row order keep-first rules refer to
+    df = drop_all_null_rows(df).withColumn(lineage_col, stem).withColumn(SEQ_COL, F.monotonically_increasing_id())
     return df
 
 
