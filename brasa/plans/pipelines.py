@@ -82,8 +82,8 @@ def feature_engineering(df: DataFrame, *, topo: DataFrame | None, weather: DataF
     replaying the joins, and the stage is planned once.
     """
     out = df
-    if polygons is not None:
-        out = geo.add_zones(out, polygons, zone_threshold=zone_threshold)
+    if polygons is not None:   # zones come from the layer (any previous zone columns are replaced)
+        out = geo.add_zones(out.drop("zone_alert", "zone_WE", "zone_NS"), polygons, zone_threshold=zone_threshold)
     out = geo.split_zone(out)
     out = X.add_hour_cycle(out)
     if topo is not None:

@@ -90,3 +90,19 @@ def test_stream_equals_batch(spark, tmp):
                           f"{tmp}/sink", f"{tmp}/ckpt")
     q2.awaitTermination(120)
     assert spark.read.parquet(f"{tmp}/sink").count() == 40
+
+
+def test_wkt_polygons_and_raster_reader(spark, tmp):
+    from brasa.operators import geo
+    df = spark.createDataFrame([("A 1", "POLYGON ((0 0, 2 0, 2 2, 0 2, 0 0))"),
+                                ("B 2", "MULTIPOLYGON (((5 5, 6 5, 6 6, 5 5)), ((8 8, 9 8, 9 9, 8 8)))")],
+                               "area string, wkt string")
+    polys = S.polygons_from_wkt(df)
+    rings = {(r["area"], len(r["ring"])) for r in polys.collect()}
+    assert rings == {("A 1", 4), ("B 2", 3)} and polys.count() == 3
+    pts = spark.createDataFrame([(1, 1.0, 1.0), (2, 8.8, 8.2)], "id long, longitude double, latitude double")
+    assert sorted((r["id"], r["zone_alert"]) for r in geo.add_zones(pts, polys).collect()) == [(1, "A 1"), (2, "B 2")]
+    spark.createDataFrame([(0, 0, 3.0)], "row long, col long, value double").write.parquet(f"{tmp}/cells")
+    _write(f"{tmp}/meta.json", json.dumps({"x0": 0, "dx": 1, "y0": 1, "dy": -1, "nrows": 1, "ncols": 1, "nodata": -1}))
+    cells, meta = S.read_raster(spark, f"{tmp}/cells", f"{tmp}/meta.json")
+    assert meta.nrows == 1 and meta.nodata == -1.0 and cells.count() == 1
