@@ -53,11 +53,14 @@ def spread(df: DataFrame, key: str | None) -> DataFrame:
     on its key (deterministic on retry, and co-partitions tables on the same
     key) so the per-row derivations that follow run on every core.
     """
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if key is None or df.rdd.getNumPartitions() >= target:
+    if key is None:
         return df
-    return df.repartition(target, key)
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the scan as is
+        return df
+    return df if splits >= target else df.repartition(target, key)
 
 
 def _pick(values, idx):
