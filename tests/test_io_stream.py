@@ -19,7 +19,7 @@ def test_load_csv_headers_lineage_and_empty_rows(spark, tmp):
     _write(f"{tmp}/in/incendios_2019.csv", " ficha ;Sup  inicial\n123456789;1,5\n;\n")
     _write(f"{tmp}/in/incendios_2020.csv", "FICHA;SUP INICIAL\n223456789;2,0\n")
     df = S.load_csv(spark, f"{tmp}/in")
-    assert set(df.columns) == {"FICHA", "SUP_INICIAL", "ARCHIVO"}
+    assert set(df.columns) == {"FICHA", "SUP_INICIAL", "ARCHIVO", "ROW_SEQ"}
     got = sorted((r["FICHA"], r["ARCHIVO"]) for r in df.collect())
     assert got == [("123456789", "incendios_2019"), ("223456789", "incendios_2020")]
     per = S.load_csv_per_file(spark, [f"{tmp}/in/incendios_2019.csv", f"{tmp}/in/incendios_2020.csv"])
