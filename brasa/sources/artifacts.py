@@ -81,11 +81,9 @@ def save_artifacts(run_dir: str, *, df: DataFrame | None = None, models: Mapping
             p = os.path.join(run_dir, "models", "_".join(str(k) for k in key))
             m.write().overwrite().save(p)
             rows.append((*[str(k) for k in key], p))
-        spark = next(iter(models.values()))
         idx = SparkSession.getActiveSession().createDataFrame(rows, "zone_WE string, zone_NS string, path string")
         paths["model"] = p = os.path.join(run_dir, "models", "index.parquet")
         idx.write.mode("overwrite").parquet(p)
-        del spark
     for name, t, to_json in (("pi", intervals, intervals_to_json), ("fuel_mapping", mapping, mapping_to_json)):
         if t is not None:
             paths[name] = p = os.path.join(run_dir, f"{name}.parquet")

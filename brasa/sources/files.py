@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brasa.functions.columns import parse_decimal_text
 from brasa.functions.lookups import SCORING_INPUT
 from brasa.operators.schema import drop_all_null_rows, normalise_headers
 
@@ -134,10 +133,6 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", sep: str = ";",
         w.format(fmt).save(path)
 
 
-def decimal_text_column(c):
-    return parse_decimal_text(c)
-
-
 # ---- S10 / S11 ------------------------------------------------------------------
 def polygons_from_wkt(df: DataFrame, wkt_col: str = "wkt", area_col: str = "area") -> DataFrame:
     """``POLYGON ((x y, x y, ...))`` text -> ``(area, ring ARRAY<STRUCT<x, y>>)``.
