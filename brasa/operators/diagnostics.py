@@ -65,3 +65,10 @@ def residual_diagnostics(df: DataFrame, cols: Sequence[str], y_true: str, y_pred
                       F.coalesce("CVaRAbs", F.lit(0.0)).alias("CVaRAbs"), "VaRUnder", "VaROver",
                       F.coalesce("CVaRUnder", F.lit(0.0)).alias("CVaRUnder"),
                       F.coalesce("CVaROver", F.lit(0.0)).alias("CVaROver"), risk.alias("RiskFactor"))
+
+
+def numeric_summary(df: DataFrame, cols: Sequence[str], stats: Sequence[str] = ("count", "mean", "stddev", "min",
+                                                                             "25%", "50%", "75%", "max")) -> DataFrame:
+    """``summary()`` of numeric columns with ±inf treated as missing."""
+    clean = df.select(*[F.when(~F.col(c).isin(float("inf"), float("-inf")), F.col(c)).alias(c) for c in cols])
+    return clean.summary(*stats)

@@ -745,6 +745,13 @@ def q_apply_mapping(spark, d):
     return R.apply_groupwise_mapping(feats, mapping)
 
 
+@query("fuel_level_report", """
+SELECT "zone_WE", "zone_NS", count(DISTINCT initial_fuel) AS n_original, count(DISTINCT initial_fuel_reduced) AS n_kept
+FROM post_reduced GROUP BY ALL""", ["post_reduced"])
+def q_fuel_level_report(spark, d):
+    return R.fuel_level_report(post_table(spark, d)[0])
+
+
 # ================================================================ A9 / A8 / J12 / X19
 @query("base_model", """
 SELECT fire_id, "zone_WE", "zone_NS", propagation_speed_mm, round(prediction_base, 9) AS prediction_base,
@@ -807,6 +814,18 @@ def q_elliptical_speed(spark, d):
     return e.select("fire_id", *[r9(c).alias(c) for c in _ELL])
 
 
+@query("interval_json_roundtrip", f"""
+SELECT "zone_WE", "zone_NS", diurnal_nocturnal, high_season, round(lo, 9) AS lo, round(hi, 9) AS hi FROM ({_INTERVALS}) i
+""", ["based"])
+def q_interval_json_roundtrip(spark, d):
+    """Interval table -> nested JSON document (tuple-text keys) -> table."""
+    from brasa.sources.artifacts import intervals_from_json, intervals_to_json
+    iv = _intervals(spark, d)
+    back = intervals_from_json(intervals_to_json(iv))
+    return back.select("zone_WE", "zone_NS", "diurnal_nocturnal", "high_season", r9("lo").alias("lo"),
+                       r9("hi").alias("hi"))
+
+
 # ================================================================ X21 / A10-A15
 @query("long_predictions", """
 SELECT fire_id, "zone_WE", "zone_NS", high_season, diurnal_nocturnal, zone_alert, split2, propagation_speed_mm,

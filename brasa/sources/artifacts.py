@@ -173,3 +173,8 @@ def metrics_rows(spark: SparkSession, run_id: str, metrics: Mapping[str, float])
     """``(run_id, key, value)`` rows for a metrics table."""
     return spark.createDataFrame([(run_id, k, float(v)) for k, v in metrics.items()],
                                  "run_id string, key string, value double")
+
+
+def recent_runs(runs: DataFrame, experiment: str, n: int = 10) -> DataFrame:
+    """The ``n`` newest runs of an experiment (diagnostics when no run qualifies)."""
+    return runs.where(F.col("experiment") == experiment).orderBy(F.col("start_time").desc()).limit(n)

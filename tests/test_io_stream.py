@@ -67,6 +67,11 @@ def test_registry_latest_run(spark, tmp):
     assert A.latest_run(runs, "exp", "default-run").first()["run_id"] == "a"
     assert A.latest_run(runs, "exp", "default-run", status=None).first()["run_id"] == "b"
     assert A.latest_run(runs, "exp").first()["run_id"] == "c"
+    assert [r["run_id"] for r in A.recent_runs(runs, "exp", 2).collect()] == ["c", "b"]
+    from brasa.operators.diagnostics import numeric_summary
+    s = {r["summary"]: r["v"] for r in numeric_summary(
+        spark.createDataFrame([(1.0,), (float("inf"),), (3.0,)], "v double"), ["v"]).collect()}
+    assert s["count"] == "2" and float(s["mean"]) == 2.0
 
 
 def test_stream_equals_batch(spark, tmp):
