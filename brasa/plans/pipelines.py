@@ -135,7 +135,9 @@ def scoring(df: DataFrame, *, models: dict, intervals: DataFrame, mapping: DataF
     out = feature_engineering(df, topo=topo, polygons=polygons, zone_threshold=0, fuel_cells=fuel_cells,
                               fuel_meta=fuel_meta, skip_target=True, include=include)
     out = R.apply_groupwise_mapping(out, mapping)
-    out = M.add_zone_predictions(out, models, prediction_col="prediction_circular_speed_mm")
+    from brasa.functions.lookups import COVARIATES
+    from brasa.operators.explain import score_in_one_pass
+    out = score_in_one_pass(out, models, COVARIATES, prediction_col="prediction_circular_speed_mm")
     out = M.add_prediction_interval(out, intervals, ZONE_FACTORS, pi_covariates,
                                     "lo_circular_speed_mm", "hi_circular_speed_mm")
     return X.add_elliptical_speed(out, ratio=ratio)

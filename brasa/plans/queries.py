@@ -876,8 +876,10 @@ def q_zone_gbt_predictions(spark, d, n_trials: int = 1, max_iter: int = 20):
     """
     post, _ = post_table(spark, d)
     models = M.train_zone_models(post, n_trials=n_trials, max_iter=max_iter)
-    out = M.add_zone_predictions(post, models, prediction_col="prediction_xgb0", which=0)
-    out = M.add_zone_predictions(out, models, prediction_col="prediction_circular_speed_mm", which=1)
+    from brasa.functions.lookups import COVARIATES
+    from brasa.operators.explain import score_in_one_pass
+    out = score_in_one_pass(post, models, COVARIATES, prediction_col="prediction_xgb0", which=0)
+    out = score_in_one_pass(out, models, COVARIATES, prediction_col="prediction_circular_speed_mm", which=1)
     out = M.add_prediction_interval(out, M.zone_intervals(post, models, 0), lo_col="lo_xgb0", hi_col="hi_xgb0")
     out = M.add_prediction_interval(out, M.zone_intervals(post, models, 1), lo_col="lo_circular_speed_mm",
                                     hi_col="hi_circular_speed_mm")
