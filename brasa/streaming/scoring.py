@@ -47,3 +47,11 @@ def start_scoring(stream: DataFrame, score: Callable[[DataFrame], DataFrame], si
     w = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint_location)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
+
+
+def stream_scores(stream: DataFrame, models: dict, covariates, prediction_col: str = "prediction",
+                  factors=("zone_WE", "zone_NS"), which: int = 1) -> DataFrame:
+    """Per-zone model scores on a stream without ``foreachBatch``: the broadcast
+    ensembles are applied by ``mapInPandas`` (stateless, append mode)."""
+    from brasa.operators.explain import score_in_one_pass
+    return score_in_one_pass(stream, models, covariates, factors, which, prediction_col)
