@@ -180,3 +180,19 @@ def test_weather_clamp_and_indices(spark):
     assert out[1]["wind_direction"] is None and abs(out[1]["wind_speed_kmh"] - 0.51445 * 70 * 3.6) < 1e-9
     assert out[1]["weather_index_full"] == "FHD"
     assert out[2]["relative_humidity"] is None and out[2]["temperature_cat"] == "N" and out[2]["weather_index"] == "NA"
+
+
+def test_idempotent_merges_and_stable_keep_first(spark):
+    from brasa.sources import derived as D
+    sf = "/root/testdata/sf0.001"
+    f = D.fires(spark, sf).select("fire_id", "zone_alert")
+    once = X.merge_weather(X.merge_topo(f, D.topo(spark, sf)), D.weather(spark, sf))
+    twice = X.merge_weather(X.merge_topo(once, D.topo(spark, sf)), D.weather(spark, sf))
+    assert sorted(once.columns) == sorted(twice.columns)
+    assert once.exceptAll(twice.select(*once.columns)).count() == 0 and once.count() == twice.count() == f.count()
+    d = D.dispatches(spark, sf).withColumn("k", clean.standard_dispatch_id("fire_id", "dispatch_id"))
+    order = ["seq_ship", "seq_part", "seq_supp", "seq_qty"]
+    a = clean.keep_first(d, "k", order)
+    b = clean.keep_first(d.repartition(7, "seq_part"), "k", order)
+    assert a.count() == d.select("k").distinct().count()
+    assert a.exceptAll(b.select(*a.columns)).count() == 0
