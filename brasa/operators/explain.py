@@ -185,3 +185,31 @@ def score_in_one_pass(df: DataFrame, models: dict, covariates: Sequence[str], fa
             yield out
 
     return df.mapInPandas(run, schema)
+
+
+def residuals_all_models(df: DataFrame, models: dict, covariates: Sequence[str], target: str,
+                         keep: Sequence[str], factors=("zone_WE", "zone_NS"), which: int = 1) -> DataFrame:
+    """One scan: every row scored by every zone model (bounded count) ->
+    ``(model zone factors, keep..., residual)`` rows."""
+    f = list(factors)
+    scorers = df.sparkSession.sparkContext.broadcast(zone_scorers(models, covariates, which))
+    keep = [c for c in keep if c not in f]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in f] + [df.schema[c] for c in keep] +
+                          [T.StructField("_res", T.DoubleType())])
+    cov = list(covariates)
+    src = df.select(*set(cov) | set(keep) | {target})
+
+    def run(batches):
+        sc = scorers.value
+        for b in batches:
+            y = b[target].astype(float).to_numpy()
+            for key, s in sc.items():
+                X = _feature_matrix(b, cov, s["labels"])
+                base, con = path_contributions(X, s["ens"])
+                out = b[keep].copy()
+                for c, v in zip(f, key):
+                    out.insert(f.index(c), c, v)
+                out["_res"] = y - (base + con.sum(axis=1))
+                yield out[[*f, *keep, "_res"]]
+
+    return src.mapInPandas(run, schema)
