@@ -1,7 +1,7 @@
 """SimHash near-dedup with pigeonring filtering.
 
 Fingerprints: 64 votes per document over XXH64 of its word shingles, in Arrow
-batches (``pandas_udf``); equal fingerprints collapse to one row before any
+batches (an Arrow function); equal fingerprints collapse to one row before any
 pair is looked for.
 
 Search: the 64 bits are a ring of eight 8-bit segments. For two fingerprints
@@ -29,9 +29,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf
 
 from brasa.session import cut_lineage
 
@@ -44,17 +45,16 @@ SEGMENTS = 8
 _LANES = np.array([[(b >> k) & 1 for k in range(8)] for b in range(256)], np.uint8).view(np.uint64).ravel()
 
 
-def _shingle_hashes(text: str | None, shingle: int) -> list[int]:
-    w = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not w:
-        return []
+def _shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
+    w = text.lower().split()
     flat = b" ".join(w)
+    digest = xxhash.xxh64_intdigest
     if len(w) <= shingle:
-        return [xxhash.xxh64_intdigest(flat, SEED)]
+        return np.array([digest(flat, SEED)] if w else [], np.uint64)
     ends = np.cumsum(np.fromiter(map(len, w), np.int64, len(w)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
-    digest = xxhash.xxh64_intdigest
-    return [digest(flat[a:b], SEED) for a, b in zip(starts[:len(w) - shingle + 1].tolist(), ends[shingle - 1:].tolist())]
+    spans = zip(starts[:len(w) - shingle + 1].tolist(), ends[shingle - 1:].tolist())
+    return np.fromiter((digest(flat[a:b], SEED) for a, b in spans), np.uint64, len(w) - shingle + 1)
 
 
 def _votes(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -79,28 +79,35 @@ def _votes(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(texts, shingle: int = SHINGLE) -> np.ndarray:
-    """uint64 fingerprints; hashes are held for a bounded stretch of documents at a time."""
-    out, held, sizes, n = [], [], [], 0
+    """uint64 fingerprints of UTF-8 texts; hashes are held for a bounded stretch of documents at a time."""
+    out, held, n = [np.zeros(0, np.uint64)], [], 0
 
     def flush():
-        out.append(_votes(np.array([h for part in held for h in part], np.uint64), np.array(sizes, np.int64)))
+        out.append(_votes(np.concatenate(held or [np.zeros(0, np.uint64)]), np.array([len(h) for h in held], np.int64)))
 
     for t in texts:
-        h = _shingle_hashes(t, shingle)
-        held.append(h)
-        sizes.append(len(h))
-        n += len(h)
-        if n > 500_000:
+        held.append(_shingle_hashes(t, shingle))
+        n += len(held[-1])
+        if n > 100_000:
             flush()
-            held, sizes, n = [], [], 0
+            held, n = [], 0
     flush()
     return np.concatenate(out)
 
 
+def utf8(column: pa.Array):
+    """The values of a string column as bytes, one at a time (null: empty), without a copy of the whole batch."""
+    column = column.cast(pa.large_binary())
+    ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1].tolist()
+    data = memoryview(column.buffers()[2] or b"")
+    valid = column.is_valid().to_pylist()
+    return (bytes(data[a:b]) if ok else b"" for a, b, ok in zip(ends, ends[1:], valid))
+
+
 def fingerprint_udf(shingle: int = SHINGLE):
-    @pandas_udf("long")
-    def fingerprint(text: pd.Series) -> pd.Series:
-        return pd.Series(fingerprints(text, shingle).view(np.int64))
+    @arrow_udf("long")
+    def fingerprint(text: pa.Array) -> pa.Array:
+        return pa.array(fingerprints(utf8(text), shingle).view(np.int64))
     return fingerprint
 
 
@@ -187,12 +194,13 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
 def keep_one(df: DataFrame) -> DataFrame:
     """One document of each component: the row with the smallest doc_id (one of them, if rows repeat)."""
     found = near_duplicates(df)
+    names = lambda *c: [F.xxhash64(*c).alias("k1"), F.hash(*c).alias("k2")]
     kept = (found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).dropDuplicates(["root"])
-            .select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")))
+            .select(*names("doc_id", "text_key")))
     rows = df.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"),
-                     F.xxhash64("text").alias("key"))
-    return (rows.join(kept, F.col("id").eqNullSafe(F.col("__id")) & (F.col("key") == F.col("__key")), "left_semi")
-            .dropDuplicates(["id", "key"]).select("row.*"))
+                     F.xxhash64("text").alias("text_key")).select("row", *names("id", "text_key"))
+    # both steps work on the same non-null keys, so the texts are dealt out once
+    return rows.join(kept, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).select("row.*")
 
 
 def query(spark, sf_dir) -> DataFrame:
