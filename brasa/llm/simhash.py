@@ -36,7 +36,7 @@ from pyspark.sql.functions import arrow_udf
 
 from brasa.session import cut_lineage
 
-from .common import connected_components, table
+from .common import connected_components, table, utf8
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -95,15 +95,6 @@ def fingerprints(texts, shingle: int = SHINGLE) -> np.ndarray:
     return np.concatenate(out)
 
 
-def utf8(column: pa.Array):
-    """The values of a string column as bytes, one at a time (null: empty), without a copy of the whole batch."""
-    column = column.cast(pa.large_binary())
-    ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1].tolist()
-    data = memoryview(column.buffers()[2] or b"")
-    valid = column.is_valid().to_pylist()
-    return (bytes(data[a:b]) if ok else b"" for a, b, ok in zip(ends, ends[1:], valid))
-
-
 def fingerprint_udf(shingle: int = SHINGLE):
     @arrow_udf("long")
     def fingerprint(text: pa.Array) -> pa.Array:
