@@ -53,7 +53,9 @@ K = 20
 SPAN = WINDOW - K + 1  # k-mers in a window
 BLOCK_BYTES = 2_000_000
 BUCKET_BYTES = 4_000_000
-SEGMENT = 1 << 19
+SEGMENT = 1 << 18
+CHUNK_RUNS = 20_000
+PORTION = 100_000
 FRAGMENT = 40  # bits of an anchor hash that are compared within a bucket
 NO_ID = np.iinfo(np.int64).max
 BLOCKS = "block long, ids binary, nulls binary, sizes binary, data binary"
@@ -76,7 +78,7 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 
 def _pack(a: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(a.tobytes())
+    return zstandard.ZstdCompressor(level=3).compress(a.tobytes())
 
 
 def _unpack(b: bytes, dtype) -> np.ndarray:
@@ -283,18 +285,27 @@ class Block:
         doc = full[np.searchsorted(self.first[full], s, "right") - 1] if len(s) else np.zeros(0, np.int64)
         return s, e, g, doc
 
-    def contexts(self, runs, wanted):
-        """Runs with a wanted anchor, their class among the block's contexts, and one context of each class."""
-        s, e, g, doc = (x[wanted] for x in runs)
-        length = e - s + WINDOW - 1
-        text = Contexts(self.data[_spread(s, length)], length)
-        cls = classes(text, text.start, length)
-        _, one, cls = np.unique(cls, return_index=True, return_inverse=True)
-        # contexts in order of their anchors, as the runs are
-        rank = np.argsort(one, kind="stable")
-        back = np.empty(len(rank), np.int64)
-        back[rank] = np.arange(len(rank))
-        return (s, e, doc), back[cls], one[rank], text, g
+    def contexts(self, runs, wanted, bits):
+        """Runs with a wanted anchor, their class among the block's contexts, and one context of each class.
+
+        Whole buckets at a time, about CHUNK_RUNS runs each, so that the working arrays stay small.
+        """
+        g = runs[2][wanted]
+        ends = [b for _, _, b in _by_bucket(g, bits)]
+        at = 0
+        for k, b in enumerate(ends):
+            if b - at < CHUNK_RUNS and k + 1 < len(ends):
+                continue
+            s, e, g, doc = (x[wanted[at:b]] for x in runs)
+            at = b
+            length = e - s + WINDOW - 1
+            text = Contexts(self.data[_spread(s, length)], length)
+            _, one, cls = np.unique(classes(text, text.start, length), return_index=True, return_inverse=True)
+            # contexts in order of their anchors, as the runs are
+            rank = np.argsort(one, kind="stable")
+            back = np.empty(len(rank), np.int64)
+            back[rank] = np.arange(len(rank))
+            yield s, e, doc, back[cls], one[rank], text, g
 
 
 def _anchors(g: np.ndarray):
@@ -400,25 +411,40 @@ def _send_contexts(bits: int):
     def run(batches):
         for block, row in _read_blocks(batches):
             runs = block.runs()
-            (s, e, doc), cls, one, text, g = block.contexts(runs, _wanted(block, runs, row.answers, bits))
-            low = np.full(len(one), NO_ID, np.int64)
-            np.minimum.at(low, cls, block.ids[doc])
-            length, start = text.length[one], text.start[one]
-            rows = []
-            for k, a, b in _by_bucket(g[one], bits):
-                data = text.data[_spread(start[a:b], length[a:b])]
-                rows.append((k, block.number, _pack(low[a:b]), _pack(g[one[a:b]]), _pack(length[a:b].astype(np.uint8)), _pack(data)))
-            yield pd.DataFrame(rows, columns=["bucket", "block", "ids", "anchors", "lengths", "data"])
+            for s, e, doc, cls, one, text, g in block.contexts(runs, _wanted(block, runs, row.answers, bits), bits):
+                low = np.full(len(one), NO_ID, np.int64)
+                np.minimum.at(low, cls, block.ids[doc])
+                length, start, rows = text.length[one], text.start[one], []
+                for k, a, b in _by_bucket(g[one], bits):
+                    data = text.data[_spread(start[a:b], length[a:b])]
+                    # the end of the hash tells anchors apart; a chance equality only makes more windows be compared
+                    end = (g[one[a:b]] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+                    rows.append((k, block.number, _pack(low[a:b]), end.tobytes(), _pack(length[a:b].astype(np.uint8)), _pack(data)))
+                yield pd.DataFrame(rows, columns=["bucket", "block", "ids", "anchors", "lengths", "data"])
     return run
 
 
 def _sorted_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Suffix sort of one bucket: the smallest id of every window that the blocks sent."""
-    get = lambda c, t: [_unpack(x, t) for x in pdf[c]]
-    length = [x.astype(np.int64) for x in get("lengths", np.uint8)]
-    low = window_ids(np.concatenate(get("data", np.uint8)), np.concatenate(length), np.concatenate(get("ids", np.int64)),
-                     np.concatenate(get("anchors", np.uint64)))
-    ends = np.cumsum([int((x - WINDOW + 1).sum()) for x in length])
+    """Suffix sort of one bucket: the smallest id of every window that the blocks sent.
+
+    The anchors are taken in portions of about PORTION windows, one after another.
+    """
+    get = lambda c, t: np.concatenate([_unpack(x, t) for x in pdf[c]])
+    sizes = [_unpack(x, np.uint8) for x in pdf["lengths"]]
+    length = np.concatenate(sizes).astype(np.int64)
+    data, ids = get("data", np.uint8), get("ids", np.int64)
+    anchor = np.concatenate([np.frombuffer(x, np.uint32) for x in pdf["anchors"]])
+    start, count = np.cumsum(length) - length, length - WINDOW + 1
+    first = np.cumsum(count) - count
+    low = np.empty(int(count.sum()), np.int64)
+    portions = 1 + len(low) // PORTION
+    portion = anchor % np.uint32(portions)
+    for k in range(portions):
+        at = np.flatnonzero(portion == k)
+        if len(at):
+            low[_spread(first[at], count[at])] = window_ids(
+                data[_spread(start[at], length[at])], length[at], ids[at], anchor[at])
+    ends = np.cumsum([int(x.sum(dtype=np.int64)) - (WINDOW - 1) * len(x) for x in sizes])
     return pd.DataFrame({"block": pdf["block"], "bucket": pdf["bucket"],
                          "low": [_pack(p) for p in np.split(low, ends[:-1])]})
 
@@ -429,16 +455,16 @@ def _marked(bits: int):
             gone = np.zeros(len(block.data), bool)
             if row.lows is not None and len(row.lows):
                 runs = block.runs()
-                (s, e, doc), cls, one, text, g = block.contexts(runs, _wanted(block, runs, row.answers, bits))
                 lows = {x["bucket"]: x["low"] for x in row.lows}
-                low = np.concatenate([_unpack(lows[k], np.int64) for k, _, _ in _by_bucket(g[one], bits)])
-                count = text.length[one] - WINDOW + 1
-                first = (np.cumsum(count) - count)[cls]
-                smaller = low[_spread(first, e - s)] < np.repeat(block.ids[doc], e - s)
-                at = _spread(s, e - s)[smaller]
                 edge = np.zeros(len(gone) + 1, np.int32)
-                np.add.at(edge, at, 1)
-                np.add.at(edge, at + WINDOW, -1)
+                for s, e, doc, cls, one, text, g in block.contexts(runs, _wanted(block, runs, row.answers, bits), bits):
+                    low = np.concatenate([_unpack(lows[k], np.int64) for k, _, _ in _by_bucket(g[one], bits)])
+                    count = text.length[one] - WINDOW + 1
+                    first = (np.cumsum(count) - count)[cls]
+                    smaller = low[_spread(first, e - s)] < np.repeat(block.ids[doc], e - s)
+                    at = _spread(s, e - s)[smaller]
+                    np.add.at(edge, at, 1)
+                    np.add.at(edge, at + WINDOW, -1)
                 gone = np.cumsum(edge[:-1]) > 0
             out = []
             for i, known, a, n in zip(block.ids.tolist(), block.known, block.first.tolist(), block.sizes.tolist()):
