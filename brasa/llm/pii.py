@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -32,6 +33,8 @@ from pyspark.sql import DataFrame, functions as F
 from .common import table
 
 SAMPLE = 200
+#: Training takes the first runs of a sampled document and the first tokens of a run; decoding takes all.
+TRAIN_RUNS, TRAIN_TOKENS = 20, 32
 KINDS = ("email", "ip", "card", "phone")
 TAGS = ("O", "phone", "phone+", "id", "id+")  # a plus sign continues a span
 N_FEATURES = 4096
@@ -285,10 +288,10 @@ class Field:
 
 def _learn(text: str, marked: list[tuple[int, int, str]], chains, tags):
     """Add the runs of a text to the training set; a token gets the kind of the marked span that it touches."""
-    for words, a, b, spans in runs(text):
-        chains.append([features(words, i) for i in range(a, b)])
+    for words, a, b, spans in islice(runs(text), TRAIN_RUNS):
+        chains.append([features(words, i) for i in range(a, min(b, a + TRAIN_TOKENS))])
         row, last = [], None
-        for x, y in spans:
+        for x, y in spans[:TRAIN_TOKENS]:
             hit = next(((s, e, k) for s, e, k in marked if x < e and s < y), None)
             row.append(TAGS.index("O" if hit is None else hit[2] + ("+" if hit == last else "")))
             last = hit
@@ -308,8 +311,10 @@ def train(docs: DataFrame | None = None, doc_id: str = "doc_id", text: str = "te
         for _ in range(5):  # the written lines weigh as much as some hundred sampled runs
             _learn(plain + line[at:], marked, chains, tags)
     if docs is not None:
-        rows = (docs.where(F.col(text).rlike("[0-9]")).orderBy(F.md5(F.col(doc_id).cast("string")), text)
-                .select(F.col(text).alias("t")).limit(sample).collect())
+        # ids first, then the texts of those alone
+        chosen = [r[0] for r in docs.where(F.col(text).rlike("[0-9]") & F.col(doc_id).isNotNull()).select(doc_id)
+                  .orderBy(F.md5(F.col(doc_id).cast("string"))).limit(sample).collect()]
+        rows = docs.where(F.col(doc_id).isin(chosen)).select(F.col(text).alias("t")).dropna().orderBy("t").collect()
         for r in rows:
             email, ip, card, phone = base_spans(r.t)
             _learn(r.t, [(a, b, "phone") for a, b in phone] + [(a, b, "id") for a, b in card], chains, tags)
