@@ -66,15 +66,19 @@ def keep_first(df: DataFrame, key: Sequence[str] | str, order_cols: Sequence[str
 
     Implemented as ``min(struct(order..., row))`` per key: a hash/sort aggregate
     with map-side partial aggregation, so a hot key is combined before the
-    shuffle instead of being ranked in one task.
+    shuffle instead of being ranked in one task.  Rows with a NULL in the key
+    are not duplicates of each other: all of them stay.
     """
     key = [key] if isinstance(key, str) else list(key)
     order_cols = list(order_cols)
     rest = [c for c in df.columns if c not in key]
     packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)],
                       F.struct(*[F.col(c) for c in rest]).alias("_row"))
-    firsts = df.groupBy(*key).agg(F.min(packed).alias("_first"))
-    return firsts.select(*key, "_first._row.*").select(*df.columns)
+    named = F.lit(True)
+    for c in key:
+        named = named & F.col(c).isNotNull()
+    firsts = df.where(named).groupBy(*key).agg(F.min(packed).alias("_first"))
+    return firsts.select(*key, "_first._row.*").select(*df.columns).unionByName(df.where(~named))
 
 
 def standardize_dispatches(df: DataFrame, *, report_type_col: str = "TIPO_FICHA",
@@ -83,8 +87,12 @@ def standardize_dispatches(df: DataFrame, *, report_type_col: str = "TIPO_FICHA"
                            fire_id_col: str = "ID_FOCO_INCENDIO", fire_id_length: int = 9,
                            zone_col: str = "ZONA", zones: Sequence[str] = DISPATCH_ZONES,
                            filter_zones_: bool = True, zone_prefix: str = ZONE_PREFIX,
-                           remove_zone_prefix: bool = True, order_cols: Sequence[str] = ()) -> DataFrame:
-    """F2 -> F3 -> F4 -> W1 -> F5, in that order (the dedup precedes the zone filter)."""
+                           remove_zone_prefix: bool = True, order_cols: Sequence[str] = (),
+                           file_col: str | None = None) -> DataFrame:
+    """F2 -> F3 -> F4 -> W1 -> F5, in that order (the dedup precedes the zone filter).
+
+    With ``file_col``, an id is deduplicated within each report file.
+    """
     for c in (report_type_col, zone_col):
         if c not in df.columns:
             raise KeyError(f"Column '{c}' not found")
@@ -93,7 +101,7 @@ def standardize_dispatches(df: DataFrame, *, report_type_col: str = "TIPO_FICHA"
         out = filter_report_types(out, report_type_col, report_types)
     out = out.withColumn(std_id_col, standard_dispatch_id(fire_id_col, dispatch_id_col))
     out = filter_id_length(out, fire_id_col, fire_id_length)
-    out = keep_first(out, std_id_col, order_cols or [std_id_col])
+    out = keep_first(out, [std_id_col] + ([file_col] if file_col else []), order_cols or [std_id_col])
     if filter_zones_:
         out = filter_zones(out, zone_col, zones)
     if remove_zone_prefix:

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brasa.operators.stats import exact_quantiles
+from brasa.operators.stats import exact_quantiles, join_groups
 
 LONG_ID_COLUMNS = ["fire_id", "zone_WE", "zone_NS", "high_season", "diurnal_nocturnal", "zone_alert",
                    "split2", "propagation_speed_mm"]
@@ -50,15 +50,15 @@ def residual_diagnostics(df: DataFrame, cols: Sequence[str], y_true: str, y_pred
         F.avg("_y").alias("_ymean"), F.avg("_yh").alias("_yhmean"))
     qa = exact_quantiles(d, g, "_ar", [cutoff], ["_qabs"]).drop("n")
     qr = exact_quantiles(d, g, "_r", [cutoff, 1 - cutoff], ["VaRUnder", "VaROver"]).drop("n")
-    stats = p1.join(qa, g, "left").join(qr, g, "left")
-    j = d.join(stats.select(*g, "_ybar", "_qabs", "VaRUnder", "VaROver"), g)
+    stats = join_groups(join_groups(p1, qa, g, "left"), qr, g, "left")
+    j = join_groups(d, stats.select(*g, "_ybar", "_qabs", "VaRUnder", "VaROver"), g)
     r, ar = F.col("_r"), F.col("_ar")
     p2 = j.groupBy(*g).agg(
         F.avg(F.when(r.isNotNull(), F.abs(F.col("_y") - F.col("_ybar")))).alias("_mae_mean"),
         F.avg(F.when(ar >= F.col("_qabs"), ar)).alias("CVaRAbs"),
         F.avg(F.when(r >= F.col("VaRUnder"), ar)).alias("CVaRUnder"),
         F.avg(F.when(r <= F.col("VaROver"), ar)).alias("CVaROver"))
-    out = stats.join(p2, g, "left")
+    out = join_groups(stats, p2, g, "left")
     rel = F.when(F.col("_mae_mean") != 0, F.col("MAE") / F.col("_mae_mean"))
     risk = F.when(F.abs(F.col("_yhmean")) > F.lit(1e-8), F.col("_ymean") / F.col("_yhmean"))
     return out.select(*g, "n", "n_scored", "RMSE", "MAE", rel.alias("RelativeMAE"), "MaxAbsError",

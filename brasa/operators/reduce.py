@@ -12,9 +12,6 @@ from brasa.operators.geo import filter_by_group_count
 from brasa.operators.stats import hash_key, rank_within_groups
 
 
-MAX_LEVELS = 10_000
-
-
 def filter_low_observation_zones(df: DataFrame, min_observations: int = 5, zone_col: str = "zone_alert") -> DataFrame:
     """A3: keep zones with strictly more than ``min_observations`` rows."""
     return filter_by_group_count(df, zone_col, min_observations)
@@ -105,15 +102,12 @@ def learn_groupwise_mapping(df: DataFrame, factors: Sequence[str] = ZONE_FACTORS
             F.concat(F.lit("conflicting mappings for "), F.col(source_col)))))
     pairs = pairs.select(*f, source_col, "_t")
     zones = df.select(*f).distinct()
-    if categories is None:
-        # inferred domain: the distinct source labels (categorical levels, a bounded list)
-        levels = [r[0] for r in df.select(source_col).where(F.col(source_col).isNotNull())
-                  .distinct().limit(MAX_LEVELS + 1).collect()]
-        if len(levels) > MAX_LEVELS:
-            raise ValueError(f"{source_col} has more than {MAX_LEVELS} levels; pass categories explicitly")
-        categories = sorted(levels)
-    cats_arr = F.array(*[F.lit(c) for c in dict.fromkeys(categories)])
-    grid = zones.select(*f, F.explode(cats_arr).alias(source_col))   # zones x categories, a generator
+    if categories is None:  # every observed source label, as one array beside the zones
+        found = df.agg(F.array_sort(F.collect_set(source_col)).alias("_cats"), F.lit(0).alias("_all"))
+        zones = zones.withColumn("_all", F.lit(0)).join(found, "_all").drop("_all")
+    else:
+        zones = zones.withColumn("_cats", F.array(*[F.lit(c) for c in dict.fromkeys(categories)]))
+    grid = zones.select(*f, F.explode("_cats").alias(source_col))   # zones x categories, a generator
     full = grid.join(pairs, f + [source_col], "full_outer")
     return full.select(*f, source_col, F.coalesce(F.col("_t"), F.lit(other_label)).alias(target_col))
 

@@ -6,7 +6,7 @@ group to one task:
 * ``exact_quantiles`` — exact linear-interpolated quantiles per group.  A
   mergeable sketch (``percentile_approx``, partial aggregation) brackets each
   target rank in a narrow value window; only rows inside that window are
-  ranked exactly.  Groups small enough for one task are ranked in full.
+  ranked exactly, by one plan for every group size.
 * ``rank_within_groups`` — exact 0-based rank by a uniformly distributed hash
   string.  Rows are split into 4096 sub-buckets by hash prefix; the rank is the
   sub-bucket's offset (from a groups x 4096 count table) plus the row's
@@ -20,36 +20,35 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Groups up to this many rows are ranked without a sketch window.
-SMALL_GROUP_ROWS = 1_000_000
+from brasa.session import cut_lineage
+
 SKETCH_ACCURACY = 100_000
 
 
+def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on group columns where NULL is a group like any other."""
+    cond = F.lit(True)
+    for c in keys:
+        right = right.withColumnRenamed(c, f"_k_{c}")
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+    return left.join(right, cond, how).drop(*[f"_k_{c}" for c in keys])
+
+
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                     probs: Sequence[float], names: Sequence[str] | None = None,
-                    accuracy: int = SKETCH_ACCURACY, small_group_rows: int = SMALL_GROUP_ROWS,
-                    method: str = "auto") -> DataFrame:
+                    accuracy: int = SKETCH_ACCURACY) -> DataFrame:
     """One row per group: ``group_cols + names + ['n']``.
 
     Linear interpolation between order statistics at ``p * (n - 1)`` (the
-    numpy / ``quantile_cont`` definition).  NULL and NaN values are skipped.
-
-    ``method``: ``"window"`` always uses the skew-safe sketch-window plan;
-    ``"auto"`` first measures the largest group (one count aggregate) and, when
-    every group holds at most ``small_group_rows`` values, uses Spark's exact
-    ``percentile`` (one partial/final aggregate whose per-group buffer is then
-    bounded); larger groups take the sketch-window plan.
+    numpy / ``quantile_cont`` definition).  NULL and NaN values are skipped;
+    a NULL group key is a group.
+
+    One plan for every size.  The values are written once; a mergeable sketch
+    gives two values that enclose each target rank with a margin of ten times
+    its error; the values between them are counted and ranked exactly.  A group
+    with fewer rows than that margin is its own bracket.  A rank outside of its
+    bracket fails the job instead of giving NULL.
     """
-    if method == "auto":
-        v = F.col(value_col).cast("double")
-        valid = df.where(v.isNotNull() & ~F.isnan(v))
-        sizes = valid.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
-        biggest = sizes.agg(F.max("_n")).first()[0] or 0
-        if biggest <= small_group_rows:
-            names = list(names or [f"q{i}" for i in range(len(probs))])
-            pct = F.percentile(v, F.array(*[F.lit(float(p)) for p in probs]))
-            out = valid.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n"), pct.alias("_q"))
-            return out.select(*group_cols, *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)], "n")
     g = list(group_cols)
     ungrouped = not g
     if ungrouped:  # one global group: a constant key, its one-row tables broadcast
@@ -60,18 +59,19 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     lo_ps = [max(0.0, p - delta) for p in probs]
     hi_ps = [min(1.0, p + delta) for p in probs]
 
-    v = (df.select(*g, F.col(value_col).cast("double").alias("_v"))
-           .where(F.col("_v").isNotNull() & ~F.isnan("_v")))
+    v = cut_lineage(df.select(*g, F.col(value_col).cast("double").alias("_v"))
+                    .where(F.col("_v").isNotNull() & ~F.isnan("_v")))
     stats = v.groupBy(*g).agg(
         F.count(F.lit(1)).alias("_n"),
         F.percentile_approx("_v", lo_ps + hi_ps, accuracy).alias("_b"),
     )
-    small = F.col("_n") <= F.lit(small_group_rows)
-    lo_b = [F.when(small, F.lit(float("-inf"))).otherwise(F.col("_b")[k]) for k in range(K)]
-    hi_b = [F.when(small, F.lit(float("inf"))).otherwise(F.col("_b")[K + k]) for k in range(K)]
+    # the margin has to hold the two order statistics around the rank: delta * n >= 2
+    whole = F.col("_n") * F.lit(delta) < 2
+    lo_b = [F.when(whole, F.lit(float("-inf"))).otherwise(F.col("_b")[k]) for k in range(K)]
+    hi_b = [F.when(whole, F.lit(float("inf"))).otherwise(F.col("_b")[K + k]) for k in range(K)]
     # stats has one row per group; AQE broadcasts it by measured size (exactly one row
     # when ungrouped, so it is hinted)
-    j = v.join(F.broadcast(stats) if ungrouped else stats, g)
+    j = join_groups(v, F.broadcast(stats) if ungrouped else stats, g)
     below = j.groupBy(*g).agg(*[F.count_if(F.col("_v") < lo_b[k]).alias(f"_below{k}") for k in range(K)])
     hits = F.array(*[F.when((F.col("_v") >= lo_b[k]) & (F.col("_v") <= hi_b[k]), F.lit(k)) for k in range(K)])
     cand = (j.select(*g, "_v", F.explode(F.filter(hits, lambda x: x.isNotNull())).alias("_k"))
@@ -80,14 +80,14 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     cand = cand.withColumn("_end", F.sum("_c").over(w))
 
     # target ranks per (group, k)
-    tgt = stats.join(below, g)
+    tgt = join_groups(stats, below, g)
     tgt = tgt.select(*g, "_n", F.explode(F.array(*[
         F.struct(F.lit(k).alias("_k"), F.lit(float(p)).alias("_p"), F.col(f"_below{k}").alias("_below"))
         for k, p in enumerate(probs)])).alias("_t")).select(*g, "_n", "_t.*")
     pos = F.col("_p") * (F.col("_n") - 1).cast("double")
     tgt = tgt.select(*g, "_k", "_below", pos.alias("_pos"),
                      F.floor(pos).alias("_rlo"), F.ceil(pos).alias("_rhi"), "_n")
-    m = cand.join(F.broadcast(tgt) if ungrouped else tgt, g + ["_k"])
+    m = join_groups(cand, F.broadcast(tgt) if ungrouped else tgt, g + ["_k"])
     start = F.col("_below") + F.col("_end") - F.col("_c")
     end = F.col("_below") + F.col("_end")
     picked = m.groupBy(*g, "_k", "_pos", "_rlo", "_n").agg(
@@ -96,9 +96,10 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     )
     frac = F.col("_pos") - F.col("_rlo").cast("double")
     q = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * frac
+    found = F.when(q.isNull(), F.raise_error(F.lit("quantile rank outside of its bracket"))).otherwise(q)
     out = picked.groupBy(*g).agg(
         F.max("_n").alias("n"),
-        *[F.max(F.when(F.col("_k") == k, q)).alias(nm) for k, nm in enumerate(names)])
+        *[F.max(F.when(F.col("_k") == k, found)).alias(nm) for k, nm in enumerate(names)])
     return out.drop("_all") if ungrouped else out
 
 
@@ -132,6 +133,6 @@ def rank_within_groups(df: DataFrame, group_cols: Sequence[str], hash_col: str,
                          F.sum("_cnt").over(wt).alias(size_col))
     wr = Window.partitionBy(*g, "_sb").orderBy(F.col(hash_col), *[F.col(c) for c in tie_cols])
     return (d.withColumn("_rn", F.row_number().over(wr))
-             .join(offs, g + ["_sb"])
+             .transform(lambda x: join_groups(x, offs, g + ["_sb"]))
              .withColumn(rank_col, F.col("_off") + F.col("_rn") - 1)
              .drop("_sb", "_rn", "_off"))

@@ -188,7 +188,7 @@ _STD_SQL = """
 SELECT fire_dispatch_id, fire_id, dispatch_id, report_type, replace(zone, 'ZONA ', '') AS zone, glosa, file_source,
        hr_despacho, hr_salida, hr_arribo, hr_control, hr_extincion, seq_ship, seq_part, seq_supp, seq_qty
 FROM (
-  SELECT *, row_number() OVER (PARTITION BY fire_dispatch_id ORDER BY seq_ship, seq_part, seq_supp, seq_qty) AS rn
+  SELECT *, row_number() OVER (PARTITION BY fire_dispatch_id, file_source ORDER BY seq_ship, seq_part, seq_supp, seq_qty) AS rn
   FROM (SELECT *, CAST(CAST(fire_id AS VARCHAR) || CAST(dispatch_id AS VARCHAR) AS BIGINT) AS fire_dispatch_id
         FROM dispatches WHERE report_type IN ('FOCO')) a
   WHERE length(CAST(fire_id AS VARCHAR)) = 9) b
@@ -199,7 +199,8 @@ WHERE rn = 1 AND zone IN ('ZONA CHILLAN', 'ZONA CONSTITUCION', 'ZONA ARAUCO', 'Z
 def std_dispatches(spark, d):
     return clean.standardize_dispatches(
         dispatches(spark, d), report_type_col="report_type", std_id_col="fire_dispatch_id",
-        dispatch_id_col="dispatch_id", fire_id_col="fire_id", zone_col="zone", order_cols=DISPATCH_ORDER)
+        dispatch_id_col="dispatch_id", fire_id_col="fire_id", zone_col="zone", order_cols=DISPATCH_ORDER,
+        file_col="file_source")
 
 
 add_view("std_dispatches", _STD_SQL, ["dispatches"])

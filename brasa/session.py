@@ -45,8 +45,9 @@ def get_spark(master: str | None = None, app: str = "brasa", **conf) -> SparkSes
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the setting is unset (local tests) do we create a scratch
-    folder and register it; on a cluster the configured shared path wins.
+    Only where it is unset and the master is local (tests, bench) do we create
+    a scratch folder and register it. On a cluster an unset folder is an error:
+    executors would each write their own disk.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -56,6 +57,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d and sc is not None:
         d = sc.getCheckpointDir()
     if not d:
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
         d = tempfile.mkdtemp(prefix="brasa-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None and not sc.getCheckpointDir():

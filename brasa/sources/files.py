@@ -40,30 +40,37 @@ def _expand(spark: SparkSession, path: str | Sequence[str], suffix: str = ".csv"
 SEQ_COL = "ROW_SEQ"
 
 
+def _header(spark: SparkSession, path: str) -> str:
+    """First line of a file, through the file system Spark itself uses."""
+    jvm = spark.sparkContext._jvm
+    hp = jvm.org.apache.hadoop.fs.Path(path)
+    stream = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(hp)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+    try:
+        return reader.readLine() or ""
+    finally:
+        reader.close()
+
+
 def load_csv(spark: SparkSession, path: str | Sequence[str], sep: str = ";",
              lineage_col: str = "ARCHIVO") -> DataFrame:
     """Read every file (all strings), normalise headers, tag the file stem,
-    drop all-empty rows, outer-union by name across header variants."""
-    files = _expand(spark, path)
-    r = spark.read.option("sep", sep).option("header", True).option("inferSchema", False)
-    df = r.csv(files)
-    stem = F.regexp_replace(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.[^.]*)?$", 1), r"\s", "_")
-    df = normalise_headers(df)
+    drop all-empty rows, outer-union by name across header variants.
+
+    Files with the same header line are one read, in order of the first of them."""
+    groups: dict[str, list[str]] = {}
+    for f in _expand(spark, path):
+        groups.setdefault(_header(spark, f), []).append(f)
+    # file names come URL-escaped; a plus sign is itself
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    stem = F.regexp_replace(F.regexp_extract(name, r"^(.*?)(\.[^.]*)?$", 1), r"\s", "_")
+    out = None
+    for files in groups.values():
+        df = spark.read.option("sep", sep).option("header", True).option("inferSchema", False).csv(files)
+        df = drop_all_null_rows(normalise_headers(df)).withColumn(lineage_col, stem)
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     # scan order (file, position): the row order keep-first rules refer to
-    df = drop_all_null_rows(df).withColumn(lineage_col, stem).withColumn(SEQ_COL, F.monotonically_increasing_id())
-    return df
-
-
-def load_csv_per_file(spark: SparkSession, path: str | Sequence[str], sep: str = ";",
-                      lineage_col: str = "ARCHIVO") -> DataFrame:
-    """Files whose headers differ: one read per file, then unionByName(allowMissingColumns)."""
-    from brasa.operators.schema import union_with_lineage
-    files = _expand(spark, path)
-    frames = {}
-    for f in files:
-        name = os.path.splitext(os.path.basename(f))[0]
-        frames[name] = normalise_headers(spark.read.option("sep", sep).option("header", True).csv(f))
-    return union_with_lineage(frames, lineage_col)
+    return out.withColumn(SEQ_COL, F.monotonically_increasing_id())
 
 
 WEATHER_RENAME = {"FICHA": "fire_id", "TEMPERATURA": "temperature", "HUMEDAD_RELATIVA": "relative_humidity",

@@ -196,3 +196,45 @@ def test_idempotent_merges_and_stable_keep_first(spark):
     b = clean.keep_first(d.repartition(7, "seq_part"), "k", order)
     assert a.count() == d.select("k").distinct().count()
     assert a.exceptAll(b.select(*a.columns)).count() == 0
+
+
+def test_rows_without_a_key_are_not_duplicates(spark):
+    from brasa.operators import clean
+    df = spark.createDataFrame([(1, 1, "a"), (1, 2, "a"), (None, 3, "a"), (None, 4, "a")], "k int, seq int, f string")
+    assert sorted(r.seq for r in clean.keep_first(df, "k", ["seq"]).collect()) == [1, 3, 4]
+
+
+def test_dispatch_ids_are_deduplicated_within_a_file(spark):
+    from brasa.operators import clean
+    rows = [("FOCO", 123456789, 5, "ZONA ARAUCO", "a", 1), ("FOCO", 123456789, 5, "ZONA ARAUCO", "a", 2), ("FOCO", 123456789, 5, "ZONA ARAUCO", "b", 3)]
+    df = spark.createDataFrame(rows, "TIPO_FICHA string, ID_FOCO_INCENDIO long, ID_DESPACHO long, ZONA string, ARCHIVO string, seq int")
+    out = clean.standardize_dispatches(df, order_cols=["seq"], file_col="ARCHIVO").collect()
+    assert sorted((r.ARCHIVO, r.seq) for r in out) == [("a", 1), ("b", 3)]
+
+
+def test_split_and_scores_keep_rows_without_a_zone(spark):
+    from brasa.operators import model, reduce
+    df = spark.createDataFrame([(i, "Costa" if i % 2 else None, "1", "Pino") for i in range(10)],
+                               "fire_id long, zone_WE string, zone_NS string, initial_fuel string")
+    assert model.add_zone_predictions(df, {}).count() == 10
+    out = reduce.learn_groupwise_mapping(df.withColumn("initial_fuel_reduced", df.initial_fuel), categories=None)
+    assert {r.initial_fuel for r in out.collect()} == {"Pino"}
+
+
+def test_checkpoint_folder_must_be_named_on_a_cluster():
+    import pytest
+    from brasa.session import checkpoint_dir
+
+    class Context:
+        master = "yarn"
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        class conf:
+            @staticmethod
+            def get(k, d=None):
+                return d
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(Session())

@@ -22,8 +22,16 @@ def test_load_csv_headers_lineage_and_empty_rows(spark, tmp):
     assert set(df.columns) == {"FICHA", "SUP_INICIAL", "ARCHIVO", "ROW_SEQ"}
     got = sorted((r["FICHA"], r["ARCHIVO"]) for r in df.collect())
     assert got == [("123456789", "incendios_2019"), ("223456789", "incendios_2020")]
-    per = S.load_csv_per_file(spark, [f"{tmp}/in/incendios_2019.csv", f"{tmp}/in/incendios_2020.csv"])
-    assert per.count() == 2
+
+
+def test_load_csv_header_variants_and_names(spark, tmp):
+    """Columns in another order, a further column, and a file name with a blank, a plus and a percent sign."""
+    _write(f"{tmp}/in/a 1+x.csv", "FICHA;SUP;CAUSA\n1;10;x\n2;20;y\n")
+    _write(f"{tmp}/in/b%2.csv", "FICHA;CAUSA;SUP;OTRA\n3;z;30;o\n")
+    got = {r["FICHA"]: r.asDict() for r in S.load_csv(spark, f"{tmp}/in").collect()}
+    assert (got["2"]["SUP"], got["2"]["CAUSA"], got["2"]["OTRA"], got["2"]["ARCHIVO"]) == ("20", "y", None, "a_1+x")
+    assert (got["3"]["SUP"], got["3"]["CAUSA"], got["3"]["OTRA"], got["3"]["ARCHIVO"]) == ("30", "z", "o", "b%2")
+    assert got["1"]["ROW_SEQ"] < got["2"]["ROW_SEQ"]
 
 
 def test_missing_csv_raises(spark, tmp):

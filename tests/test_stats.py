@@ -17,7 +17,7 @@ def _data(spark, n=3000, seed=0):
 def test_exact_quantiles_match_numpy(spark):
     pdf, df = _data(spark)
     probs = [0.0, 0.05, 0.1, 0.5, 0.9, 0.95, 1.0]
-    for kw in ({}, {"method": "window"}, {"small_group_rows": 5, "accuracy": 500}):
+    for kw in ({}, {"accuracy": 500}, {"accuracy": 20_000}):
         out = exact_quantiles(df, ["g"], "v", probs, **kw).toPandas()
         for _, row in out.iterrows():
             x = pdf[pdf.g == row.g].v.dropna().to_numpy()
@@ -41,3 +41,12 @@ def test_rank_within_groups_is_exact(spark):
         s = sub.sort_values(["h", "id"])
         assert (s["_rank"].to_numpy() == np.arange(len(s))).all()
         assert (s["_group_n"] == len(s)).all()
+
+
+def test_null_group_is_a_group(spark):
+    """Quantiles and ranks keep rows whose group key is NULL, at every size of the bracket."""
+    df = spark.range(4000).selectExpr("IF(id % 4 = 0, NULL, id % 4) AS g", "CAST(id AS DOUBLE) AS v", "md5(CAST(id AS STRING)) AS h", "id")
+    for accuracy in (100_000, 500):
+        out = {r.g: (r.n, r.q) for r in exact_quantiles(df, ["g"], "v", [0.5], ["q"], accuracy=accuracy).collect()}
+        assert out[None] == (1000, 1998.0) and len(out) == 4
+    assert rank_within_groups(df, ["g"], "h", ["id"]).count() == 4000
