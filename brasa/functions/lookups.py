@@ -104,9 +104,7 @@ COVARIATES = [
 COVARIATES_CATEGORICAL = ["initial_fuel_reduced", "diurnal_nocturnal", "high_season"]
 PI_COVARIATES = ["diurnal_nocturnal", "high_season"]
 TARGET = "propagation_speed_mm"
-MONOTONE_SIGNS = {"temperature": 1, "wind_speed_kmh": 1, "relative_humidity": -1, "slope_degrees": 1}
-
-# Feature table layout (ids, geo, time, factors, covariates, targets, others).
+# Feature table layout (ids, geo, time, factors, covariates, targets, others).
 FEATURE_COLUMNS = (
     ["fire_id", "longitude", "latitude", "start_datetime", "zone_WE", "zone_NS",
      "temperature", "wind_speed_kmh", "relative_humidity", "slope_degrees", "sin_hour",

@@ -8,7 +8,6 @@ floating sums are rounded (9 dp; terrain 6 dp) on both sides.
 
 from __future__ import annotations
 
-from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -954,8 +953,3 @@ def q_preprocess_dispatches(spark, d):
 _pd = ORACLE["preprocess_dispatches"]
 _h, _, _t = _pd.partition("\nWITH arr AS")
 ORACLE["preprocess_dispatches"] = _h + ",\narr AS" + _t
-
-
-@lru_cache(maxsize=1)
-def names() -> tuple[str, ...]:
-    return tuple(SPARK)
