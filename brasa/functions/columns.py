@@ -85,3 +85,10 @@ def ratio_with_inf(num, den) -> Column:
         .when(num < 0, F.lit(float("-inf")))
         .otherwise(F.lit(None).cast("double"))
     )
+
+
+def require(df, ok, message):
+    """Fail the job on the first row where ``ok`` is not true.  A filter, so that no
+    column pruning above it can drop the check."""
+    message = F.lit(message) if isinstance(message, str) else message
+    return df.where(F.when(ok, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brasa.functions.columns import lookup, parse_decimal_text
+from brasa.functions.columns import lookup, parse_decimal_text, require
 from brasa.functions.lookups import (
     DISPATCH_ZONES, REPORT_TYPES, TARGET_ZONE_OTHER, TARGET_ZONES, ZONE_PREFIX,
     ZONE_FACTORS, ZONE_NS_LEVELS, ZONE_WE_LEVELS,
@@ -166,10 +166,8 @@ def surface_violations(df: DataFrame, initial: str = "initial_surface_ha", final
 def validate_surface(df: DataFrame, initial: str = "initial_surface_ha", final: str = "final_surface_ha") -> DataFrame:
     """Lazy assertion: the first violating row fails the job (no extra pass)."""
     i, f = F.col(initial), F.col(final)
-    bad = (i < 0) | (f < 0) | (i.isNotNull() & f.isNotNull() & (f < i))
-    return df.withColumn(initial, F.when(F.coalesce(bad, F.lit(False)),
-                                         F.raise_error(F.lit("surface violation: negative area or final < initial"))
-                                         ).otherwise(i))
+    bad = (i < 0) | (f < 0) | (f < i)
+    return require(df, ~F.coalesce(bad, F.lit(False)), "surface violation: negative area or final < initial")
 
 
 # ---- F9 -------------------------------------------------------------------
@@ -211,7 +209,7 @@ def drop_missing(df: DataFrame, subset: Sequence[str] | None = None) -> DataFram
 def zone_factors(df: DataFrame, factors: Sequence[str] = ZONE_FACTORS, check: bool = True) -> DataFrame:
     """Drop rows missing a zone factor, make ``zone_NS`` integer text, check levels.
 
-    The level check is a lazy per-row assertion (``raise_error``), not an
+    The level check is a lazy per-row assertion (a filter, see ``require``), not an
     extra pass over the data.
     """
     out = df.na.drop("any", subset=list(factors))
@@ -219,6 +217,6 @@ def zone_factors(df: DataFrame, factors: Sequence[str] = ZONE_FACTORS, check: bo
     out = out.withColumn(f2, F.col(f2).try_cast("double").try_cast("bigint").cast("string"))
     if check:
         for f, levels in ((f1, ZONE_WE_LEVELS), (f2, ZONE_NS_LEVELS)):
-            out = out.withColumn(f, F.when(F.col(f).isin(levels), F.col(f)).otherwise(
-                F.raise_error(F.concat(F.lit(f"{f} contains an unexpected level: "), F.coalesce(F.col(f), F.lit("NULL"))))))
+            out = require(out, F.col(f).isin(levels),
+                          F.concat(F.lit(f"{f} contains an unexpected level: "), F.coalesce(F.col(f), F.lit("NULL"))))
     return out

@@ -1,7 +1,8 @@
 """Geospatial operators: point-in-polygon zones, raster sampling, terrain.
 
-Polygons arrive as ``(area, ring ARRAY<STRUCT<x, y>>)``; rasters as cell
-tables ``(row, col, value)`` plus a one-row georeferencing record.
+Polygons arrive as ``(area, ring ARRAY<STRUCT<x, y>>)``, with an optional
+``holes`` array of rings; rasters as cell tables ``(row, col, value)`` plus a
+one-row georeferencing record.
 """
 
 from __future__ import annotations
@@ -13,23 +14,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brasa.functions.lookups import ZONE_NS_LEVELS, ZONE_WE_LEVELS
+from brasa.session import cut_lineage
 
-# polygon cell tables up to this many rows are broadcast to the point side
-MAX_BROADCAST_CELLS = 2_000_000
+# a polygon layer's cell table and edge table are broadcast up to this many bytes each
+BROADCAST_BYTES = 64 << 20
 
 
 # ---- J8 -----------------------------------------------------------------------
 def _edges(ring):
     """Array of (x1, y1, x2, y2) for consecutive vertices (closing edge included)."""
     n = F.size(ring)
-    return F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(
-        ring[i]["x"].alias("x1"), ring[i]["y"].alias("y1"),
+    return F.transform(ring, lambda p, i: F.struct(
+        p["x"].alias("x1"), p["y"].alias("y1"),
         ring[(i + 1) % n]["x"].alias("x2"), ring[(i + 1) % n]["y"].alias("y2")))
 
 
-def point_within(px, py, ring):
-    """Strictly inside (even-odd ray casting; points on an edge are not within)."""
-    edges = _edges(ring)
+def polygon_edges(polygons: DataFrame):
+    """Edges of the outer ring and of every hole (optional column ``holes``, an array of rings)."""
+    outer = _edges(F.col("ring"))
+    if "holes" not in polygons.columns:
+        return outer
+    inner = F.flatten(F.transform(F.col("holes"), _edges))
+    return F.concat(outer, F.coalesce(inner, F.slice(outer, 1, 0)))
+
+
+def point_within(px, py, edges):
+    """Strictly inside (even-odd ray casting over the edges of all rings, so a hole is
+    outside; points on an edge are not within)."""
     crossings = F.aggregate(edges, F.lit(0), lambda acc, e: acc + F.when(
         ((e["y1"] > py) != (e["y2"] > py)) &
         (px < (e["x2"] - e["x1"]) * (py - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]), 1).otherwise(0))
@@ -40,16 +51,22 @@ def point_within(px, py, ring):
     return ((crossings % 2) == 1) & ~on_edge
 
 
-def polygon_cells(polygons: DataFrame, cell: float, zone_col: str = "area") -> DataFrame:
-    """Explode each polygon's bounding box into grid cells ``(cx, cy)``."""
+def _bounds():
+    """min x, max x, min y, max y of the outer ring."""
     xs = F.transform(F.col("ring"), lambda p: p["x"])
     ys = F.transform(F.col("ring"), lambda p: p["y"])
-    b = polygons.select(zone_col, "ring",
-                        F.floor(F.array_min(xs) / cell).alias("_x0"), F.floor(F.array_max(xs) / cell).alias("_x1"),
-                        F.floor(F.array_min(ys) / cell).alias("_y0"), F.floor(F.array_max(ys) / cell).alias("_y1"))
-    return (b.withColumn("cx", F.explode(F.sequence("_x0", "_x1")))
-             .withColumn("cy", F.explode(F.sequence("_y0", "_y1")))
-             .drop("_x0", "_x1", "_y0", "_y1"))
+    return [f(v) for v in (xs, ys) for f in (F.array_min, F.array_max)]
+
+
+def _cell_range(cell: float):
+    return [F.floor(v / cell) for v in _bounds()]
+
+
+def polygon_cells(polygons: DataFrame, cell: float) -> DataFrame:
+    """Explode each polygon's bounding box into grid cells ``(cx, cy, _poly)``."""
+    x0, x1, y0, y1 = _cell_range(cell)
+    return (polygons.select("_poly", y0.alias("_y0"), y1.alias("_y1"), F.explode(F.sequence(x0, x1)).alias("cx"))
+                    .select("cx", F.explode(F.sequence("_y0", "_y1")).alias("cy"), "_poly"))
 
 
 def add_zones(df: DataFrame, polygons: DataFrame, *, lon_col: str = "longitude", lat_col: str = "latitude",
@@ -57,26 +74,36 @@ def add_zones(df: DataFrame, polygons: DataFrame, *, lon_col: str = "longitude",
               cell: float | None = None, cells_per_polygon: int = 64) -> DataFrame:
     """Spatial join: each point gets the area of every polygon it lies *within*.
 
-    Points outside all polygons are dropped; overlapping polygons duplicate the
-    point.  Plan: equi join on a grid cell key (no nested-loop join), then the
-    exact ray-casting predicate.  The polygon layer is reference data; its cell
-    table is counted and broadcast only below ``MAX_BROADCAST_CELLS`` rows,
-    otherwise it is a shuffle join (AQE splits hot cells).
+    Points outside all polygons, or in a hole, are dropped; overlapping polygons
+    duplicate the point.  Plan: points meet polygon numbers on a grid cell key
+    (no nested-loop join), fetch that polygon's edges by number, then the exact
+    ray-casting predicate.  Edges are built once per polygon and written with its
+    number; the cell and edge tables are broadcast when their measured bytes are
+    at most ``BROADCAST_BYTES``, otherwise shuffled (AQE splits hot cells).
     """
+    keep = [c for c in ("ring", "holes") if c in polygons.columns]
+    layer = cut_lineage(polygons.select(F.col(zone_col).alias(new_zone_col), *keep)
+                        .withColumn("_edges", polygon_edges(polygons)).drop("holes")
+                        .withColumn("_poly", F.monotonically_increasing_id()))
     if cell is None:
         # one small aggregate over the polygon layer picks the grid size
-        ext = polygons.select(
-            F.array_max(F.transform("ring", lambda p: p["x"])) - F.array_min(F.transform("ring", lambda p: p["x"])),
-            F.array_max(F.transform("ring", lambda p: p["y"])) - F.array_min(F.transform("ring", lambda p: p["y"])),
-        ).toDF("w", "h").agg(F.percentile_approx(F.greatest("w", "h"), 0.5).alias("m")).first()["m"]
-        cell = (ext or 1.0) / math.sqrt(cells_per_polygon)
-    cells = polygon_cells(polygons, cell, zone_col)
-    n_cells = cells.count()
-    cells = F.broadcast(cells) if n_cells <= MAX_BROADCAST_CELLS else cells
-    pts = df.withColumn("cx", F.floor(F.col(lon_col) / cell)).withColumn("cy", F.floor(F.col(lat_col) / cell))
-    j = pts.join(cells, ["cx", "cy"], "inner").where(point_within(F.col(lon_col), F.col(lat_col), F.col("ring")))
-    out = j.drop("cx", "cy", "ring").withColumnRenamed(zone_col, new_zone_col) if zone_col != new_zone_col \
-        else j.drop("cx", "cy", "ring")
+        x0, x1, y0, y1 = _bounds()
+        extent = layer.agg(F.percentile_approx(F.greatest(x1 - x0, y1 - y0), 0.5).alias("m")).first()["m"]
+        cell = (extent or 1.0) / math.sqrt(cells_per_polygon)
+    x0, x1, y0, y1 = _cell_range(cell)
+    size = layer.agg(F.sum((x1 - x0 + 1) * (y1 - y0 + 1) * 32).alias("cells"),
+                     F.sum(F.size("_edges") * 48 + F.length(new_zone_col) + 64).alias("edges")).first()
+
+    def sized(table, n_bytes):
+        return F.broadcast(table) if (n_bytes or 0) <= BROADCAST_BYTES else table
+
+    cells = sized(polygon_cells(layer, cell), size["cells"])
+    edges = sized(layer.select("_poly", new_zone_col, "_edges"), size["edges"])
+    pts = (df.drop(new_zone_col).withColumn("cx", F.floor(F.col(lon_col) / cell))
+             .withColumn("cy", F.floor(F.col(lat_col) / cell)))
+    out = (pts.join(cells, ["cx", "cy"]).join(edges, "_poly")
+              .where(point_within(F.col(lon_col), F.col(lat_col), F.col("_edges")))
+              .drop("cx", "cy", "_poly", "_edges"))
     if zone_threshold > 0:
         out = filter_by_group_count(out, new_zone_col, zone_threshold)
     return out
@@ -108,7 +135,7 @@ def split_zone(df: DataFrame, zone_col: str = "zone_alert", keys=("zone_WE", "zo
 # ---- raster metadata --------------------------------------------------------------
 @dataclass(frozen=True)
 class RasterMeta:
-    """Affine georeferencing of a north-up grid (``dy`` negative)."""
+    """Affine georeferencing of a north-up grid (``dy`` negative) in the coordinate system ``crs``."""
     x0: float
     dx: float
     y0: float
@@ -116,6 +143,7 @@ class RasterMeta:
     nrows: int
     ncols: int
     nodata: float | None = None
+    crs: str = "EPSG:4326"
 
     @property
     def bounds(self):
@@ -132,14 +160,16 @@ def raster_shape(cells: DataFrame) -> tuple[int, int]:
 
 # ---- J9 -----------------------------------------------------------------------
 def sample_raster(df: DataFrame, cells: DataFrame, meta: RasterMeta, *, x_col: str = "longitude",
-                  y_col: str = "latitude", out_col: str = "fuel") -> DataFrame:
+                  y_col: str = "latitude", out_col: str = "fuel", crs: str = "EPSG:4326") -> DataFrame:
     """Value of the cell containing each point (floor indexing); bounds are closed.
 
+    Points in another coordinate system than the raster's are projected first.
+
     Points outside the raster, on nodata, or on a missing cell get NULL; every
     point is kept (left join on the cell key, shuffle or broadcast by AQE).
     """
     left, bottom, right, top = meta.bounds
-    x, y = F.col(x_col), F.col(y_col)
+    x, y = project(x_col, y_col, crs, meta.crs)
     inb = (x >= left) & (x <= right) & (y >= bottom) & (y <= top)
     pts = (df.withColumn("_row", F.when(inb, F.floor((y - F.lit(meta.y0)) / F.lit(meta.dy))))
              .withColumn("_col", F.when(inb, F.floor((x - F.lit(meta.x0)) / F.lit(meta.dx)))))
@@ -155,12 +185,12 @@ def sample_raster(df: DataFrame, cells: DataFrame, meta: RasterMeta, *, x_col: s
 # ---- J10 ----------------------------------------------------------------------
 def sample_dem(df: DataFrame, terrain: DataFrame, meta: RasterMeta, *, x_col: str = "longitude",
                y_col: str = "latitude", id_col: str = "fire_id",
-               value_cols=("elevation", "slope_degrees", "aspect_degrees")) -> DataFrame:
+               value_cols=("elevation", "slope_degrees", "aspect_degrees"), crs: str = "EPSG:4326") -> DataFrame:
     """Terrain attributes at each point: cell = half-even rounded grid offset; outside -> NULL.
 
     Returns ``(id_col, *value_cols)`` (a topography table for ``merge_topo``).
     """
-    x, y = F.col(x_col), F.col(y_col)
+    x, y = project(x_col, y_col, crs, meta.crs)
     col = F.bround((x - F.lit(meta.x0)) / F.lit(meta.dx), 0).cast("bigint")
     row = F.bround((y - F.lit(meta.y0)) / F.lit(meta.dy), 0).cast("bigint")
     inside = (row >= 0) & (row < meta.nrows) & (col >= 0) & (col < meta.ncols)
@@ -172,26 +202,36 @@ def sample_dem(df: DataFrame, terrain: DataFrame, meta: RasterMeta, *, x_col: st
 
 # ---- X23 ----------------------------------------------------------------------
 _OFFSETS = [(dr, dc) for dr in (-1, 0, 1) for dc in (-1, 0, 1)]
+TILE = 64
 
 
 def terrain_attributes(dem: DataFrame, res_x: float, res_y: float, slope_units: str = "degrees",
                        nodata: float | None = None) -> DataFrame:
     """Horn (1981) slope and aspect per cell of an elevation grid.
 
-    Each cell sends its value to its 3x3 neighbourhood (``explode``) and one
-    grouped aggregate assembles every window: a single shuffle, no self joins.
-    Cells without a complete neighbourhood get NULL slope/aspect.  Aspect is
-    degrees clockwise from north in [0, 360); flat cells get -1.
+    Cells are shuffled once, by tile; only cells at a tile's border also go to
+    the tiles beside it.  Within its tile each cell sends its value to its 3x3
+    neighbourhood and one grouped aggregate, on the same partitioning, assembles
+    every window.  Cells without a complete neighbourhood get NULL slope/aspect.
+    Aspect is degrees clockwise from north in [0, 360); flat cells get -1.
     """
     v = F.col("value")
     if nodata is not None:
         v = F.when(v != F.lit(float(nodata)), v)
-    sent = dem.select(F.explode(F.array(*[F.struct(
+
+    def tiles(c):
+        return F.array_distinct(F.array(*[F.floor((F.col(c) + d) / TILE) for d in (-1, 0, 1)]))
+
+    tiled = (dem.select("row", "col", v.alias("z"))
+                .withColumn("_tr", F.explode(tiles("row"))).withColumn("_tc", F.explode(tiles("col")))
+                .repartition("_tr", "_tc"))
+    sent = tiled.select("_tr", "_tc", "z", F.explode(F.array(*[F.struct(
         (F.col("row") - dr).alias("row"), (F.col("col") - dc).alias("col"),
-        F.lit(dr * 3 + dc + 4).alias("pos"), v.alias("z")) for dr, dc in _OFFSETS])).alias("s")).select("s.*")
-    win = sent.groupBy("row", "col").agg(
+        F.lit(dr * 3 + dc + 4).alias("pos")) for dr, dc in _OFFSETS])).alias("s")).select("_tr", "_tc", "z", "s.*")
+    sent = sent.where((F.floor(F.col("row") / TILE) == F.col("_tr")) & (F.floor(F.col("col") / TILE) == F.col("_tc")))
+    win = sent.groupBy("_tr", "_tc", "row", "col").agg(
         *[F.max(F.when(F.col("pos") == i, F.col("z"))).alias(f"z{i}") for i in range(9)],
-        F.count(F.col("z")).alias("_k"))
+        F.count(F.col("z")).alias("_k"), F.count_if(F.col("pos") == 4).alias("_own"))
     z = [F.col(f"z{i}") for i in range(9)]   # z0 z1 z2 / z3 z4 z5 / z6 z7 z8 (row-major, north up)
     dzdx = ((z[2] + 2 * z[5] + z[8]) - (z[0] + 2 * z[3] + z[6])) / F.lit(8.0 * res_x)
     dzdy = ((z[6] + 2 * z[7] + z[8]) - (z[0] + 2 * z[1] + z[2])) / F.lit(8.0 * res_y)
@@ -202,10 +242,9 @@ def terrain_attributes(dem: DataFrame, res_x: float, res_y: float, slope_units:
     aspect = F.when(rise == 0, F.lit(-1.0)).otherwise(F.when(aspect < 0, aspect + 360.0).otherwise(aspect))
     full = F.col("_k") == 9
     slope_col = "slope_degrees" if slope_units.lower().startswith("deg") else "slope_radians"
-    cells = dem.select(F.col("row"), F.col("col"), v.alias("elevation"))
-    return (cells.join(win, ["row", "col"], "left")
-                 .select("row", "col", "elevation",
-                         F.when(full, slope).alias(slope_col), F.when(full, aspect).alias("aspect_degrees")))
+    return (win.where("_own > 0")
+               .select("row", "col", z[4].alias("elevation"),
+                       F.when(full, slope).alias(slope_col), F.when(full, aspect).alias("aspect_degrees")))
 
 
 # ---- X22 ----------------------------------------------------------------------
@@ -239,3 +278,19 @@ def to_utm(zone: int, south: bool, lon_col: str = "longitude", lat_col: str = "l
     north = F.lit(k0 * A) * nn + F.lit(10000000.0 if south else 0.0)
     return east, north
 
+
+
+def project(x_col: str, y_col: str, source: str, target: str):
+    """Coordinate columns in the ``target`` system.
+
+    Longitude/latitude (EPSG:4326) go to Web Mercator (EPSG:3857) or to a WGS84
+    UTM zone (EPSG:326zz north, 327zz south); any other pair is an error.
+    """
+    if source == target:
+        return F.col(x_col), F.col(y_col)
+    code = target.removeprefix("EPSG:")
+    if source == "EPSG:4326" and code == "3857":
+        return to_web_mercator(x_col, y_col)
+    if source == "EPSG:4326" and len(code) == 5 and code[:3] in ("326", "327"):
+        return to_utm(int(code[3:]), code[:3] == "327", x_col, y_col)
+    raise ValueError(f"no projection from {source} to {target}")

@@ -118,10 +118,10 @@ def apply_groupwise_mapping(df: DataFrame, mapping: DataFrame, factors: Sequence
                             unknown_label: str = "Unknown", fill_unmapped: bool = True) -> DataFrame:
     """Left join on (f1, f2, source); unmapped -> ``unknown_label``. Replaces an existing target.
 
-    The mapping has at most zones x categories rows (bounded), so it is broadcast.
+    Spark broadcasts the mapping by its measured size.
     """
     f = list(factors)
-    m = F.broadcast(mapping.select(*f, source_col, F.col(target_col).alias("_mapped")))
+    m = mapping.select(*f, source_col, F.col(target_col).alias("_mapped"))
     out = df.drop(target_col).join(m, f + [source_col], "left")
     val = F.coalesce(F.col("_mapped"), F.lit(unknown_label)) if fill_unmapped else F.col("_mapped")
     return out.withColumn(target_col, val).drop("_mapped")

@@ -108,7 +108,7 @@ DEPS["weather"] = []
 
 # polygon edges (area, poly, x1, y1, x2, y2): the same quadrilaterals as the Spark layer
 VIEWS["poly_vertices"] = f"""
-SELECT area, poly, vi, x, y FROM (
+SELECT area, poly, 0 AS ring, vi, x, y FROM (
   SELECT {_lst(ZONE_WE_LEVELS)}[i % 3 + 1] || ' ' || CAST(i // 3 + 1 AS VARCHAR) AS area, i AS poly,
          -74.0::DOUBLE + CAST(i % 3 AS DOUBLE) * (4.0::DOUBLE / 3.0::DOUBLE) + 0.0013::DOUBLE AS xw,
          -40.0::DOUBLE + CAST(i // 3 AS DOUBLE) * 1.2::DOUBLE + 0.0017::DOUBLE AS ys
@@ -119,15 +119,19 @@ SELECT area, poly, vi, x, y FROM (
   (2, xw + 4.0::DOUBLE / 3.0::DOUBLE + 0.05::DOUBLE, ys + 1.2::DOUBLE),
   (3, xw + 0.05::DOUBLE, ys + 1.2::DOUBLE)) v(vi, x, y)
 UNION ALL
-SELECT 'Valle 2', 15, vi, x, y FROM (VALUES (0, -73.9::DOUBLE, -39.9::DOUBLE), (1, -72.3::DOUBLE, -39.5::DOUBLE), (2, -73.2::DOUBLE, -38.1::DOUBLE)) t(vi, x, y)
+SELECT 'Valle 2', 15, 0, vi, x, y FROM (VALUES (0, -73.9::DOUBLE, -39.9::DOUBLE), (1, -72.3::DOUBLE, -39.5::DOUBLE), (2, -73.2::DOUBLE, -38.1::DOUBLE)) t(vi, x, y)
+UNION ALL
+SELECT {_lst(ZONE_WE_LEVELS)}[3] || ' 3', 16, ring, vi, x, y FROM (VALUES
+  (0, 0, -72.5::DOUBLE, -37.3::DOUBLE), (0, 1, -70.8::DOUBLE, -37.2::DOUBLE), (0, 2, -71.4::DOUBLE, -35.5::DOUBLE),
+  (1, 0, -72.0::DOUBLE, -36.9::DOUBLE), (1, 1, -71.1::DOUBLE, -36.9::DOUBLE), (1, 2, -71.5::DOUBLE, -36.1::DOUBLE)) h(ring, vi, x, y)
 """
 DEPS["poly_vertices"] = []
 
 VIEWS["poly_edges"] = """
 SELECT a.area, a.poly, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2
 FROM poly_vertices a
-JOIN (SELECT poly, max(vi) + 1 AS nv FROM poly_vertices GROUP BY poly) m ON a.poly = m.poly
-JOIN poly_vertices b ON b.poly = a.poly AND b.vi = (a.vi + 1) % m.nv
+JOIN (SELECT poly, ring, max(vi) + 1 AS nv FROM poly_vertices GROUP BY poly, ring) m ON a.poly = m.poly AND a.ring = m.ring
+JOIN poly_vertices b ON b.poly = a.poly AND b.ring = a.ring AND b.vi = (a.vi + 1) % m.nv
 """
 DEPS["poly_edges"] = ["poly_vertices"]
 

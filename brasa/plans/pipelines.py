@@ -34,7 +34,7 @@ def preprocessing(fires: DataFrame, dispatches: DataFrame, *, dispatch_order: Se
     f, d = match.match_fires_and_dispatches(f, d, "fire_id")
     f = match.zone_from_dispatch(f, d, "zone", "fire_id", dispatch_order)
     f = clean.filter_target_zones(f)
-    f = clean.normalise_surface(f)
+    f = clean.validate_surface(clean.normalise_surface(f))
     d = clean.coerce_hr_columns(d)
     d = match.merge_dispatch_fire(f, d)
     d, _ = match.detect_and_fix_time_anomalies(f, d)
@@ -116,6 +116,8 @@ def postprocessing(df: DataFrame, thresholds=None, *, zone_col: str = "zone_aler
     returns ``(table, fuel_mapping)``."""
     out = clean.filter_by_range(df, thresholds or DEFAULT_THRESHOLDS)
     out = clean.zone_factors(out)
+    if out.isEmpty():
+        raise ValueError("no rows remain after the zone factor filter")
     out = R.filter_low_observation_zones(out, min_observations, zone_col)
     out = clean.drop_missing(out)
     out = R.add_fuel_reduced(out, min_fuel_samples=min_fuel_samples)

@@ -480,6 +480,31 @@ def q_raster_fuel(spark, d):
     return s.select("fire_id", "fuel_code", X.fuel_code_label("fuel_code").alias("initial_fuel"))
 
 
+MERC_X0, MERC_DX, MERC_TOP, MERC_HEIGHT = -8182501.7, 3901.3, -4003302.9, 860000.0
+
+
+@query("raster_fuel_reprojected", f"""
+SELECT p.fire_id, CASE WHEN c.value <> {D.FUEL_NODATA}::DOUBLE THEN c.value END AS fuel_code
+FROM (
+  SELECT q.fire_id, CAST(floor((y - {MERC_TOP}::DOUBLE) / m.dy) AS BIGINT) AS r,
+         CAST(floor((x - {MERC_X0}::DOUBLE) / {MERC_DX}::DOUBLE) AS BIGINT) AS c,
+         x >= {MERC_X0}::DOUBLE AND x <= {MERC_X0}::DOUBLE + {MERC_DX}::DOUBLE * {D.FUEL_NCOLS}
+           AND y <= {MERC_TOP}::DOUBLE AND y >= {MERC_TOP}::DOUBLE + m.dy * m.nrows AS inside
+  FROM (SELECT fire_id, radians(longitude) * 6378137.0::DOUBLE AS x,
+               ln(tan(pi() / 4 + radians(latitude) / 2)) * 6378137.0::DOUBLE AS y FROM fires) q,
+       (SELECT max("row") + 1 AS nrows, -{MERC_HEIGHT}::DOUBLE / (max("row") + 1) AS dy FROM fuel_raster) m
+) p LEFT JOIN fuel_raster c ON p.inside AND c."row" = p.r AND c.col = p.c
+""", ["fires", "fuel_raster"])
+def q_raster_fuel_reprojected(spark, d):
+    """X22 + J9: points in longitude/latitude on a raster in Web Mercator."""
+    cells = D.fuel_raster(spark, d)
+    nrows, _ = geo.raster_shape(cells)
+    meta = geo.RasterMeta(MERC_X0, MERC_DX, MERC_TOP, -MERC_HEIGHT / nrows, nrows, D.FUEL_NCOLS, D.FUEL_NODATA,
+                          "EPSG:3857")
+    f = fires(spark, d).select("fire_id", "longitude", "latitude")
+    return geo.sample_raster(f, cells, meta, out_col="fuel_code").select("fire_id", "fuel_code")
+
+
 def dem_terrain(spark, d):
     dem = D.dem_raster(spark, d)
     nrows, _ = geo.raster_shape(dem)
@@ -898,12 +923,19 @@ def q_prediction_contributions(spark, d, n_trials: int = 1, max_iter: int = 10):
 
 
 # ================================================================ P1 preprocessing pipeline
+def valid_fires(spark, d):
+    """Fires that keep the surface rules: P1 fails on any other (see surface_violations)."""
+    return fires(spark, d).where("final_surface_ha >= initial_surface_ha")
+
+
 def _p1(spark, d):
     from brasa.plans.pipelines import preprocessing
-    return preprocessing(fires(spark, d), dispatches(spark, d), dispatch_order=DISPATCH_ORDER,
+    return preprocessing(valid_fires(spark, d), dispatches(spark, d), dispatch_order=DISPATCH_ORDER,
                          v1_sources=["despachos_a"], v2_sources=["despachos_b"])
 
 
+add_view("valid_fires", "SELECT * FROM fires WHERE final_surface_ha >= initial_surface_ha", ["fires"])
+
 add_view("p1_disp", r"""
 SELECT * REPLACE (
   CASE WHEN file_source = 'despachos_a' THEN
@@ -912,14 +944,14 @@ SELECT * REPLACE (
          regexp_replace(regexp_replace(regexp_replace(glosa, '^(BHA-(\d+)).*$', 'BHA\2'), '^(AA\d+).*$', '\1'), '^(BA\d+).*$', '\1')
        ELSE glosa END AS glosa)
 FROM std_dispatches
-WHERE fire_id IN (SELECT fire_id FROM fires WHERE length(CAST(fire_id AS VARCHAR)) = 9)
-""", ["std_dispatches", "fires"])
+WHERE fire_id IN (SELECT fire_id FROM valid_fires WHERE length(CAST(fire_id AS VARCHAR)) = 9)
+""", ["std_dispatches", "valid_fires"])
 
 add_view("p1_fires", """
 SELECT f.fire_id, f.season, z.zone, f.start_datetime, f.arrival_datetime_inc, f.control_datetime,
   CASE f.target_zone WHEN 'UNIDAD BASICA' THEN 'BASICA' WHEN 'ZONA INTERFAZ' THEN 'INTERFAZ' WHEN 'CONFLICTO' THEN 'CONFLICTO'
        WHEN 'VALDIVIA' THEN 'VALDIVIA' WHEN 'NOCTURNO' THEN 'NOCTURNO' END AS target_zone
-FROM fires f
+FROM valid_fires f
 LEFT JOIN (SELECT fire_id, zone FROM (
     SELECT fire_id, zone, row_number() OVER (PARTITION BY fire_id ORDER BY seq_ship, seq_part, seq_supp, seq_qty) AS rn
     FROM p1_disp WHERE zone IS NOT NULL) a WHERE rn = 1) z USING (fire_id)

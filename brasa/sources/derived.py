@@ -186,7 +186,8 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 def polygons(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
     """Zone layer ``(area, ring)``: a 3 x 5 grid of quadrilaterals with slanted
     west/east edges over lon [-74, -70], lat [-40, -34], plus one triangle
-    overlapping the first zones (overlaps duplicate points, as in a spatial join)."""
+    overlapping the first zones (overlaps duplicate points, as in a spatial join)
+    and one with a hole."""
     i = F.col("id")
     we, ns = (i % 3), (i / 3).cast("bigint")
     x_w = F.lit(-74.0) + we.cast("double") * F.lit(4.0 / 3.0) + F.lit(0.0013)
@@ -207,7 +208,12 @@ def polygons(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
         F.array(pt(F.lit(-73.9), F.lit(-39.9)), pt(F.lit(-72.3), F.lit(-39.5)),
                 pt(F.lit(-73.2), F.lit(-38.1))).alias("ring"),
     )
-    return quads.unionByName(tri)
+    hole = F.array(pt(F.lit(-72.0), F.lit(-36.9)), pt(F.lit(-71.1), F.lit(-36.9)), pt(F.lit(-71.5), F.lit(-36.1)))
+    holed = spark.range(1).select(
+        F.concat(_pick(ZONE_WE_LEVELS, F.col("id") + 2), F.lit(" 3")).alias("area"),
+        F.array(pt(F.lit(-72.5), F.lit(-37.3)), pt(F.lit(-70.8), F.lit(-37.2)), pt(F.lit(-71.4), F.lit(-35.5))).alias("ring"),
+        F.array(hole).alias("holes"))
+    return quads.unionByName(tri).unionByName(holed, allowMissingColumns=True)
 
 
 def fuel_raster(spark: SparkSession, sf_dir: str) -> DataFrame:

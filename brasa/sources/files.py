@@ -142,37 +142,45 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", sep: str = ";",
 
 # ---- S10 / S11 ------------------------------------------------------------------
 def polygons_from_wkt(df: DataFrame, wkt_col: str = "wkt", area_col: str = "area") -> DataFrame:
-    """``POLYGON ((x y, x y, ...))`` text -> ``(area, ring ARRAY<STRUCT<x, y>>)``.
+    """``POLYGON ((x y, x y, ...), (...))`` text -> ``(area, ring, holes)``.
 
-    The outer ring only (holes are dropped); a closing vertex equal to the
-    first is removed.  ``MULTIPOLYGON`` rows explode into one row per part.
+    Rings are ``ARRAY<STRUCT<x, y>>`` without the closing vertex; ``holes`` is the
+    array of inner rings.  ``MULTIPOLYGON`` rows explode into one row per part.
     """
     body = F.regexp_replace(F.upper(F.col(wkt_col)), r"^\s*(MULTI)?POLYGON\s*", "")
-    parts = F.regexp_extract_all(body, F.lit(r"\(\(([^()]*)\)"), 1)
-    x = df.select(F.col(area_col).alias("area"), F.explode(parts).alias("_ring"))
-    pts = F.transform(F.split(F.trim("_ring"), r"\s*,\s*"),
-                      lambda p: F.struct(F.split(F.trim(p), r"\s+")[0].cast("double").alias("x"),
-                                         F.split(F.trim(p), r"\s+")[1].cast("double").alias("y")))
-    ring = F.when((F.size(pts) > 1) & (pts[0] == F.element_at(pts, -1)), F.slice(pts, 1, F.size(pts) - 1)).otherwise(pts)
-    return x.select("area", ring.alias("ring"))
+    part = F.regexp_extract_all(body, F.lit(r"\(\s*\([^()]*\)(\s*,\s*\([^()]*\))*\s*\)"), 0)
+    x = df.select(F.col(area_col).alias("area"), F.explode(part).alias("_part"))
+
+    def points(text):
+        pts = F.transform(F.split(F.trim(text), r"\s*,\s*"),
+                          lambda p: F.struct(F.split(F.trim(p), r"\s+")[0].cast("double").alias("x"),
+                                             F.split(F.trim(p), r"\s+")[1].cast("double").alias("y")))
+        closed = (F.size(pts) > 1) & (pts[0] == F.element_at(pts, -1))
+        return F.when(closed, F.slice(pts, 1, F.size(pts) - 1)).otherwise(pts)
+
+    x = x.select("area", F.transform(F.regexp_extract_all("_part", F.lit(r"\(([^()]*)\)"), 1), points).alias("_rings"))
+    return x.select("area", F.col("_rings")[0].alias("ring"),
+                    F.slice("_rings", F.lit(2), F.size("_rings")).alias("holes"))
 
 
 def read_polygons(spark: SparkSession, path: str, fmt: str = "parquet", area_col: str = "area",
                   wkt_col: str | None = None) -> DataFrame:
-    """Zone layer: parquet/JSON with ``(area, ring)`` or a WKT text column."""
+    """Zone layer: parquet/JSON with ``(area, ring[, holes])`` or a WKT text column."""
     df = spark.read.format(fmt).load(path)
     if wkt_col:
         return polygons_from_wkt(df, wkt_col, area_col)
-    return df.select(F.col(area_col).alias("area"), F.col("ring"))
+    holes = ["holes"] if "holes" in df.columns else []
+    return df.select(F.col(area_col).alias("area"), "ring", *holes)
 
 
 def read_raster(spark: SparkSession, cells_path: str, meta_path: str):
     """Cell table ``(row, col, value)`` + one-row JSON georeferencing record
-    (``x0, dx, y0, dy, nrows, ncols, nodata``) -> ``(cells, RasterMeta)``."""
+    (``x0, dx, y0, dy, nrows, ncols, nodata, crs``) -> ``(cells, RasterMeta)``."""
     from brasa.operators.geo import RasterMeta
     m = spark.read.json(meta_path).first().asDict()          # one metadata record
     meta = RasterMeta(float(m["x0"]), float(m["dx"]), float(m["y0"]), float(m["dy"]), int(m["nrows"]),
-                      int(m["ncols"]), None if m.get("nodata") is None else float(m["nodata"]))
+                      int(m["ncols"]), None if m.get("nodata") is None else float(m["nodata"]),
+                      m.get("crs") or "EPSG:4326")
     cells = spark.read.parquet(cells_path).select(F.col("row").cast("bigint"), F.col("col").cast("bigint"),
                                                   F.col("value").cast("double"))
     return cells, meta

@@ -238,3 +238,44 @@ def test_checkpoint_folder_must_be_named_on_a_cluster():
                 return d
     with pytest.raises(RuntimeError):
         checkpoint_dir(Session())
+
+
+def test_checks_fire_when_only_the_key_is_read(spark):
+    from brasa.operators import model as M
+    bad = spark.createDataFrame([(1, "Sierra", "9", "unheard of", -1.0, 2.0)],
+                                "fire_id long, zone_WE string, zone_NS string, initial_fuel string, "
+                                "initial_surface_ha double, final_surface_ha double")
+    iv = spark.createDataFrame([("Costa", "1", 0.0, 1.0)], "zone_WE string, zone_NS string, lo double, hi double")
+    for checked in (clean.validate_surface(bad), clean.zone_factors(bad), X.map_local_fuel(bad),
+                    M.add_prediction_interval(bad, iv, pi_covariates=[], strict=True)):
+        with pytest.raises(Exception):
+            checked.select("fire_id").collect()
+
+
+def test_points_in_a_hole_are_outside(spark):
+    from brasa.sources.files import polygons_from_wkt
+    layer = polygons_from_wkt(spark.createDataFrame([
+        ("a", "POLYGON ((0 0, 10 0, 10 10, 0 10, 0 0), (4 4, 6 4, 6 6, 4 6, 4 4))"),
+        ("b", "MULTIPOLYGON (((20 0, 30 0, 30 10, 20 0)), ((40 0, 50 0, 50 10, 40 10, 40 0), (44 4, 46 4, 46 6, 44 4)))")],
+        "area string, wkt string"))
+    pts = spark.createDataFrame([(1, 2.0, 2.0), (2, 5.0, 5.0), (3, 29.0, 2.0), (4, 45.5, 4.5), (5, 41.0, 5.0), (6, 60.0, 1.0)],
+                                "fire_id long, longitude double, latitude double")
+    assert rows(geo.add_zones(pts, layer), "fire_id", "zone_alert") == [(1, "a"), (3, "b"), (5, "b")]
+
+
+def test_terrain_across_tile_borders(spark, monkeypatch):
+    grid = spark.range(400).selectExpr("id div 20 AS row", "id % 20 AS col", "CAST(id * id % 97 AS DOUBLE) AS value")
+    whole = {r[:2]: r for r in geo.terrain_attributes(grid, 10.0, 10.0).collect()}
+    monkeypatch.setattr(geo, "TILE", 3)
+    tiled = {r[:2]: r for r in geo.terrain_attributes(grid, 10.0, 10.0).collect()}
+    assert len(tiled) == 400 and tiled == whole
+    assert sum(r["slope_degrees"] is None for r in tiled.values()) == 76
+
+
+def test_projection_pairs(spark):
+    df = spark.createDataFrame([(-72.0, -37.0)], "longitude double, latitude double")
+    x, y = geo.project("longitude", "latitude", "EPSG:4326", "EPSG:32718")
+    east, north = df.select(x, y).first()
+    assert 766000 < east < 768000 and 5900000 < north < 5902000
+    with pytest.raises(ValueError):
+        geo.project("longitude", "latitude", "EPSG:4326", "EPSG:9999")
