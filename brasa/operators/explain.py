@@ -17,77 +17,65 @@ from collections.abc import Sequence
 
 import numpy as np
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import OneHotEncoderModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from brasa.operators.model import in_zone
 from brasa.session import checkpoint_dir
 
 
-def ensemble_arrays(model: PipelineModel) -> dict:
-    """Node arrays of every tree of the pipeline's final GBT stage."""
-    from pyspark.sql import SparkSession
-    gbt = model.stages[-1]
+def ensemble_arrays(model: PipelineModel, covariates: Sequence[str]) -> dict:
+    """Node arrays of every tree of the pipeline's final GBT stage, with the covariate of each split.
+
+    The node table comes as Arrow columns, trees x nodes rows (model size).  A
+    split on a 0/1 level feature is "equal to", any other one "at most".
+    """
     session = SparkSession.getActiveSession()
+    gbt = model.stages[-1]
     path = f"{checkpoint_dir(session).rstrip('/')}/brasa-model-{uuid.uuid4().hex}"
     gbt.write().save(path)
-    rows = (session.read.parquet(f"{path}/data")
-            .select("treeID", "nodeData.id", "nodeData.prediction", "nodeData.leftChild", "nodeData.rightChild",
-                    "nodeData.split.featureIndex", "nodeData.split.leftCategoriesOrThreshold",
-                    "nodeData.split.numCategories")
-            .collect())                                  # model size, not data size
-    trees = {}
-    for r in rows:
-        trees.setdefault(r["treeID"], []).append(r)
-    out = []
-    for tid in sorted(trees):
-        nodes = sorted(trees[tid], key=lambda r: r["id"])
-        n = max(r["id"] for r in nodes) + 1
-        value = np.zeros(n)
-        left = np.full(n, -1, dtype=np.int64)
-        right = np.full(n, -1, dtype=np.int64)
-        feat = np.zeros(n, dtype=np.int64)
-        thr = np.zeros(n)
-        cats: dict[int, np.ndarray] = {}
-        for r in nodes:
-            i = r["id"]
-            value[i] = r["prediction"]
-            left[i], right[i] = r["leftChild"], r["rightChild"]
-            if r["leftChild"] >= 0:
-                feat[i] = r["featureIndex"]
-                loc = r["leftCategoriesOrThreshold"]
-                if r["numCategories"] is not None and r["numCategories"] > 0:
-                    cats[i] = np.asarray(loc, dtype=float)
-                else:
-                    thr[i] = loc[0]
-        out.append(dict(value=value, left=left, right=right, feat=feat, thr=thr, cats=cats))
-    return {"trees": out, "weights": np.asarray(gbt.treeWeights, dtype=float), "n_features": gbt.numFeatures}
+    node = F.col("nodeData")
+    split = node["split"]
+    nodes = (session.read.parquet(f"{path}/data")
+             .select("treeID", node["id"].alias("id"), node["prediction"].alias("value"),
+                     node["leftChild"].alias("left"), node["rightChild"].alias("right"),
+                     split["featureIndex"].alias("feat"),
+                     F.coalesce(F.get(split["leftCategoriesOrThreshold"], 0), F.lit(0.0)).alias("thr"),
+                     F.coalesce(split["numCategories"] > 0, F.lit(False)).alias("equal"))
+             .toArrow().sort_by([("treeID", "ascending"), ("id", "ascending")]))
+    cols = {c: nodes[c].to_numpy() for c in nodes.column_names}
+    # vector slot -> covariate: one slot for a number, one for each level of a categorical
+    levels = {c.removeprefix("_").removesuffix("_hot"): n for st in model.stages if isinstance(st, OneHotEncoderModel)
+              for c, n in [(st.getOutputCol(), st.categorySizes[0])]}
+    owner = np.repeat(np.arange(len(covariates)), [levels.get(c, 1) for c in covariates])
+    cols["feat"] = np.where(cols["left"] >= 0, cols["feat"], 0)
+    starts = np.flatnonzero(np.diff(cols["treeID"], prepend=-1))
+    trees = [{k: v[i:j] for k, v in cols.items()} for i, j in zip(starts, [*starts[1:], len(cols["id"])])]
+    return {"trees": trees, "weights": np.asarray(gbt.treeWeights, dtype=float), "owner": owner,
+            "n_features": gbt.numFeatures}
 
 
 def path_contributions(X: np.ndarray, ens: dict) -> tuple[np.ndarray, np.ndarray]:
-    """(base_value per row, contributions n x p) for a batch of feature rows."""
-    n, p = X.shape
-    contrib = np.zeros((n, p))
-    base = np.zeros(n)
+    """(base_value per row, contributions rows x covariates) for a batch of feature rows."""
+    owner = ens["owner"]
+    contrib = np.zeros((len(X), owner[-1] + 1))
+    base = np.zeros(len(X))
     for tree, w in zip(ens["trees"], ens["weights"]):
-        value, left, right, feat, thr, cats = (tree[k] for k in ("value", "left", "right", "feat", "thr", "cats"))
-        node = np.zeros(n, dtype=np.int64)
+        value, left, right, feat = tree["value"], tree["left"], tree["right"], tree["feat"]
+        node = np.zeros(len(X), dtype=np.int64)
         base += w * value[0]
-        active = left[node] >= 0
-        while active.any():
-            idx = np.flatnonzero(active)
+        idx = np.flatnonzero(left[node] >= 0)
+        while len(idx):
             cur = node[idx]
             x = X[idx, feat[cur]]
-            go_left = x <= thr[cur]
-            for c in np.unique(cur):
-                if c in cats:
-                    m = cur == c
-                    go_left[m] = np.isin(x[m], cats[c])
+            go_left = np.where(tree["equal"][cur], x == tree["thr"][cur], x <= tree["thr"][cur])
             child = np.where(go_left, left[cur], right[cur])
-            np.add.at(contrib, (idx, feat[cur]), w * (value[child] - value[cur]))
+            np.add.at(contrib, (idx, owner[feat[cur]]), w * (value[child] - value[cur]))
             node[idx] = child
-            active = left[node] >= 0
+            idx = idx[left[child] >= 0]
     return base, contrib
 
 
@@ -105,11 +93,8 @@ def add_contributions(df: DataFrame, models: dict, covariates: Sequence[str], fa
     parts = []
     for key, pair in models.items():
         m = pair[which] if isinstance(pair, tuple) else pair
-        ens = df.sparkSession.sparkContext.broadcast(ensemble_arrays(m))
-        cond = F.lit(True)
-        for c, v in zip(f, key):
-            cond = cond & (F.col(c) == F.lit(v))
-        feats = PipelineModel(stages=m.stages[:-1]).transform(df.where(cond))
+        ens = df.sparkSession.sparkContext.broadcast(ensemble_arrays(m, covariates))
+        feats = PipelineModel(stages=m.stages[:-1]).transform(df.where(in_zone(f, key)))
         feats = feats.select(*keep, vector_to_array("_features").alias("_x"))
 
         def run(batches, ens=ens):
@@ -120,7 +105,7 @@ def add_contributions(df: DataFrame, models: dict, covariates: Sequence[str], fa
                 out = b[keep].copy()
                 out["base_value"] = base
                 for j, c in enumerate(shap_cols):
-                    out[c] = con[:, j] if con.shape[1] > j else 0.0
+                    out[c] = con[:, j]
                 out[prediction_col] = base + con.sum(axis=1)
                 yield out
 
@@ -129,87 +114,3 @@ def add_contributions(df: DataFrame, models: dict, covariates: Sequence[str], fa
     for p_ in parts[1:]:
         out = out.unionByName(p_)
     return out
-
-
-
-def zone_scorers(models: dict, covariates: Sequence[str], which: int = 1) -> dict:
-    """Per zone: categorical label lists (fitted indexers) + ensemble node arrays."""
-    from pyspark.ml.feature import StringIndexerModel
-    out = {}
-    for key, pair in models.items():
-        m = pair[which] if isinstance(pair, tuple) else pair
-        labels = {}
-        for st in m.stages:
-            if isinstance(st, StringIndexerModel):
-                labels[st.getInputCol()] = list(st.labels)
-        out[tuple(str(k) for k in key)] = {"labels": labels, "ens": ensemble_arrays(m)}
-    return out
-
-
-def _feature_matrix(pdf, covariates, labels) -> np.ndarray:
-    cols = []
-    for c in covariates:
-        if c in labels:
-            lut = {v: float(i) for i, v in enumerate(labels[c])}
-            cols.append(pdf[c].map(lut).fillna(float(len(labels[c]))).to_numpy(dtype=float))
-        else:
-            cols.append(pdf[c].astype(float).to_numpy())
-    return np.column_stack(cols) if cols else np.zeros((len(pdf), 0))
-
-
-def score_in_one_pass(df: DataFrame, models: dict, covariates: Sequence[str], factors=("zone_WE", "zone_NS"),
-                      which: int = 1, prediction_col: str = "prediction") -> DataFrame:
-    """M4 in a single scan: every row is routed to its zone's ensemble inside one
-    ``mapInPandas`` (bounded zone count; model tables broadcast).  Rows of zones
-    without a model get NULL.  Also usable on a streaming DataFrame."""
-    f = list(factors)
-    scorers = df.sparkSession.sparkContext.broadcast(zone_scorers(models, covariates, which))
-    schema = T.StructType(df.schema.fields + [T.StructField(prediction_col, T.DoubleType())])
-    cov = list(covariates)
-
-    def run(batches):
-        sc = scorers.value
-        for b in batches:
-            pred = np.full(len(b), np.nan)
-            if len(b):
-                zones = b[f].astype(str)
-                for key, idx in zones.groupby(f, sort=False).indices.items():
-                    k = tuple(key)
-                    if k not in sc:
-                        continue
-                    X = _feature_matrix(b.iloc[idx], cov, sc[k]["labels"])
-                    base, con = path_contributions(X, sc[k]["ens"])
-                    pred[idx] = base + con.sum(axis=1)
-            out = b.copy()
-            out[prediction_col] = pred
-            yield out
-
-    return df.mapInPandas(run, schema)
-
-
-def residuals_all_models(df: DataFrame, models: dict, covariates: Sequence[str], target: str,
-                         keep: Sequence[str], factors=("zone_WE", "zone_NS"), which: int = 1) -> DataFrame:
-    """One scan: every row scored by every zone model (bounded count) ->
-    ``(model zone factors, keep..., residual)`` rows."""
-    f = list(factors)
-    scorers = df.sparkSession.sparkContext.broadcast(zone_scorers(models, covariates, which))
-    keep = [c for c in keep if c not in f]
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in f] + [df.schema[c] for c in keep] +
-                          [T.StructField("_res", T.DoubleType())])
-    cov = list(covariates)
-    src = df.select(*set(cov) | set(keep) | {target})
-
-    def run(batches):
-        sc = scorers.value
-        for b in batches:
-            y = b[target].astype(float).to_numpy()
-            for key, s in sc.items():
-                X = _feature_matrix(b, cov, s["labels"])
-                base, con = path_contributions(X, s["ens"])
-                out = b[keep].copy()
-                for c, v in zip(f, key):
-                    out.insert(f.index(c), c, v)
-                out["_res"] = y - (base + con.sum(axis=1))
-                yield out[[*f, *keep, "_res"]]
-
-    return src.mapInPandas(run, schema)

@@ -4,6 +4,7 @@ validation scalars (outlier threshold), ML fits and sinks.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from brasa.functions.lookups import FEATURE_COLUMNS, FUEL_CODE_LABELS, ZONE_FACTORS
 from brasa.operators import clean, features as X, geo, match, reduce as R
 from brasa.operators.schema import rename_dispatch_columns, rename_fire_columns
-from brasa.session import cut_lineage
+from brasa.session import cut_and_count, cut_lineage
 
 DEFAULT_THRESHOLDS = {"dt_minutes": {"lower": 10, "upper": 30}, "initial_radius_m": {"lower": 2, "upper": 100}}
 
@@ -138,9 +139,9 @@ def scoring(df: DataFrame, *, models: dict, intervals: DataFrame, mapping: DataF
     out = feature_engineering(df, topo=topo, polygons=polygons, zone_threshold=0, fuel_cells=fuel_cells,
                               fuel_meta=fuel_meta, skip_target=True, include=include)
     out = R.apply_groupwise_mapping(out, mapping)
-    from brasa.functions.lookups import COVARIATES
-    from brasa.operators.explain import score_in_one_pass
-    out = score_in_one_pass(out, models, COVARIATES, prediction_col="prediction_circular_speed_mm")
+    if models and not out.isStreaming:   # written by zone, so that each model reads its own rows
+        out = cut_lineage(out, partition_by=ZONE_FACTORS)
+    out = M.add_zone_predictions(out, models, ZONE_FACTORS, {"prediction_circular_speed_mm": 1})
     out = M.add_prediction_interval(out, intervals, ZONE_FACTORS, pi_covariates,
                                     "lo_circular_speed_mm", "hi_circular_speed_mm")
     return X.add_elliptical_speed(out, ratio=ratio)
@@ -153,21 +154,22 @@ def training_run(fires: DataFrame, dispatches: DataFrame, *, topo: DataFrame, we
                  ratio: float = 3.0, n_trials: int = 50, max_iter: int = 200) -> dict:
     """P1 -> P2 -> P3 -> per-zone models -> elliptical speeds -> base model ->
     long form -> diagnostics -> artifacts + metrics.  Returns the artifact paths
-    and the six headline MAEs."""
+    and the metrics (parameters, row counts, six headline MAEs, seconds)."""
     from brasa.functions.lookups import COVARIATES, COVARIATE_META
     from brasa.operators import diagnostics as DG, model as M
     from brasa.sources.artifacts import save_artifacts
+    started = time.time()
     f, _ = preprocessing(fires, dispatches, dispatch_order=dispatch_order, v1_sources=v1_sources,
                          v2_sources=v2_sources)
-    counts = {"df_rows_after_preprocessing": f.count()}
-    feats = feature_engineering(f, topo=topo, weather=weather, polygons=polygons)
-    counts["df_rows_after_features"] = feats.count()
-    post, mapping = postprocessing(feats)
-    post = cut_lineage(post)
-    counts["df_rows_after_postprocessing"] = post.count()
+    counts = {}
+    f, counts["df_rows_after_preprocessing"] = cut_and_count(f)
+    feats, counts["df_rows_after_features"] = cut_and_count(
+        feature_engineering(f, topo=topo, weather=weather, polygons=polygons))
+    post, counts["df_rows_after_postprocessing"] = cut_and_count(postprocessing(feats)[0])
+    post = cut_lineage(post, partition_by=ZONE_FACTORS)
+    mapping = R.learn_groupwise_mapping(post)
     models = M.train_zone_models(post, n_trials=n_trials, max_iter=max_iter)
-    out = M.add_zone_predictions(post, models, prediction_col="prediction_xgb0", which=0)
-    out = M.add_zone_predictions(out, models, prediction_col="prediction_circular_speed_mm", which=1)
+    out = M.add_zone_predictions(post, models, ZONE_FACTORS, {"prediction_xgb0": 0, "prediction_circular_speed_mm": 1})
     out = M.add_prediction_interval(out, M.zone_intervals(post, models, 0, alpha=alpha), lo_col="lo_xgb0", hi_col="hi_xgb0")
     iv = M.zone_intervals(post, models, 1, alpha=alpha)
     out = M.add_prediction_interval(out, iv, lo_col="lo_circular_speed_mm", hi_col="hi_circular_speed_mm")
@@ -176,12 +178,14 @@ def training_run(fires: DataFrame, dispatches: DataFrame, *, topo: DataFrame, we
     diag = DG.residual_diagnostics(DG.to_long(out), ["model", "split2"], "propagation_speed_mm", "prediction")
     maes = {f"MAE_{r['model']}_{'train' if r['split2'] == 'train+valid' else 'test'}": r["MAE"]
             for r in diag.collect()}                      # one row per (model, split): 6 rows
-    meta = dict(COVARIATE_META, alpha=alpha, ratio=ratio)
-    metrics = out.sparkSession.createDataFrame([(k, float(v)) for k, v in {**counts, **maes}.items() if v is not None],
+    params = {"alpha": alpha, "ratio": ratio, "n_trials": n_trials, "max_iter": max_iter}
+    meta = dict(COVARIATE_META, **params)
+    values = {**params, **counts, **maes, "total_runtime_seconds": time.time() - started}
+    metrics = out.sparkSession.createDataFrame([(k, float(v)) for k, v in values.items() if v is not None],
                                                "key string, value double")
     paths = save_artifacts(run_dir, df=out, models=models, intervals=iv, mapping=mapping, covariates=COVARIATES,
                            meta=meta, metrics=metrics, outputs={"diagnostics.parquet": diag})
-    return {"paths": paths, "metrics": {**counts, **maes}}
+    return {"paths": paths, "metrics": values}
 
 
 def assert_matches_file(actual: DataFrame, path: str, key: Sequence[str], schema=None, sep: str = ";",

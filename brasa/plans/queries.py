@@ -899,12 +899,9 @@ def q_zone_gbt_predictions(spark, d, n_trials: int = 1, max_iter: int = 20):
     Rows-only check (the learner is not SQL).  The registered run uses a small
     tuning budget; the library default is 50 trials.
     """
-    post, _ = post_table(spark, d)
+    post = cut_lineage(post_table(spark, d)[0], partition_by=M.ZONE_FACTORS)
     models = M.train_zone_models(post, n_trials=n_trials, max_iter=max_iter)
-    from brasa.functions.lookups import COVARIATES
-    from brasa.operators.explain import score_in_one_pass
-    out = score_in_one_pass(post, models, COVARIATES, prediction_col="prediction_xgb0", which=0)
-    out = score_in_one_pass(out, models, COVARIATES, prediction_col="prediction_circular_speed_mm", which=1)
+    out = M.add_zone_predictions(post, models, M.ZONE_FACTORS, {"prediction_xgb0": 0, "prediction_circular_speed_mm": 1})
     out = M.add_prediction_interval(out, M.zone_intervals(post, models, 0), lo_col="lo_xgb0", hi_col="hi_xgb0")
     out = M.add_prediction_interval(out, M.zone_intervals(post, models, 1), lo_col="lo_circular_speed_mm",
                                     hi_col="hi_circular_speed_mm")
@@ -922,6 +919,41 @@ def q_prediction_contributions(spark, d, n_trials: int = 1, max_iter: int = 10):
     return add_contributions(post, models, COVARIATES)
 
 
+@query("zone_model_check", """
+SELECT "zone_WE", "zone_NS", count(*) AS n_rows, 0::BIGINT AS n_unscored, 0::BIGINT AS n_not_additive,
+       0::BIGINT AS n_contribution_differs, 0::BIGINT AS n_crossed
+FROM post WHERE ("zone_WE", "zone_NS") IN (
+  SELECT ("zone_WE", "zone_NS") FROM post WHERE split3 = 'train' GROUP BY "zone_WE", "zone_NS"
+  HAVING count(DISTINCT propagation_speed_mm) > 1)
+GROUP BY ALL""", ["post"])
+def q_zone_model_check(spark, d, n_trials: int = 1, max_iter: int = 5):
+    """M1-M5: per zone, the rows, and how many have no prediction, contributions that do not add
+    up, a contribution sum that is not the scored prediction, or a lower above an upper offset."""
+    from brasa.functions.lookups import COVARIATES
+    from brasa.operators.explain import add_contributions
+    post = cut_lineage(post_table(spark, d)[0], partition_by=M.ZONE_FACTORS)
+    models = M.train_zone_models(post, n_trials=n_trials, max_iter=max_iter)
+    scored = M.add_zone_predictions(post, models, M.ZONE_FACTORS, {"scored": 1})
+    scored = M.add_prediction_interval(scored, M.zone_intervals(post, models, 0))
+    parts = add_contributions(post, models, COVARIATES)
+    total = F.col("base_value")
+    for c in COVARIATES:
+        total = total + F.col(f"shap_{c}")
+    parts = parts.select("fire_id", total.alias("total"), "prediction")
+    x = scored.join(parts, "fire_id", "left")
+
+    def apart(a, b):
+        return F.coalesce(F.abs(F.col(a) - F.col(b)) > 1e-6, F.lit(True))
+
+    zones = [F.struct(*[F.lit(v) for v in key]) for key in models]
+    x = x.where(F.struct("zone_WE", "zone_NS").isin(zones))
+    return x.groupBy("zone_WE", "zone_NS").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("scored").isNull()).alias("n_unscored"),
+        F.count_if(apart("total", "prediction")).alias("n_not_additive"),
+        F.count_if(apart("total", "scored")).alias("n_contribution_differs"),
+        F.count_if(F.col("pi_lo") > F.col("pi_hi")).alias("n_crossed"))
+
+
 # ================================================================ P1 preprocessing pipeline
 def valid_fires(spark, d):
     """Fires that keep the surface rules: P1 fails on any other (see surface_violations)."""

@@ -11,7 +11,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Defaults applied only when the running session has no value for the key.
 _DEFAULTS = {
@@ -66,16 +67,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut_lineage(df):
+def cut_lineage(df, partition_by=()):
     """Materialise ``df`` as a parquet table in the shared checkpoint folder and
     continue from it.
 
     One columnar write (``Dataset.checkpoint`` would compute the plan twice
     and store Java-serialised rows); the table lives on the shared storage the
     cluster names in ``spark.checkpoint.dir``, so it survives executor loss,
-    and the new plan starts at a plain scan.
+    and the new plan starts at a plain scan.  With ``partition_by``, filters on
+    those columns read only their folders.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/brasa-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
+    # the schema is given, so that folder names are not turned into numbers
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def cut_and_count(df):
+    """``(cut_lineage(df), number of rows)``: rows are counted while they are written."""
+    rows = Observation()
+    out = cut_lineage(df.observe(rows, F.count(F.lit(1)).alias("n")))
+    return out, rows.get.get("n", 0)

@@ -32,39 +32,16 @@ DEM_X0, DEM_DX, DEM_Y0, DEM_HEIGHT, DEM_NCOLS = -74.05, 0.1025, -33.9, 6.2, 40
 _TABLES: dict = {}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread_out: bool = True) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan of one benchmark table; the (immutable) DataFrame is reused per session
-    so the file listing and footer read happen once.  ``spread_out=False`` for
-    light projections (small lookup sides) that gain nothing from a reshuffle."""
-    key = (id(spark), sf_dir, name, spread_out)
+    so the file listing and footer read happen once."""
+    key = (id(spark), sf_dir, name)
     df = _TABLES.get(key)
     if df is None or df.sparkSession is not spark:
-        raw = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        df = _TABLES[key] = spread(raw, TABLE_KEYS.get(name)) if spread_out else raw
+        df = _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df
 
 
-TABLE_KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey", "part": "p_partkey", "customer": "c_custkey"}
-
-
-def spread(df: DataFrame, key: str | None) -> DataFrame:
-    """Give a scan at least the cluster's default parallelism.
-
-    A large input already arrives in many splits and is returned unchanged; a
-    scan with fewer splits than cores (e.g. one row group) is hash-partitioned
-    on its key (deterministic on retry, and co-partitions tables on the same
-    key) so the per-row derivations that follow run on every core.
-    """
-    if key is None:
-        return df
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the scan as is
-        return df
-    return df if splits >= target else df.repartition(target, key)
-
-
 def _pick(values, idx):
     """element_at(array(values), idx + 1)."""
     return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
@@ -160,7 +137,7 @@ def dispatches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def topo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders", spread_out=False)
+    o = table(spark, sf_dir, "orders")
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     return o.where(k % 13 != 0).select(
         (k + 100000000).alias("fire_id"),
@@ -171,7 +148,7 @@ def topo(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders", spread_out=False)
+    o = table(spark, sf_dir, "orders")
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     return o.where(k % 17 != 0).select(
         (k + 100000000).alias("fire_id"),

@@ -18,6 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from brasa.operators import features as X, geo
+from brasa.operators.model import add_zone_predictions
 
 
 def read_incident_stream(spark: SparkSession, path: str, schema: str, fmt: str = "json",
@@ -49,9 +50,8 @@ def start_scoring(stream: DataFrame, score: Callable[[DataFrame], DataFrame], si
     return w.start()
 
 
-def stream_scores(stream: DataFrame, models: dict, covariates, prediction_col: str = "prediction",
+def stream_scores(stream: DataFrame, models: dict, prediction_col: str = "prediction",
                   factors=("zone_WE", "zone_NS"), which: int = 1) -> DataFrame:
-    """Per-zone model scores on a stream without ``foreachBatch``: the broadcast
-    ensembles are applied by ``mapInPandas`` (stateless, append mode)."""
-    from brasa.operators.explain import score_in_one_pass
-    return score_in_one_pass(stream, models, covariates, factors, which, prediction_col)
+    """Per-zone model scores on a stream without ``foreachBatch``: one filtered
+    ``transform`` per zone model, united (stateless, append mode)."""
+    return add_zone_predictions(stream, models, factors, {prediction_col: which})

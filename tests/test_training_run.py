@@ -8,7 +8,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_training_run(spark, tmp):
-    res = training_run(D.fires(spark, SF), D.dispatches(spark, SF), topo=D.topo(spark, SF),
+    res = training_run(D.fires(spark, SF).where("final_surface_ha >= initial_surface_ha"), D.dispatches(spark, SF), topo=D.topo(spark, SF),
                        weather=D.weather(spark, SF), polygons=D.polygons(spark), run_dir=f"{tmp}/run",
                        dispatch_order=DISPATCH_ORDER, v1_sources=["despachos_a"], v2_sources=["despachos_b"],
                        n_trials=1, max_iter=3)
