@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from brasa.operators.stats import hash_key
+
 
 def diff(actual: DataFrame, expected: DataFrame, key: Sequence[str], numeric_cols: Sequence[str] = (),
          tol: float = 1e-6, exclude: Sequence[str] = ()) -> DataFrame:
@@ -43,5 +45,12 @@ def assert_same(actual: DataFrame, expected: DataFrame, key: Sequence[str], **kw
 
 
 def sample_rows(df: DataFrame, key: str, n: int = 1, seed: int = 42) -> DataFrame:
-    """A seeded, repartition-stable sample of ``n`` rows (hash order)."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), F.col(key)).limit(n)
+    """A seeded, repartition-stable sample of ``n`` rows (order of ``md5(seed:key)``)."""
+    return df.orderBy(hash_key(seed, key), F.col(key)).limit(n)
+
+
+def assert_rescored(scored: DataFrame, score: Callable[[DataFrame], DataFrame], key: str, cols: Sequence[str],
+                    n: int = 100, seed: int = 42, tol: float = 1e-6) -> None:
+    """Score a sample of the stored rows again and compare ``cols`` by key."""
+    rows = sample_rows(scored, key, n, seed)
+    assert_same(score(rows.drop(*cols)).select(key, *cols), rows.select(key, *cols), [key], numeric_cols=cols, tol=tol)

@@ -12,7 +12,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from brasa.functions.text import normalise_header
 
@@ -100,8 +99,19 @@ def categories_of(df: DataFrame, col: str) -> dict | None:
 
 
 # ---- C4 / C5 -------------------------------------------------------------------
+# Type names found in stored schema files -> Spark types.
+STORED_TYPES = {
+    "float64": "double", "float32": "float", "int64": "bigint", "Int64": "bigint", "int32": "int", "Int32": "int",
+    "bool": "boolean", "boolean": "boolean", "object": "string", "string": "string",
+    "datetime64[ns]": "timestamp_ntz", "datetime64[us]": "timestamp_ntz",
+}
+
+
 class DtypeSchema:
-    """Persisted column types + category domains, applied with ``try_cast``."""
+    """Persisted column types + category domains, applied with ``try_cast``.
+
+    Types are read by their stored name (``float64``, ``int64``, ...) or as a Spark type.
+    """
 
     def __init__(self, entries: Mapping[str, dict]):
         self.entries = dict(entries)
@@ -146,7 +156,7 @@ class DtypeSchema:
                 v = F.col(c).cast("string")
                 exprs.append(F.when(v.isin(cats), v).alias(c, metadata={"categories": cats, "ordered": e["ordered"]}))
             else:
-                exprs.append(F.col(c).try_cast(T._parse_datatype_string(e["dtype"])).alias(c))
+                exprs.append(F.col(c).try_cast(STORED_TYPES.get(e["dtype"], e["dtype"])).alias(c))
         extras = [] if drop_extras else [F.col(c) for c in df.columns if c not in set(cols)]
         return df.select(*exprs, *extras)
 

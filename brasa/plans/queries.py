@@ -8,18 +8,20 @@ floating sums are rounded (9 dp; terrain 6 dp) on both sides.
 
 from __future__ import annotations
 
+import json
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brasa.functions.lookups import FUEL_CODE_LABELS
-from brasa.operators import clean, diagnostics as DG, features as X, geo, match, model as M, reduce as R
-from brasa.operators.schema import key_overlap, union_with_lineage
+from brasa.functions.lookups import FIRE_COLUMN_NAMES, FUEL_CODE_LABELS
+from brasa.operators import check, clean, diagnostics as DG, features as X, geo, match, model as M, reduce as R
+from brasa.operators.schema import DtypeSchema, key_overlap, rename_dispatch_columns, rename_fire_columns, union_with_lineage
 from brasa.plans import oracle_shared as OS
 from brasa.plans.oracle_views import add_view, with_views
 from brasa.plans.pipelines import feature_engineering, postprocessing
-from brasa.session import cut_lineage
-from brasa.sources import derived as D
+from brasa.session import checkpoint_dir, cut_lineage
+from brasa.sources import artifacts, derived as D, files
 
 SPARK: dict = {}
 ORACLE: dict[str, str] = {}
@@ -1017,3 +1019,229 @@ def q_preprocess_dispatches(spark, d):
 _pd = ORACLE["preprocess_dispatches"]
 _h, _, _t = _pd.partition("\nWITH arr AS")
 ORACLE["preprocess_dispatches"] = _h + ",\narr AS" + _t
+
+
+# ================================================================ S1-S4 / S6-S9 / S12: files
+def _folder(spark, name):
+    """A new folder beside the stage tables."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/brasa-{name}-{uuid.uuid4().hex}"
+
+
+def _rename_parts(spark, folder, stem):
+    """Name the part files of a written CSV folder ``<stem> <number>.csv``."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for i, st in enumerate(fs.globStatus(path(f"{folder}/part-*.csv"))):
+        fs.rename(st.getPath(), path(f"{folder}/{stem} {i}.csv"))
+
+
+@query("csv_reports", """
+SELECT fire_id AS "FICHA", CAST(season AS VARCHAR) AS "TEMPORADA", target_zone AS "ZONA_META",
+       CASE WHEN season < 1998 THEN initial_surface_txt END AS "SUP_INICIAL",
+       CASE WHEN season < 1998 THEN 'informe_a' ELSE 'informe_b' END AS "ARCHIVO" FROM fires
+""", ["fires"])
+def q_csv_reports(spark, d):
+    """Reports written with two header orders and blanks in headers and file names, read back."""
+    f = fires(spark, d)
+    old = f.where("season < 1998").select(F.col("fire_id").alias("ficha"), F.col("season").alias("Temporada"),
+                                          F.col("initial_surface_txt").alias("sup  inicial"),
+                                          F.col("target_zone").alias("Zona Meta"))
+    new = f.where("season >= 1998").select(F.col("target_zone").alias("ZONA META"), F.col("fire_id").alias("FICHA"),
+                                           F.col("season").alias("TEMPORADA"))
+    folders = []
+    for df, stem in ((old, "informe a"), (new, "informe b")):
+        folders.append(_folder(spark, "csv"))
+        files.write_table(df, folders[-1], "csv")
+        _rename_parts(spark, folders[-1], stem)
+    out = files.load_csv(spark, [f"{x}/informe*.csv" for x in folders])
+    return out.select(F.col("FICHA").cast("bigint").alias("FICHA"), "TEMPORADA", "ZONA_META", "SUP_INICIAL",
+                      F.regexp_extract("ARCHIVO", "^(informe_[ab])_[0-9]+$", 1).alias("ARCHIVO"))
+
+
+@query("csv_weather", """
+SELECT fire_id, temperature, relative_humidity, wind_direction FROM weather""", ["weather"])
+def q_csv_weather(spark, d):
+    """Comma decimals, text in place of a missing value, an unused column."""
+    w = D.weather(spark, d)
+    text = {c: F.coalesce(F.replace(F.col(c).cast("string"), F.lit("."), F.lit(",")), F.lit("s/i"))
+            for c in ("temperature", "relative_humidity", "wind_direction")}
+    folder = _folder(spark, "weather")
+    files.write_table(w.select(F.col("fire_id").alias("FICHA"), F.lit("x").alias("OBS"),
+                               text["temperature"].alias("TEMPERATURA"),
+                               text["relative_humidity"].alias("HUMEDAD_RELATIVA"),
+                               text["wind_direction"].alias("DIRVIENTO")), folder, "csv")
+    return files.load_weather(spark, folder)
+
+
+@query("csv_topo", "SELECT fire_id, elevation, slope_degrees, aspect_degrees FROM topo", ["topo"])
+def q_csv_topo(spark, d):
+    """S7."""
+    folder = _folder(spark, "topo")
+    files.write_table(D.topo(spark, d).withColumn("slope_other", F.lit(1)), folder, "csv", sep=",")
+    return files.load_topo(spark, folder)
+
+
+@query("scoring_input_files", """
+SELECT f.fire_id, f.longitude, f.latitude, f.start_datetime, w.temperature,
+       CAST(NULL AS DOUBLE) AS wind_speed_kmh, w.relative_humidity
+FROM fires f LEFT JOIN weather w USING (fire_id)""", ["fires", "weather"])
+def q_scoring_input_files(spark, d):
+    """Parquet -> seven CSV columns -> scoring input."""
+    x = X.merge_weather(fires(spark, d), D.weather(spark, d)).withColumn("wind_speed_kmh", F.lit(None).cast("double"))
+    table, text = _folder(spark, "table"), _folder(spark, "scoring") + ".csv"
+    files.write_table(x, table)
+    files.parquet_to_csv(spark, table, text)
+    return files.load_scoring_input(spark, text)
+
+
+# ================================================================ C2 / C3 / C4 / C5
+@query("canonical_names", """
+SELECT fire_id, dispatch_id AS id_despacho, zone, glosa, file_source FROM dispatches""", ["dispatches"])
+def q_canonical_names(spark, d):
+    """Raw dispatch headers -> canonical names."""
+    x = dispatches(spark, d).select(F.col("fire_id").alias("ID_FOCO_INCENDIO"), F.col("dispatch_id").alias("ID_DESPACHO"),
+                                    F.col("zone").alias("ZONA"), F.col("glosa").alias("GLOSA"),
+                                    F.col("file_source").alias("ARCHIVO"))
+    return rename_dispatch_columns(x)
+
+
+@query("canonical_fire_names", """
+SELECT fire_id, season, start_text AS start_datetime, target_zone, initial_surface_txt AS initial_surface_ha FROM fires
+""", ["fires"])
+def q_canonical_fire_names(spark, d):
+    """The named report columns, in canonical order, under their English names."""
+    raw = {"FICHA": "fire_id", "TEMPORADA": "season", "INICIO": "start_text", "ZONA_META": "target_zone",
+           "SUP_INICIAL": "initial_surface_txt", "OTRA": "longitude"}
+    x = fires(spark, d).select(*[F.col(c).alias(name) for name, c in raw.items()])
+    x = x.withColumnRenamed("FICHA", "ID_FOCO_INCENDIO")
+    return rename_fire_columns(x, {c: n for c, n in FIRE_COLUMN_NAMES.items() if c in x.columns})
+
+
+@query("schema_apply", """
+SELECT TRY_CAST(start_text AS TIMESTAMP) AS start_text, TRY_CAST(replace(initial_surface_txt, ',', '') AS DOUBLE) AS surface,
+       CASE WHEN target_zone IN ('CONFLICTO', 'VALDIVIA') THEN target_zone END AS target_zone, fire_id
+FROM (SELECT *  REPLACE (CASE WHEN regexp_full_match(start_text, '[0-9-]{10} [0-9:]{5}') THEN start_text END AS start_text) FROM fires) f
+""", ["fires"])
+def q_schema_apply(spark, d):
+    """A stored schema (types by their stored names, a category domain) on text columns."""
+    stored = DtypeSchema.from_json(json.dumps({
+        "start_text": {"type": "other", "dtype": "datetime64[ns]"}, "surface": {"type": "other", "dtype": "float64"},
+        "target_zone": {"type": "category", "categories": ["CONFLICTO", "VALDIVIA"], "ordered": False},
+        "fire_id": {"type": "other", "dtype": "int64"}}))
+    start = F.when(F.col("start_text").rlike("^[0-9-]{10} [0-9:]{5}$"), F.col("start_text"))
+    x = fires(spark, d).select(F.col("fire_id").cast("string").alias("fire_id"), start.alias("start_text"), "target_zone",
+                               F.replace("initial_surface_txt", F.lit(","), F.lit("")).alias("surface"))
+    return stored.apply(x, strict=True)
+
+
+# ================================================================ A18
+@query("numeric_summary", " UNION ALL ".join(f"""
+SELECT '{c}' AS feature, count({c}) AS n, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS stddev,
+       min({c}) AS low, max({c}) AS high
+FROM (SELECT CASE WHEN NOT isinf({c}) THEN {c} END AS {c} FROM features) x"""
+    for c in ("temperature", "slope_degrees", "propagation_speed_mm")), ["features"])
+def q_numeric_summary(spark, d):
+    cols = ["temperature", "slope_degrees", "propagation_speed_mm"]
+    wide = DG.numeric_summary(features_table(spark, d), cols, ["count", "mean", "stddev", "min", "max"])
+    long = wide.unpivot("summary", cols, "feature", "value")
+    num = long.groupBy("feature").pivot("summary", ["count", "mean", "stddev", "min", "max"]).agg(
+        F.max(F.col("value").cast("double")))
+    return num.select("feature", F.col("count").cast("bigint").alias("n"), r9("mean", 6).alias("mean"),
+                      r9("stddev", 6).alias("stddev"), F.col("min").alias("low"), F.col("max").alias("high"))
+
+
+# ================================================================ S13-S17 / W5 / W6
+def _runs(spark, d):
+    o = D.table(spark, d, "orders")
+    k = F.col("o_orderkey")
+    return o.select(F.col("o_orderpriority").alias("experiment"), k.cast("string").alias("run_id"),
+                    F.concat(F.lit("run "), (k % 7).cast("string")).alias("run_name"),
+                    F.when(F.col("o_orderstatus") == "F", "FINISHED").otherwise("FAILED").alias("status"),
+                    F.when(k % 5 == 0, "deleted").otherwise("active").alias("lifecycle"),
+                    (F.col("o_custkey") * 10000000 + k).cast("double").alias("start_time"),
+                    F.concat(F.lit("runs/"), k.cast("string")).alias("path"))
+
+
+add_view("runs", """
+SELECT o_orderpriority AS experiment, CAST(o_orderkey AS VARCHAR) AS run_id, 'run ' || (o_orderkey % 7) AS run_name,
+       CASE WHEN o_orderstatus = 'F' THEN 'FINISHED' ELSE 'FAILED' END AS status,
+       CASE WHEN o_orderkey % 5 = 0 THEN 'deleted' ELSE 'active' END AS lifecycle,
+       CAST(o_custkey * 10000000 + o_orderkey AS DOUBLE) AS start_time, 'runs/' || o_orderkey AS path FROM orders""")
+
+
+@query("latest_run", """
+SELECT * FROM (SELECT * FROM runs WHERE experiment = '1-URGENT' AND run_name = 'run 3' AND lifecycle = 'active'
+               ORDER BY status = 'FINISHED' DESC, start_time DESC LIMIT 1) a
+UNION ALL
+SELECT * FROM (SELECT * FROM runs WHERE experiment = '5-LOW' ORDER BY start_time DESC LIMIT 1) b""", ["runs"])
+def q_latest_run(spark, d):
+    """Newest finished run by name; newest run of any status."""
+    runs = _runs(spark, d)
+    return artifacts.latest_run(runs, "1-URGENT", "run 3").unionByName(
+        artifacts.latest_run(runs, "5-LOW", status=None, only_active=False))
+
+
+@query("recent_runs", "SELECT * FROM runs WHERE experiment = '2-HIGH' ORDER BY start_time DESC LIMIT 10", ["runs"])
+def q_recent_runs(spark, d):
+    """The ten newest runs."""
+    return artifacts.recent_runs(_runs(spark, d), "2-HIGH")
+
+
+@query("artifact_roundtrip", f"""
+SELECT p.fire_id, p.split3, m.initial_fuel_reduced FROM post p LEFT JOIN ({_MAPPING}) m
+  USING ("zone_WE", "zone_NS", initial_fuel)""", ["post"])
+def q_artifact_roundtrip(spark, d):
+    """A run folder written and loaded; the stored mapping on the stored table."""
+    post, mapping = post_table(spark, d)
+    run = _folder(spark, "run")
+    artifacts.save_artifacts(run, df=post, mapping=mapping, covariates=["temperature", "initial_fuel_reduced"],
+                             meta={"alpha": 0.1}, metrics=artifacts.metrics_rows(spark, "r", {"alpha": 0.1}))
+    back = artifacts.load_artifacts(spark, run)
+    return R.apply_groupwise_mapping(back["df"], back["fuel_mapping"], fill_unmapped=False) \
+        .select("fire_id", "split3", "initial_fuel_reduced")
+
+
+# ================================================================ P6-P8 / W7
+@query("table_diff", """
+SELECT coalesce(a.fire_id, e.fire_id) AS fire_id,
+       CASE WHEN a.fire_id IS NULL THEN 'missing_actual' WHEN e.fire_id IS NULL THEN 'missing_expected' ELSE 'value' END AS side,
+       CASE WHEN a.fire_id IS NULL OR e.fire_id IS NULL THEN '' ELSE concat_ws(',',
+         CASE WHEN a.elevation IS DISTINCT FROM e.elevation AND NOT coalesce(abs(a.elevation - e.elevation) <= 0.6, false) THEN 'elevation' END,
+         CASE WHEN a.slope_degrees IS DISTINCT FROM e.slope_degrees THEN 'slope_degrees' END) END AS columns
+FROM (SELECT * FROM topo WHERE fire_id % 19 <> 0) a
+FULL JOIN (SELECT fire_id, CASE WHEN fire_id % 31 = 0 THEN NULL WHEN fire_id % 29 = 0 THEN elevation + 1.0
+                  WHEN fire_id % 7 = 0 THEN elevation + 0.5 ELSE elevation END AS elevation,
+                  CASE WHEN fire_id % 23 = 0 THEN 0.0::DOUBLE ELSE slope_degrees END AS slope_degrees
+           FROM topo WHERE fire_id % 17 <> 0) e USING (fire_id)
+WHERE a.fire_id IS NULL OR e.fire_id IS NULL
+  OR (a.elevation IS DISTINCT FROM e.elevation AND NOT coalesce(abs(a.elevation - e.elevation) <= 0.6, false))
+  OR a.slope_degrees IS DISTINCT FROM e.slope_degrees""", ["topo"])
+def q_table_diff(spark, d):
+    """Rows missing on either side, values beyond the tolerance, NULL against a value."""
+    t, k = D.topo(spark, d), F.col("fire_id")
+    e = F.col("elevation")
+    other = (t.where(k % 17 != 0)
+              .withColumn("elevation", F.when(k % 31 == 0, None).when(k % 29 == 0, e + 1.0).when(k % 7 == 0, e + 0.5).otherwise(e))
+              .withColumn("slope_degrees", F.when(k % 23 == 0, 0.0).otherwise(F.col("slope_degrees"))))
+    x = check.diff(t.where(k % 19 != 0), other, ["fire_id"], numeric_cols=["elevation"], tol=0.6, exclude=["aspect_degrees"])
+    return x.select("fire_id", F.col("_side").alias("side"), F.array_join("_columns", ",").alias("columns"))
+
+
+@query("seeded_sample", """
+SELECT fire_id, zone_alert FROM fires ORDER BY md5('42:' || CAST(fire_id AS VARCHAR)), fire_id LIMIT 25""", ["fires"])
+def q_seeded_sample(spark, d):
+    """A seeded sample of the whole table."""
+    return check.sample_rows(fires(spark, d).select("fire_id", "zone_alert"), "fire_id", 25)
+
+
+# ================================================================ A4 with a fraction
+@query("rare_fuel_fraction", """
+SELECT p.fire_id, CASE WHEN c.n < greatest(1, ceil(0.05::DOUBLE * z.n)) THEN 'other' ELSE p.initial_fuel END AS initial_fuel_reduced
+FROM post_base p JOIN (SELECT "zone_WE", "zone_NS", initial_fuel, count(*) AS n FROM post_base GROUP BY ALL) c
+  USING ("zone_WE", "zone_NS", initial_fuel)
+JOIN (SELECT "zone_WE", "zone_NS", count(*) AS n FROM post_base GROUP BY ALL) z USING ("zone_WE", "zone_NS")
+""", ["post_base"])
+def q_rare_fuel_fraction(spark, d):
+    out, _ = postprocessing(features_table(spark, d), min_fuel_samples=0.05)
+    return out.select("fire_id", "initial_fuel_reduced")

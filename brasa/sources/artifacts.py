@@ -15,7 +15,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from brasa.operators.schema import DtypeSchema
@@ -64,7 +64,15 @@ def save_artifacts(run_dir: str, *, df: DataFrame | None = None, models: Mapping
                    intervals: DataFrame | None = None, mapping: DataFrame | None = None,
                    covariates: Sequence[str] | None = None, meta: Mapping | None = None,
                    metrics: DataFrame | None = None, outputs: Mapping[str, DataFrame] | None = None) -> dict:
-    """Write each member under ``run_dir`` (a fresh directory per run); returns name -> path."""
+    """Write each member under ``run_dir``; returns name -> path.
+
+    A folder that already holds a run is an error: members of an older run never
+    mix with the new ones.
+    """
+    spark = SparkSession.getActiveSession()
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_dir)
+    if folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        raise FileExistsError(f"run folder exists: {run_dir}")
     paths = {}
     if df is not None:
         paths["data"] = p = os.path.join(run_dir, "data.parquet")
@@ -81,7 +89,7 @@ def save_artifacts(run_dir: str, *, df: DataFrame | None = None, models: Mapping
             p = os.path.join(run_dir, "models", "_".join(str(k) for k in key))
             m.write().overwrite().save(p)
             rows.append((*[str(k) for k in key], p))
-        idx = SparkSession.getActiveSession().createDataFrame(rows, "zone_WE string, zone_NS string, path string")
+        idx = spark.createDataFrame(rows, "zone_WE string, zone_NS string, path string")
         paths["model"] = p = os.path.join(run_dir, "models", "index.parquet")
         idx.write.mode("overwrite").parquet(p)
     for name, t, to_json in (("pi", intervals, intervals_to_json), ("fuel_mapping", mapping, mapping_to_json)):
@@ -92,7 +100,7 @@ def save_artifacts(run_dir: str, *, df: DataFrame | None = None, models: Mapping
             to_json(t).coalesce(1).write.mode("overwrite").text(p)
     if meta:
         clean = {k: v for k, v in meta.items() if v is not None}
-        paths["meta"] = _write_text(SparkSession.getActiveSession(), os.path.join(run_dir, "meta.json"),
+        paths["meta"] = _write_text(spark, os.path.join(run_dir, "meta.json"),
                                     json.dumps(clean, indent=2))
     if metrics is not None:
         paths["metrics"] = p = os.path.join(run_dir, "metrics.parquet")
@@ -164,9 +172,21 @@ def latest_run(runs: DataFrame, experiment: str, run_name: str | None = None, st
         r = r.where(F.col("run_name") == run_name)
     if only_active:
         r = r.where(F.col("lifecycle") == "active")
-    pref = (F.col("status") == F.lit(status)).cast("int") if status else F.lit(1)
-    w = Window.partitionBy("experiment").orderBy(pref.desc(), F.col("start_time").desc())
-    return r.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    pref = F.coalesce(F.col("status") == F.lit(status), F.lit(False)) if status else F.lit(True)
+    best = r.groupBy("experiment").agg(F.max_by(F.struct(*runs.columns), F.struct(
+        pref, F.col("start_time"), F.col("run_id"))).alias("_run"))
+    return best.select("_run.*")
+
+
+def find_run(runs: DataFrame, experiment: str, run_name: str | None = None, status: str | None = "FINISHED",
+             only_active: bool = True) -> Row:
+    """The row of ``latest_run``; without one, an error that lists the 10 newest runs."""
+    found = latest_run(runs, experiment, run_name, status, only_active).first()
+    if found is None:
+        newest = [f"{r['run_id']} {r['run_name']} {r['status']} {r['lifecycle']}"
+                  for r in recent_runs(runs, experiment).collect()]
+        raise LookupError(f"no run of {experiment!r} named {run_name!r}; newest runs: {newest}")
+    return found
 
 
 def metrics_rows(spark: SparkSession, run_id: str, metrics: Mapping[str, float]) -> DataFrame:

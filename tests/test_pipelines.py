@@ -1,6 +1,7 @@
 """P5 scoring end to end, P6-P8 checks, sinks and projections."""
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from brasa.functions.lookups import SCORING_INPUT
@@ -61,3 +62,17 @@ def test_projections(spark):
     r = df.select(e.alias("e"), n.alias("n")).first()
     # lon -73 is 2 degrees east of zone 18's meridian (-75)
     assert 670000 < r["e"] < 680000 and 5890000 < r["n"] < 5910000
+
+
+def test_rescored_sample_and_missing_run(spark, tmp):
+    from brasa.sources import artifacts
+    a = spark.range(50).selectExpr("id AS k", "id * 2.0D AS p")
+    check.assert_rescored(a, lambda d: d.selectExpr("k", "k * 2.0D AS p"), "k", ["p"], n=10)
+    with pytest.raises(AssertionError):
+        check.assert_rescored(a, lambda d: d.selectExpr("k", "k * 3.0D AS p"), "k", ["p"], n=50)
+    runs = spark.createDataFrame([("e", "r1", "n", "FAILED", "deleted", 1.0, "p")], artifacts.REGISTRY_SCHEMA)
+    with pytest.raises(LookupError, match="r1"):
+        artifacts.find_run(runs, "e", "other")
+    artifacts.save_artifacts(f"{tmp}/run", df=a)
+    with pytest.raises(FileExistsError):
+        artifacts.save_artifacts(f"{tmp}/run", df=a)
