@@ -13,9 +13,12 @@ and is otherwise a shuffle join whose hot host adaptive execution splits.
 Defined results: a null host is a host of its own; a null text stays null and
 has no lines; blank lines are never boilerplate and always stay; lines are
 compared without surrounding white space; each row counts as one page, also
-when rows repeat; a line needs ``min_pages`` pages before a ratio is judged,
-so small hosts lose nothing; an empty table gives an empty result; other
-columns, whatever their names, are kept.
+when rows repeat, or, with ``distinct_pages``, each distinct text of a host
+does, so that copies of a page do not vote its own lines out; a line needs
+``min_pages`` pages before a ratio is judged, so small hosts lose nothing; an
+empty table gives an empty result; other columns, whatever their names, are
+kept. The registered query counts rows, as its SQL does; the pipeline counts
+distinct texts.
 """
 
 from __future__ import annotations
@@ -34,12 +37,23 @@ def _key(line: Column) -> Column:
     return F.struct(F.xxhash64(line).alias("a"), F.hash(line).alias("b"))
 
 
+def _distinct_pages(df: DataFrame, host: str, text: str, keys: Column) -> DataFrame:
+    """``host, keys`` once for each distinct text of a host; only 128-bit text keys and line keys are dealt out."""
+    pages = df.select(F.col(host).alias("host"), F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2"),
+                      keys.alias("keys"))
+    # plain arrays of numbers are a third of an array of structs
+    once = (pages.select("host", "k1", "k2", F.col("keys.a").alias("a"), F.col("keys.b").alias("b"))
+            .dropDuplicates(["host", "k1", "k2"]))
+    return cut_lineage(once.select("host", F.arrays_zip("a", "b").alias("keys")))
+
+
 def boilerplate(df: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO,
-                min_pages: int = MIN_PAGES) -> DataFrame:
+                min_pages: int = MIN_PAGES, distinct_pages: bool = False) -> DataFrame:
     """``host`` and ``flags``: the keys of the host's boilerplate lines."""
     lines = F.filter(F.split(F.col(text), "\n"), lambda x: F.length(F.trim(x, F.lit(TRIM))) > 0)
-    pages = df.select(F.col(host).alias("host"), F.array_distinct(F.transform(lines, _key)).alias("keys"))
-    totals = df.groupBy(F.col(host).alias("h")).agg(F.count("*").alias("total"))
+    keys = F.array_distinct(F.transform(lines, _key))
+    pages = _distinct_pages(df, host, text, keys) if distinct_pages else df.select(F.col(host).alias("host"), keys.alias("keys"))
+    totals = pages.groupBy(F.col("host").alias("h")).agg(F.count("*").alias("total"))
     found = (pages.select("host", F.explode("keys").alias("key")).groupBy("host", "key")
              .agg(F.count("*").alias("n")).where(F.col("n") >= min_pages))
     return (found.join(totals, F.col("host").eqNullSafe(F.col("h"))).where(F.col("n") > F.col("total") * ratio)
@@ -47,9 +61,9 @@ def boilerplate(df: DataFrame, host: str = "source", text: str = "text", ratio:
 
 
 def line_dedup(df: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO,
-               min_pages: int = MIN_PAGES) -> DataFrame:
+               min_pages: int = MIN_PAGES, distinct_pages: bool = False) -> DataFrame:
     """``row`` (the input row), ``kept`` (its text without boilerplate lines), ``n_lines`` and ``n_dropped``."""
-    flags = cut_lineage(boilerplate(df, host, text, ratio, min_pages))
+    flags = cut_lineage(boilerplate(df, host, text, ratio, min_pages, distinct_pages))
     flags = flags.select(F.col("host").alias("__h"), "flags")
     rows = df.select(F.struct("*").alias("row"))
     joined = rows.join(flags, F.col(f"row.{host}").eqNullSafe(F.col("__h")), "left")
@@ -63,9 +77,9 @@ def line_dedup(df: DataFrame, host: str = "source", text: str = "text", ratio: f
 
 
 def without_boilerplate(df: DataFrame) -> DataFrame:
-    """``documents`` with ``text`` and ``n_chars`` replaced, all other columns as they are."""
+    """Copies count as one page; ``documents`` with ``text`` and ``n_chars`` replaced, all other columns as they are."""
     new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
-    return line_dedup(df).select(*[(new.get(c, F.col(f"row.`{c}`"))).alias(c) for c in df.columns])
+    return line_dedup(df, distinct_pages=True).select(*[(new.get(c, F.col(f"row.`{c}`"))).alias(c) for c in df.columns])
 
 
 def query(spark, sf_dir) -> DataFrame:

@@ -395,3 +395,31 @@ def test_pipeline_edges(spark, edges, sf):
     empty = edges.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, sf).count() == 0
+
+
+def test_copies_do_not_vote_their_own_lines_out(spark, sf):
+    """A large group of copies in a source keeps one whole document through the pipeline."""
+    import corpus_pipeline
+    from pyspark.sql import functions as F
+    from brasa.llm import line_dedup, quality
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    good = decontaminate.without_leaks(quality.keep_good(docs), spark.read.parquet(f"{sf}/benchmark.parquet"))
+    one = good.where(F.col("text").contains("\n")).orderBy("doc_id").first()
+    own = good.where(F.col("doc_id") != one.doc_id).limit(60).withColumn("source", F.lit("s"))
+    copies = spark.range(1000, 1040).select(F.col("id").alias("doc_id"), F.lit(one.text).alias("text"), F.lit(one.lang).alias("lang"),
+                                            F.lit("s").alias("source"), F.lit(one.n_chars).alias("n_chars"))
+    table = own.unionByName(copies)
+    assert line_dedup.line_dedup(copies).where("kept != ''").count() == 0  # counted by rows, as in the SQL
+    out = table
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, out, sf)
+    assert [r.text for r in out.where("doc_id >= 1000").collect()] == [one.text]
+    row = corpus_pipeline.mixing_stage(spark, out, sf).where("doc_id >= 1000").first()
+    assert row["size"] == len(one.text.split())
+    # lines on many distinct pages still go
+    lines = spark.createDataFrame([(i, "same line\nown %d" % (i // 2), "s") for i in range(20)], "doc_id long, text string, source string")
+    kept = line_dedup.line_dedup(lines, distinct_pages=True)
+    assert {r.kept for r in kept.collect()} == {"own %d" % i for i in range(10)}
+    assert kept.where("n_dropped = 1").count() == 20
+    few = line_dedup.line_dedup(lines.where("doc_id < 18"), distinct_pages=True)
+    assert few.where("n_dropped > 0").count() == 0
