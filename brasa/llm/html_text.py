@@ -4,11 +4,13 @@ Markup is stripped to lines (one per block element or line break). Lines in
 containers that are never article text (navigation, page header and footer,
 sidebar, advert, notice, form, comments, script, style, hidden parts) get
 length zero, as do lines that are mostly links outside of an article element.
+A main element in a container that its class, id or role or a form would drop
+is kept; so is an article element, if the page has no article text elsewhere.
 Text lengths are summed over sliding windows of ``WINDOW`` lines: the sum
 surges where text begins and dives to zero where a gap as long as the window
 follows. The lines between surge and dive points form a text region. Regions
 whose sum peaks at ``SURGE`` or more are kept; if none does, the one with the
-highest peak. On a page with article (or main) elements the regions inside
+highest peak; smaller ones between two kept ones stay. On a page with article (or main) elements the regions inside
 them are kept, whatever their size, and what is outside is dropped.
 
 Each page is one row of an Arrow batch: no shuffle, no state. Defined results:
@@ -41,44 +43,65 @@ RAW = ("script", "style", "noscript", "template", "iframe", "svg", "math", "obje
 DROPPED = frozenset("nav footer aside form menu dialog head button select search header".split())
 #: Elements that a new block of their kind, or the end of their parent, closes.
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr"}, "td": {"td", "th"}, "th": {"td", "th"}}
-# Words of class, id and role values that name a part which is not the article.
+# Class, id and role names, or last words of them, of a part which is not the article.
 BOILER = frozenset("nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar sidebars side aside footer masthead banner ad ads "
                    "advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr notice notices "
                    "alert popup modal overlay newsletter subscribe subscription signup login search searchbox share sharing social "
                    "related recommended comment comments disqus replies respond complementary contentinfo toolbar pagination pager "
                    "widget hidden form header".split())
+#: A name that starts so tells what an element has or does, not what part it is.
+STATES = frozenset("has is no not with without overflow show hide toggle open close on off can use js enable disable".split())
+#: What becomes of the text of an element: kept, kept if there is no other article text, dropped (by name, by kind).
+KEPT, SPARE, BY_NAME, BY_KIND = range(4)
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _TAG = re.compile(r"""<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*)>""")
 _GONE = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[|\]\]>|<![a-zA-Z][^>]*>|<\?[^>]*>"
-                   + "".join(rf"|<{t}\b[^>]*>.*?(?:</{t}\s*>|$)" for t in RAW), re.S | re.I)
+                   + "".join(rf"|<{t}(?=[\s/>])[^>]*>(?:(?<=/>)|.*?(?:</{t}\s*>|$))" for t in RAW), re.S | re.I)
 _CUT = re.compile(r"<(?:/?[a-zA-Z][^>]*|/|!|!-+)?$")
 _ATTR = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
 
 
-def _off(name: str, attrs: str, in_article: bool) -> bool:
-    """Whether an element is a part that is never article text."""
+def _names_part(value: str) -> bool:
+    """Whether one of the names in an attribute value, or its last word, is in BOILER."""
+    for name in value.split():
+        parts = [x for x in _SPLIT.split(name.split("--")[0]) if x]
+        if parts and parts[-1] in BOILER and parts[0] not in STATES:
+            return True
+    return False
+
+
+def _off(name: str, attrs: str, in_article: bool) -> int:
+    """BY_KIND or BY_NAME for an element that is a part which is never article text, else KEPT."""
     if name in DROPPED and not (name == "header" and in_article):
-        return True
+        return BY_NAME if name == "form" else BY_KIND
     if name in ("article", "main", "body", "html") or not attrs:
-        return False
+        return KEPT
+    off = KEPT
     for key, value in _ATTR.findall(attrs):
         key, value = key.lower(), value.strip("\"'").lower()
         if key == "hidden" or (key == "aria-hidden" and value == "true"):
-            return True
+            return BY_KIND
         if key == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                return True
-        elif set(_SPLIT.split(value)) & BOILER and not (in_article and name in ("h1", "h2", "header")):
-            return True
-    return False
+                return BY_KIND
+        elif _names_part(value) and not (in_article and name in ("h1", "h2", "header")):
+            off = BY_NAME
+    return off
+
+
+def _within(parent: tuple[str, int, bool], name: str, attrs: str) -> int:
+    """What becomes of an element's text, given that of its parent."""
+    if parent[1] == BY_NAME and not parent[2] and name in ("article", "main"):
+        return KEPT if name == "main" else SPARE
+    return max(parent[1], _off(name, attrs, parent[2]))
 
 
-def lines_of(html: str) -> list[tuple[str, bool, bool, float]]:
-    """(text, dropped, in an article element, share of link text) of each line with text, and of each dropped element."""
+def lines_of(html: str) -> list[tuple[str, int, bool, float]]:
+    """(text, what becomes of it, in an article element, share of link text) of each line with text, and of each dropped element."""
     html = _CUT.sub("", _GONE.sub(" ", html))
     out, buf, linked, size = [], [], 0, 0
-    stack: list[tuple[str, bool, bool]] = []  # name, off, article
-    off = article = False
+    stack: list[tuple[str, int, bool]] = []  # name, off, article
+    off, article = KEPT, False
     link = 0
 
     def flush():
@@ -114,9 +137,9 @@ def lines_of(html: str) -> list[tuple[str, bool, bool, float]]:
                 closes = CLOSED_BY.get(name, {"p"})
                 if stack and stack[-1][0] in closes:
                     stack.pop()
-            parent = stack[-1] if stack else ("", False, False)
-            stack.append((name, parent[1] or _off(name, attrs, parent[2]), parent[2] or name in ("article", "main")))
-        off, article = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+            parent = stack[-1] if stack else ("", KEPT, False)
+            stack.append((name, _within(parent, name, attrs), parent[2] or name in ("article", "main")))
+        off, article = (stack[-1][1], stack[-1][2]) if stack else (KEPT, False)
     add(html[at:])
     flush()
     return out
@@ -138,12 +161,14 @@ def regions(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int, in
 
 def main_text(html: str | None) -> str:
     lines = lines_of(html or "")
-    inside = any(article and not off for _, off, article, _ in lines)
-    use = [not off and (article if inside else share <= LINK_SHARE) for _, off, article, share in lines]
+    level = min((off for _, off, article, _ in lines if article), default=BY_KIND)
+    inside = level <= SPARE
+    use = [off <= (level if inside else KEPT) and (article if inside else share <= LINK_SHARE) for _, off, article, share in lines]
     found = regions([len(x[0]) if ok else 0 for x, ok in zip(lines, use)])
     if not inside and found:
         peak = max(r[2] for r in found)
-        found = [r for r in found if r[2] >= min(SURGE, peak)]
+        high = [i for i, r in enumerate(found) if r[2] >= min(SURGE, peak)]
+        found = found[high[0]:high[-1] + 1]
     return " ".join(lines[i][0] for a, b, _ in found for i in range(a, b) if use[i])
 
 

@@ -340,6 +340,36 @@ def test_main_text(html, text):
     assert html_text.main_text(html) == text
 
 
+WRAPPED = [
+    '<div class="content has-sidebar">%s</div>', '<div class="overflow-hidden">%s</div>', '<div id="page" class="header-fixed">%s</div>',
+    '<form action="/">%s</form>', '<div class="widget">%s</div>', '<svg-icon name="x"></svg-icon>%s', '<video-js id=v></video-js>%s',
+    '<math-field>1</math-field><hr>%s', '<svg width="1" />%s', '<svg/>%s',
+]
+
+
+@pytest.mark.parametrize("page", WRAPPED)
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_article_survives_its_wrapper(page, tag):
+    body = "This is the whole article text. " * 5
+    assert html_text.main_text(page % f"<{tag}><p>{body}</p></{tag}>") == body.strip()
+
+
+def test_parts_named_by_class_still_go():
+    body = "This is the whole article text. " * 5
+    for part in ("site-footer", "cookie-notice", "main_nav", "sidebar", "page-header header--big"):
+        assert html_text.main_text(f"<div class='{part}'><p>{body}</p></div><div><p>{body}x</p></div>") == body + "x"
+    # an article among comments or related pages is not the page's article, unless there is no other
+    assert html_text.main_text(f"<article><p>own</p></article><div id=comments><article><p>{body}</p></article></div>") == "own"
+    assert html_text.main_text(f"<div style='display:none'><article><p>no</p></article></div><p>{body}</p>") == body.strip()
+
+
+def test_short_blocks_between_long_ones_stay():
+    body = "This is the whole article text. " * 5
+    links = "<p><a href=/>some link</a></p>" * 3
+    page = f"<p>{body}</p>{links}<p>A short block.</p>{links}<p>{body}</p>{links}<p>After the end.</p>"
+    assert html_text.main_text(page) == f"{body}A short block. {body}".strip()
+
+
 def test_regions():
     assert html_text.regions([0, 0, 5, 90, 0, 40, 0, 0, 0, 0, 7]) == [(0, 8, 130), (8, 11, 7)]
     assert html_text.regions([]) == []
