@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import decontaminate, html_text, line_dedup, mixing, pii, quality, secrets, simhash, suffix_dedup, warc
+from . import (decontaminate, epsilon_join, hard_negatives, html_text, line_dedup, mixing, pii, quality, secrets, simhash,
+               spelling, suffix_dedup, warc)
 
 SPARK = {
     "op1_suffix_dedup": suffix_dedup.query,
@@ -17,6 +18,9 @@ SPARK = {
     "op8_simhash": simhash.query,
     "op9_secrets": secrets.query,
     "op10_decontamination": decontaminate.query,
+    "op11_spelling_variants": spelling.query,
+    "op12_hard_negatives": hard_negatives.query,
+    "op13_embedding_dedup": epsilon_join.query,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -27,4 +31,6 @@ ORACLE = {
     "op5_source_mixing": mixing.oracle(),
     "op7_line_dedup": line_dedup.oracle(),
     "op9_secrets": secrets.oracle(),
+    "op12_hard_negatives": hard_negatives.oracle(),
+    "op13_embedding_dedup": epsilon_join.oracle(),
 }
