@@ -1,17 +1,25 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
-The i-th slot of the mix is the i-th point of the golden-ratio sequence
-(integer arithmetic modulo 2**32, so every engine gets the same points). The
-points are mapped through the cumulative target weights to a source; the rank
-of a slot within its source says which equal-token block of the source's
-shuffled stream it takes, going round the stream at most three times.
+Every source has blocks of its own length: 1024 words, less where the target
+is small, so that a source has ``MIN_SLOTS`` slots or one for each word of its
+target. The i-th slot of the mix is the i-th point of the golden-ratio
+sequence (integer arithmetic modulo 2**32, so every engine gets the same
+points). The points are mapped through the cumulative slot shares of the
+sources; the rank of a slot within its source says which equal-token block of
+the source's shuffled stream it takes, going round the stream at most three
+times. The points that fall to a source differ from its share by a few at any
+number of points, so its words differ from the target by a few of its blocks.
+
+Points meet sources by an equi-join on cells of the unit interval that are as
+wide as the smallest share, so a cell touches few sources however many there
+are.
 
 Shuffled stream: documents of a source in md5 order of their id. Positions
 are running sums over 4096 hash ranges per source plus an offset table, so a
 source with a third of all rows is spread over as many tasks; slot ranks are
 counted the same way over stretches of the sequence. Blocks are cut from the
-stream at multiples of the block size, so a document has as many fragments as
-blocks it touches.
+stream at multiples of the block length, so a document has as many fragments
+as blocks it touches.
 
 Targets: source totals times weights (1, 2, 3, repeating in code-point order,
 null last) share all words; a target stops at three times its source's size
@@ -36,14 +44,15 @@ from .common import table, words
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
 BLOCK_TOKENS = 1024
-#: The schedule has at least so many slots: below 1024 x this many words, blocks are smaller.
-MIN_SLOTS = 20_000
+#: A source has so many slots at least, or as many as its target has words.
+MIN_SLOTS = 256
 GOLDEN = 2654435769  # 2**32 / golden ratio
 STRETCH = 65_536
 
 
 def targets(sizes: DataFrame) -> DataFrame:
-    """``source, source_size`` -> the same with ``sid``, ``target``, ``lo`` and ``hi`` (the source's range of 2**32).
+    """``source, source_size`` -> the same with ``sid``, ``target``, ``length`` (words of a block), ``n_blocks``,
+    ``slots``, ``lo`` and ``hi`` (the source's range of 2**32).
 
     The windows run over the table of sources (one row each), not over documents.
     """
@@ -63,23 +72,27 @@ def targets(sizes: DataFrame) -> DataFrame:
     s = s.withColumn("water", F.min(first_open).over(everything)["level"])
     s = s.withColumn("target", F.when(F.col("total") > 0, F.least(F.col("most"), F.col("water") * F.col("weight")))
                      .otherwise(F.lit(0.0)))
+    length = F.greatest(F.lit(1.0), F.least(F.lit(float(BLOCK_TOKENS)), F.floor(F.col("target") / MIN_SLOTS).cast("double")))
+    s = s.withColumn("length", length.cast("long")).withColumn("n_blocks", F.expr("(source_size + length - 1) div length"))
+    slots = F.floor(F.col("n_blocks") * F.col("target") / F.col("source_size") + 0.5)
+    s = s.withColumn("slots", F.when(F.col("source_size") > 0, slots).otherwise(0).cast("long"))
     part = by_name.rowsBetween(W.unboundedPreceding, W.currentRow)
-    edge = lambda c: F.when(F.col("total") > 0, F.floor(c / F.col("total") * 2.0 ** 32)).otherwise(0)
-    s = s.withColumn("cum", F.sum("target").over(part))
-    s = s.withColumn("hi", F.when(F.lead(F.lit(1)).over(by_name).isNull(), F.lit(2 ** 32)).otherwise(edge(F.col("cum"))))
+    s = s.withColumn("cum", F.sum("slots").over(part)).withColumn("all", F.sum("slots").over(everything))
+    edge = F.when(F.col("all") > 0, F.floor(F.col("cum") / F.col("all") * 2.0 ** 32)).otherwise(0)
+    s = s.withColumn("hi", F.when(F.lead(F.lit(1)).over(by_name).isNull(), F.lit(2 ** 32)).otherwise(edge))
     return s.withColumn("lo", F.coalesce(F.lag("hi").over(by_name), F.lit(0))).select(
-        "source", F.row_number().over(by_name).alias("sid"), "source_size", "target", "lo", "hi")
+        "source", F.row_number().over(by_name).alias("sid"), "source_size", "target", "length", "n_blocks", "slots", "lo", "hi")
 
 
-def schedule(spark: SparkSession, sources: DataFrame, slots: int, block: int) -> DataFrame:
+def schedule(spark: SparkSession, sources: DataFrame, slots: int) -> DataFrame:
     """``sid, block, times``: how often the schedule takes each block of each source's stream."""
     low, high = F.col("id") % STRETCH, F.shiftright(F.col("id") % 2 ** 32, 16)
     point = (low * GOLDEN + (high * GOLDEN % STRETCH) * STRETCH) % 2 ** 32
-    points = spark.range(slots).select("id", point.alias("point"), F.shiftright(point, 20).alias("cell"))
-    # a source is listed under each of the 4096 cells of the unit interval that its range touches
-    cells = sources.where("hi > lo and source_size > 0").select(
-        "sid", "lo", "hi", F.ceil(F.col("source_size") / block).alias("n_blocks"),
-        F.explode(F.sequence(F.shiftright("lo", 20), F.shiftright(F.col("hi") - 1, 20))).alias("cell"))
+    # a cell is as wide as MIN_SLOTS slots, so it touches few sources; a source is listed under each cell of its range
+    cell = max(1, 2 ** 32 * MIN_SLOTS // max(1, slots))
+    points = spark.range(slots).select("id", point.alias("point")).withColumn("cell", F.expr(f"point div {cell}"))
+    cells = sources.where("hi > lo and slots > 0").select(
+        "sid", "lo", "hi", "n_blocks", F.explode(F.sequence(F.expr(f"lo div {cell}"), F.expr(f"(hi - 1) div {cell}"))).alias("cell"))
     dealt = points.join(cells, "cell").where("point >= lo and point < hi").select(
         "sid", "id", "n_blocks", F.expr(f"id div {STRETCH}").alias("stretch"))
     before = W.partitionBy("sid").orderBy("stretch").rowsBetween(W.unboundedPreceding, -1)
@@ -101,11 +114,9 @@ def mix(df: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str
         F.conv(F.substring(order, 1, 3), 16, 10).cast("int").alias("range")))
     ranges = docs.groupBy("source", "range").agg(F.sum("size").alias("n"))
     sources = cut_lineage(targets(ranges.groupBy("source").agg(F.sum("n").alias("source_size"))))
-    total = int(sources.agg(F.sum("source_size")).first()[0] or 0)
-    block = max(1, min(BLOCK_TOKENS, total // MIN_SLOTS))
-    times = schedule(df.sparkSession, sources, -(-total // block), block)
+    times = schedule(df.sparkSession, sources, int(sources.agg(F.sum("slots")).first()[0] or 0))
 
-    named = sources.select(F.col("source").alias("__s"), "sid", "source_size", "target")
+    named = sources.select(F.col("source").alias("__s"), "sid", "source_size", "target", "length")
     same = F.col("source").eqNullSafe(F.col("__s"))
     before = W.partitionBy("sid").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
     offsets = ranges.join(named, same).select(
@@ -114,11 +125,10 @@ def mix(df: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str
                                  .rowsBetween(W.unboundedPreceding, W.currentRow))
     facts = ["doc_id", "source", "size", "source_size", "target"]
     placed = (docs.where("size > 0").join(named, same).withColumn("end", running).join(offsets, ["sid", "range"])
-              .select("sid", *facts, (F.col("end") + F.col("offset") - F.col("size")).alias("start"),
+              .select("sid", "length", *facts, (F.col("end") + F.col("offset") - F.col("size")).alias("start"),
                       (F.col("end") + F.col("offset")).alias("end")))
-    pieces = placed.select("*", F.explode(F.sequence(F.expr(f"start div {block}"), F.expr(f"(end - 1) div {block}")))
-                           .alias("block"))
-    part = F.least("end", (F.col("block") + 1) * block) - F.greatest("start", F.col("block") * block)
+    pieces = placed.select("*", F.explode(F.expr("sequence(start div length, (end - 1) div length)")).alias("block"))
+    part = F.least("end", (F.col("block") + 1) * F.col("length")) - F.greatest("start", F.col("block") * F.col("length"))
     # a document with words is known by its place in the stream
     taken = (pieces.join(times, ["sid", "block"], "left").groupBy("sid", "start", *facts)
              .agg(F.sum(part * F.coalesce("times", F.lit(0))).cast("long").alias("taken")))
@@ -145,22 +155,25 @@ m_l AS (SELECT *, (total - coalesce(sum(most) OVER (ORDER BY most / weight, sour
           row_number() OVER (ORDER BY most / weight, source ASC NULLS LAST) AS rk FROM m_t),
 m_o AS (SELECT *, arg_min(level, CASE WHEN level * weight <= most THEN rk END) OVER () AS water FROM m_l),
 m_g AS (SELECT *, CASE WHEN total > 0 THEN least(most, water * weight) ELSE 0.0 END AS target FROM m_o),
-m_c AS (SELECT *, sum(target) OVER (ORDER BY source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
-          row_number() OVER (ORDER BY source ASC NULLS LAST) AS sid, count(*) OVER () AS n FROM m_g),
-m_h AS (SELECT *, CASE WHEN sid = n THEN 4294967296 WHEN total > 0 THEN CAST(floor(cum / total * 4294967296.0) AS BIGINT) ELSE 0 END AS hi FROM m_c),
+m_z AS (SELECT *, CAST(greatest(1.0, least({float(BLOCK_TOKENS)}, floor(target / {MIN_SLOTS}))) AS BIGINT) AS length FROM m_g),
+m_n AS (SELECT *, (source_size + length - 1) // length AS n_blocks FROM m_z),
+m_q AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(n_blocks * target / source_size + 0.5) AS BIGINT) ELSE 0 END AS slots FROM m_n),
+m_c AS (SELECT *, sum(slots) OVER (ORDER BY source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
+          sum(slots) OVER () AS n_slots, row_number() OVER (ORDER BY source ASC NULLS LAST) AS sid, count(*) OVER () AS n FROM m_q),
+m_h AS (SELECT *, CASE WHEN sid = n THEN 4294967296 WHEN n_slots > 0
+          THEN CAST(floor(CAST(cum AS DOUBLE) / CAST(n_slots AS DOUBLE) * 4294967296.0) AS BIGINT) ELSE 0 END AS hi FROM m_c),
 m_s AS (SELECT *, coalesce(lag(hi) OVER (ORDER BY sid), 0) AS lo FROM m_h),
-m_b AS (SELECT total, greatest(1, least({BLOCK_TOKENS}, CAST(total AS BIGINT) // {MIN_SLOTS})) AS block FROM m_s LIMIT 1),
 m_p AS (SELECT i, CAST(CAST(i AS HUGEINT) * {GOLDEN} % 4294967296 AS BIGINT) AS point
-        FROM (SELECT unnest(range(CAST(ceil(total / block) AS BIGINT))) AS i FROM m_b)),
-m_r AS (SELECT s.sid, (s.source_size + block - 1) // block AS n_blocks, row_number() OVER (PARTITION BY s.sid ORDER BY i) - 1 AS rnk
-        FROM m_p JOIN m_s s ON point >= lo AND point < hi AND s.source_size > 0, m_b),
+        FROM (SELECT unnest(range(CAST(max(n_slots) AS BIGINT))) AS i FROM m_s)),
+m_r AS (SELECT s.sid, s.n_blocks, row_number() OVER (PARTITION BY s.sid ORDER BY i) - 1 AS rnk
+        FROM m_p JOIN m_s s ON point >= lo AND point < hi AND s.slots > 0),
 m_x AS (SELECT sid, rnk % n_blocks AS block_no, count(*) AS times FROM m_r WHERE rnk < n_blocks * {MAX_EPOCHS} GROUP BY ALL),
-m_e AS (SELECT d.*, s.sid, s.source_size, s.target,
+m_e AS (SELECT d.*, s.sid, s.source_size, s.target, s.length,
           sum(size) OVER (PARTITION BY s.sid ORDER BY ord, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fin
         FROM m_docs d JOIN m_s s ON d.source IS NOT DISTINCT FROM s.source),
-m_f AS (SELECT e.*, block, unnest(range(CAST((fin - size) // block AS BIGINT), CAST((fin - 1) // block + 1 AS BIGINT))) AS block_no
-        FROM m_e e, m_b WHERE size > 0),
-m_k AS (SELECT f.sid, f.doc_id, f.fin, CAST(sum((least(fin, (f.block_no + 1) * block) - greatest(fin - size, f.block_no * block)) * coalesce(times, 0)) AS BIGINT) AS taken
+m_f AS (SELECT e.*, unnest(range(CAST((fin - size) // length AS BIGINT), CAST((fin - 1) // length + 1 AS BIGINT))) AS block_no
+        FROM m_e e WHERE size > 0),
+m_k AS (SELECT f.sid, f.doc_id, f.fin, CAST(sum((least(fin, (f.block_no + 1) * f.length) - greatest(fin - size, f.block_no * f.length)) * coalesce(times, 0)) AS BIGINT) AS taken
         FROM m_f f LEFT JOIN m_x x ON x.sid = f.sid AND x.block_no = f.block_no GROUP BY ALL),
 mixed AS (SELECT e.doc_id, e.source, e.size, e.source_size, e.target, coalesce(k.taken, 0) AS taken
         FROM m_e e LEFT JOIN m_k k ON k.sid = e.sid AND k.fin = e.fin AND e.size > 0 AND k.doc_id IS NOT DISTINCT FROM e.doc_id)"""

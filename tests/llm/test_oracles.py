@@ -43,6 +43,32 @@ def test_secret_kinds(spark, docs):
     assert (row.n_assign, row.n_access, row.n_hex) == (1, 1, 0)
 
 
+def test_allow_list_judges_whole_parts(spark, docs):
+    token = "Zk8vQ1xT9bL3mW7cR5yH2pN6dF4gJ0aS"
+    lost = [f"/releases/latest/{token}", f"h.io/test/{token}", f"contest_{token}", token[:12] + "0000" + token[12:]]
+    plain = ["550e8400-e29b-41d4-a716-446655440000", "id=550e8400-e29b-41d4-a716-446655440000/550e8400-e29b-41d4-a716-446655440000",
+             "usr/local/share/test/dummy2/python3/site-packages", "xxxxxxxxxxxxxxxxxxxxxxxxxxxxxxx1", "backup-2024-01-15-12-30-45-server"]
+    rows = secrets.find_secrets(docs(list(enumerate(lost + plain)))).orderBy("doc_id").collect()
+    assert [len(r.found) for r in rows] == [1] * len(lost) + [0] * len(plain)
+
+
+def test_long_candidates_and_many_matches(spark, docs):
+    import random
+    import time
+    rng = random.Random(1)
+    base64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    token = lambda n: "".join(rng.choice(base64[:62]) for _ in range(n))
+    big = "".join(rng.choice(base64) for _ in range(1_000_000))
+    many = " ".join(f"k{i} {token(24)} password=longenough{i}" for i in range(50_000))
+    began = time.time()
+    one, two = secrets.find_secrets(docs([(1, f"see {big} end"), (2, many)])).orderBy("doc_id").collect()
+    assert time.time() - began < 90
+    assert [(s.start, s.end) for s in one.found] == [(4, 4 + len(big))]
+    assert two.n_assign == 50_000 and len(two.base) == 50_000 and len(two.found) > 95_000
+    for s in two.found[:3] + two.found[-3:]:
+        assert many[s.start:s.end].startswith("password=") or len(many[s.start:s.end]) == 24
+
+
 def test_window_entropy_is_the_best_window(spark):
     import math
     from collections import Counter
@@ -82,3 +108,15 @@ def test_small_sources_lose_no_lines(spark, docs):
     assert (out.n_dropped == 0).all()
     out = line_dedup.line_dedup(docs([(i, "same line \nown %d" % i) for i in range(10)])).toPandas()
     assert (out.n_dropped == 1).all() and out.kept.str.startswith("own").all()
+
+
+def test_small_sources_meet_their_targets(spark, docs):
+    """200 small sources beside one with nearly all words: each is near its target, whatever its size."""
+    rows = [(i, "w " * 20_000, "m") for i in range(60)]
+    rows += [(1000 + i, "w " * (3 + 12 * i), "s%03d" % i) for i in range(200)]
+    out = mixing.mix(docs(rows)).toPandas()
+    by = out.groupby("source").agg(target=("target", "first"), taken=("taken", "sum"), size=("source_size", "first"))
+    off = (by.taken - by.target).abs()
+    assert len(by) == 201 and (off <= 0.05 * by.target + 4).all()
+    assert (off <= 0.1 * by.target)[by.target >= 100].all()
+    assert (out.taken <= 3 * out["size"]).all()
