@@ -10,13 +10,13 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from brasa.functions.lookups import ZONE_NS_LEVELS, ZONE_WE_LEVELS
 from brasa.session import cut_lineage
 
-# a polygon layer's cell table and edge table are broadcast up to this many bytes each
+# a polygon layer's cell cover is broadcast up to this many bytes
 BROADCAST_BYTES = 64 << 20
 
 
@@ -51,59 +51,107 @@ def point_within(px, py, edges):
     return ((crossings % 2) == 1) & ~on_edge
 
 
-def _bounds():
-    """min x, max x, min y, max y of the outer ring."""
-    xs = F.transform(F.col("ring"), lambda p: p["x"])
-    ys = F.transform(F.col("ring"), lambda p: p["y"])
-    return [f(v) for v in (xs, ys) for f in (F.array_min, F.array_max)]
+# cells of level k have side SPLIT ** k (a power of two: cell bounds and the cell of a point are exact)
+SPLIT = 8
+# a border cell with more edges than this is split once more
+CELL_EDGES = 64
 
 
-def _cell_range(cell: float):
-    return [F.floor(v / cell) for v in _bounds()]
+def _side(k):
+    return F.pow(F.lit(float(SPLIT)), k.cast("double"))
 
 
-def polygon_cells(polygons: DataFrame, cell: float) -> DataFrame:
-    """Explode each polygon's bounding box into grid cells ``(cx, cy, _poly)``."""
-    x0, x1, y0, y1 = _cell_range(cell)
-    return (polygons.select("_poly", y0.alias("_y0"), y1.alias("_y1"), F.explode(F.sequence(x0, x1)).alias("cx"))
-                    .select("cx", F.explode(F.sequence("_y0", "_y1")).alias("cy"), "_poly"))
+def _classified(cells: DataFrame) -> DataFrame:
+    """Drops cells outside of their polygon and marks those inside of it.
+
+    A border cell keeps the edges that can matter to its points: those in its
+    band of y that are not wholly to its left (a ray to the right never meets
+    the others, and no point of the cell lies on them).
+    """
+    s = _side(F.col("k"))
+    box = cells.withColumns({"_s": s, "_x": F.col("cx") * s, "_y": F.col("cy") * s})
+    x, y, side = F.col("_x"), F.col("_y"), F.col("_s")
+    slack = side * 1e-9
+    near = F.filter("_edges", lambda e: (F.greatest(e["y1"], e["y2"]) >= y - slack) & (F.least(e["y1"], e["y2"]) <= y + side + slack)
+                    & (F.greatest(e["x1"], e["x2"]) >= x - slack))
+
+    def touches(e):
+        # the box meets the edge's bounds, and its corners are not all clearly on one side of the line
+        dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+        cross = [dx * (cy - e["y1"]) - dy * (cx - e["x1"]) for cx in (x, x + side) for cy in (y, y + side)]
+        tol = (F.abs(dx) + F.abs(dy)) * slack
+        return (F.least(e["x1"], e["x2"]) <= x + side + slack) & (F.least(*cross) <= tol) & (F.greatest(*cross) >= -tol)
+
+    known = F.col("_in")
+    out = box.withColumn("_near", F.when(~known, near))
+    out = out.withColumn("_touch", F.exists("_near", touches))
+    out = out.withColumn("_mid", F.when(~F.col("_touch"), point_within(x + side / 2, y + side / 2, F.col("_near"))))
+    out = out.where(known | F.col("_touch") | F.col("_mid"))
+    inside = known | ~F.col("_touch")
+    return out.select("_zone", "k", "cx", "cy", inside.alias("_in"),
+                      F.when(~inside, F.col("_near")).otherwise(F.slice("_edges", 1, 0)).alias("_edges"))
+
+
+def _divided(cells: DataFrame, least_edges: int) -> DataFrame:
+    """Border cells with at least so many edges become their parts; the others stay."""
+    parts = F.transform(F.sequence(F.lit(0), F.lit(SPLIT * SPLIT - 1)), lambda i: F.struct(
+        (F.col("k") - 1).alias("k"), (F.col("cx") * SPLIT + i % SPLIT).alias("cx"),
+        (F.col("cy") * SPLIT + F.floor(i / SPLIT)).alias("cy")))
+    stay = F.array(F.struct("k", "cx", "cy"))
+    whole = F.col("_in") | (F.size("_edges") < least_edges)
+    return cells.select("_zone", "_in", "_edges", F.explode(F.when(whole, stay).otherwise(parts)).alias("_c")).select(
+        "_zone", "_c.k", "_c.cx", "_c.cy", "_in", "_edges")
+
+
+def polygon_cover(polygons: DataFrame, zone_col: str = "area") -> DataFrame:
+    """Hierarchical cell cover ``(_zone, k, cx, cy, _in, _edges)`` of a polygon layer.
+
+    Cells start at the size of the polygon and are divided twice, each time only
+    those on its border (a third time where many edges meet), so the number of
+    cells follows the polygon's outline at its own scale, whatever the others'.
+    Cells inside need no further test.  One projection chain: no shuffle.
+    """
+    ring = F.col("ring")
+    xs, ys = F.transform(ring, lambda p: p["x"]), F.transform(ring, lambda p: p["y"])
+    bounds = [f(v).alias(n) for v, ns in ((xs, "ab"), (ys, "cd")) for f, n in ((F.array_min, ns[0]), (F.array_max, ns[1]))]
+    layer = polygons.select(F.col(zone_col).alias("_zone"), polygon_edges(polygons).alias("_edges"), *bounds)
+    extent = F.greatest(F.col("b") - F.col("a"), F.col("d") - F.col("c"), F.lit(1e-9))
+    layer = layer.withColumn("k", F.ceil(F.log(float(SPLIT), extent)).cast("long"))
+    cell = lambda c: F.floor(F.col(c) / _side(F.col("k")))
+    roots = layer.select("_zone", "_edges", "k", cell("c").alias("_c"), cell("d").alias("_d"),
+                         F.explode(F.sequence(cell("a"), cell("b"))).alias("cx"))
+    roots = roots.select("_zone", "k", "cx", F.explode(F.sequence("_c", "_d")).alias("cy"), F.lit(False).alias("_in"), "_edges")
+    cover = _classified(roots)
+    for least in (1, 1, CELL_EDGES):
+        cover = _classified(_divided(cover, least))
+    return cover
 
 
 def add_zones(df: DataFrame, polygons: DataFrame, *, lon_col: str = "longitude", lat_col: str = "latitude",
-              zone_col: str = "area", new_zone_col: str = "zone_alert", zone_threshold: int = 0,
-              cell: float | None = None, cells_per_polygon: int = 64) -> DataFrame:
+              zone_col: str = "area", new_zone_col: str = "zone_alert", zone_threshold: int = 0) -> DataFrame:
     """Spatial join: each point gets the area of every polygon it lies *within*.
 
     Points outside all polygons, or in a hole, are dropped; overlapping polygons
-    duplicate the point.  Plan: points meet polygon numbers on a grid cell key
-    (no nested-loop join), fetch that polygon's edges by number, then the exact
-    ray-casting predicate.  Edges are built once per polygon and written with its
-    number; the cell and edge tables are broadcast when their measured bytes are
-    at most ``BROADCAST_BYTES``, otherwise shuffled (AQE splits hot cells).
+    duplicate the point.  Plan: the layer's cover is written once; each point
+    meets it by an equi-join on its cell at every level the cover has (a few);
+    a point in an inside cell is within, one in a border cell is tested against
+    that cell's edges.  The cover is broadcast when its measured bytes are at
+    most ``BROADCAST_BYTES``, otherwise shuffled (AQE splits hot cells).
     """
-    keep = [c for c in ("ring", "holes") if c in polygons.columns]
-    layer = cut_lineage(polygons.select(F.col(zone_col).alias(new_zone_col), *keep)
-                        .withColumn("_edges", polygon_edges(polygons)).drop("holes")
-                        .withColumn("_poly", F.monotonically_increasing_id()))
-    if cell is None:
-        # one small aggregate over the polygon layer picks the grid size
-        x0, x1, y0, y1 = _bounds()
-        extent = layer.agg(F.percentile_approx(F.greatest(x1 - x0, y1 - y0), 0.5).alias("m")).first()["m"]
-        cell = (extent or 1.0) / math.sqrt(cells_per_polygon)
-    x0, x1, y0, y1 = _cell_range(cell)
-    size = layer.agg(F.sum((x1 - x0 + 1) * (y1 - y0 + 1) * 32).alias("cells"),
-                     F.sum(F.size("_edges") * 48 + F.length(new_zone_col) + 64).alias("edges")).first()
-
-    def sized(table, n_bytes):
-        return F.broadcast(table) if (n_bytes or 0) <= BROADCAST_BYTES else table
-
-    cells = sized(polygon_cells(layer, cell), size["cells"])
-    edges = sized(layer.select("_poly", new_zone_col, "_edges"), size["edges"])
-    pts = (df.drop(new_zone_col).withColumn("cx", F.floor(F.col(lon_col) / cell))
-             .withColumn("cy", F.floor(F.col(lat_col) / cell)))
-    out = (pts.join(cells, ["cx", "cy"]).join(edges, "_poly")
-              .where(point_within(F.col(lon_col), F.col(lat_col), F.col("_edges")))
-              .drop("cx", "cy", "_poly", "_edges"))
+    seen = Observation()
+    level = F.expr("shiftleft(1L, cast(k + 31 as int))")
+    cover = cut_lineage(polygon_cover(polygons, zone_col).observe(
+        seen, F.bit_or(level).alias("levels"), F.sum(F.size("_edges") * 32 + F.length(F.col("_zone").cast("string")) + 64).alias("bytes")))
+    found = seen.get
+    levels = [k - 31 for k in range(63) if (found.get("levels") or 0) >> k & 1]
+    if (found.get("bytes") or 0) <= BROADCAST_BYTES:
+        cover = F.broadcast(cover)
+    cells = F.array(*[F.struct(F.lit(k).cast("long").alias("k"), F.floor(F.col(lon_col) / float(SPLIT) ** k).alias("cx"),
+                               F.floor(F.col(lat_col) / float(SPLIT) ** k).alias("cy")) for k in levels or [0]])
+    pts = df.drop(new_zone_col).select("*", F.inline(cells))
+    out = (pts.join(cover, ["k", "cx", "cy"])
+              .where(F.col("_in") | point_within(F.col(lon_col), F.col(lat_col), F.col("_edges")))
+              .withColumnRenamed("_zone", new_zone_col).drop("k", "cx", "cy", "_in", "_edges"))
     if zone_threshold > 0:
         out = filter_by_group_count(out, new_zone_col, zone_threshold)
     return out

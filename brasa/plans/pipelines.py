@@ -168,7 +168,8 @@ def training_run(fires: DataFrame, dispatches: DataFrame, *, topo: DataFrame, we
     post, counts["df_rows_after_postprocessing"] = cut_and_count(postprocessing(feats)[0])
     post = cut_lineage(post, partition_by=ZONE_FACTORS)
     mapping = R.learn_groupwise_mapping(post)
-    models = M.train_zone_models(post, n_trials=n_trials, max_iter=max_iter)
+    log: dict = {}
+    models = M.train_zone_models(post, n_trials=n_trials, max_iter=max_iter, log=log)
     out = M.add_zone_predictions(post, models, ZONE_FACTORS, {"prediction_xgb0": 0, "prediction_circular_speed_mm": 1})
     out = M.add_prediction_interval(out, M.zone_intervals(post, models, 0, alpha=alpha), lo_col="lo_xgb0", hi_col="hi_xgb0")
     iv = M.zone_intervals(post, models, 1, alpha=alpha)
@@ -184,7 +185,8 @@ def training_run(fires: DataFrame, dispatches: DataFrame, *, topo: DataFrame, we
     metrics = out.sparkSession.createDataFrame([(k, float(v)) for k, v in values.items() if v is not None],
                                                "key string, value double")
     paths = save_artifacts(run_dir, df=out, models=models, intervals=iv, mapping=mapping, covariates=COVARIATES,
-                           meta=meta, metrics=metrics, outputs={"diagnostics.parquet": diag})
+                           meta=meta, metrics=metrics, outputs={"diagnostics.parquet": diag,
+                                    "trials.parquet": M.trial_table(out.sparkSession, log)})
     return {"paths": paths, "metrics": values}
 
 

@@ -916,11 +916,78 @@ def q_prediction_contributions(spark, d, n_trials: int = 1, max_iter: int = 10):
     """M5: per-feature contributions of each zone's final model (rows-only)."""
     from brasa.functions.lookups import COVARIATES
     from brasa.operators.explain import add_contributions
-    post, _ = post_table(spark, d)
+    post = cut_lineage(post_table(spark, d)[0], partition_by=M.ZONE_FACTORS)
     models = M.train_zone_models(post, n_trials=n_trials, max_iter=max_iter)
     return add_contributions(post, models, COVARIATES)
 
 
+#: Splits of the fixed tree of tree_contributions: temperature, then wind on either side.
+TREE_SPLITS = (18.0, 12.0, 20.0)
+
+
+@query("tree_contributions", f"""
+SELECT fire_id, round(b, 9) AS base_value, round(0.5 * ((t - b) + (tw - w)), 9) AS shap_temperature,
+       round(0.5 * ((w - b) + (tw - t)), 9) AS shap_wind_speed_kmh, round(tw, 9) AS prediction
+FROM (SELECT p.fire_id, g.b,
+        CASE WHEN temperature <= {TREE_SPLITS[0]} THEN g.ml ELSE g.mr END AS t,
+        (g.nl * CASE WHEN wind_speed_kmh <= {TREE_SPLITS[1]} THEN g.v0 ELSE g.v1 END
+         + g.nr * CASE WHEN wind_speed_kmh <= {TREE_SPLITS[2]} THEN g.v2 ELSE g.v3 END) / (g.nl + g.nr) AS w,
+        CASE WHEN temperature <= {TREE_SPLITS[0]} THEN CASE WHEN wind_speed_kmh <= {TREE_SPLITS[1]} THEN g.v0 ELSE g.v1 END
+             ELSE CASE WHEN wind_speed_kmh <= {TREE_SPLITS[2]} THEN g.v2 ELSE g.v3 END END AS tw
+      FROM post p, (SELECT avg(y) AS b, avg(y) FILTER (leaf < 2) AS ml, avg(y) FILTER (leaf > 1) AS mr,
+          count(*) FILTER (leaf < 2) AS nl, count(*) FILTER (leaf > 1) AS nr, avg(y) FILTER (leaf = 0) AS v0,
+          avg(y) FILTER (leaf = 1) AS v1, avg(y) FILTER (leaf = 2) AS v2, avg(y) FILTER (leaf = 3) AS v3
+        FROM (SELECT propagation_speed_mm AS y, CASE WHEN temperature <= {TREE_SPLITS[0]}
+                THEN CASE WHEN wind_speed_kmh <= {TREE_SPLITS[1]} THEN 0 ELSE 1 END
+                ELSE CASE WHEN wind_speed_kmh <= {TREE_SPLITS[2]} THEN 2 ELSE 3 END END AS leaf FROM post)) g)""", ["post"])
+def q_tree_contributions(spark, d):
+    """M5: exact contributions of a depth-2 regression tree whose leaves and covers come from the data."""
+    from brasa.operators.explain import add_tree_contributions
+    post, _ = post_table(spark, d)
+    t, w = F.col("temperature"), F.col("wind_speed_kmh")
+    leaf = F.when(t <= TREE_SPLITS[0], F.when(w <= TREE_SPLITS[1], 0).otherwise(1)).otherwise(
+        F.when(w <= TREE_SPLITS[2], 2).otherwise(3))
+    y = F.col("propagation_speed_mm")
+    stats = post.groupBy(leaf.alias("leaf")).agg(F.avg(y).alias("v"), F.count(y).alias("n"))
+    wide = stats.groupBy().agg(*[F.max(F.when(F.col("leaf") == k, F.col(c))).alias(f"{c}{k}") for k in range(4) for c in "vn"])
+    # nodes 0: root, 1 and 4: its children, 2, 3 and 5, 6: the leaves
+    n = lambda *ks: sum((F.col(f"n{k}") for k in ks), F.lit(0)).cast("double")
+    shape = [(0, 1, 4, 0, TREE_SPLITS[0], n(0, 1, 2, 3), None), (1, 2, 3, 1, TREE_SPLITS[1], n(0, 1), None),
+             (2, -1, -1, 0, 0.0, n(0), 0), (3, -1, -1, 0, 0.0, n(1), 1), (4, 5, 6, 1, TREE_SPLITS[2], n(2, 3), None),
+             (5, -1, -1, 0, 0.0, n(2), 2), (6, -1, -1, 0, 0.0, n(3), 3)]
+    nodes = wide.select(F.inline(F.array(*[F.struct(
+        F.lit(0).alias("treeID"), F.lit(i).alias("id"), (F.col(f"v{leaf}") if leaf is not None else F.lit(0.0)).alias("value"),
+        F.lit(left).alias("left"), F.lit(right).alias("right"), cover.alias("cover"), F.lit(feat).alias("feat"),
+        F.lit(thr).alias("thr"), F.lit(False).alias("equal"), F.lit(1.0).alias("weight"))
+        for i, left, right, feat, thr, cover, leaf in shape])))
+    out = add_tree_contributions(post, nodes, ["temperature", "wind_speed_kmh"])
+    return out.select("fire_id", *[r9(c).alias(c) for c in out.columns[1:]])
+
+
+@query("tuning_log", """
+SELECT "zone_WE", 7::BIGINT AS n_trials, 1::BIGINT AS n_best, 0::BIGINT AS n_better, 0::BIGINT AS n_over_budget,
+       0::BIGINT AS n_rising
+FROM post WHERE "zone_WE" IN (
+  SELECT "zone_WE" FROM post GROUP BY "zone_WE" HAVING count(*) FILTER (split3 = 'valid') > 0
+    AND count(DISTINCT CASE WHEN split3 = 'train' THEN propagation_speed_mm END) > 1)
+GROUP BY "zone_WE"
+""", ["post"])
+def q_tuning_log(spark, d, n_trials: int = 7, max_iter: int = 4, rung: int = 2):
+    """M1: per region, the trials of its search; how many are the best one, complete with a smaller loss than the best,
+    fitted beyond the budget, or have a best loss that rises from a rung to the next."""
+    log: dict = {}
+    M.train_zone_models(post_table(spark, d)[0], factors=["zone_WE"], n_trials=n_trials, max_iter=max_iter, rung=rung, log=log)
+    t = cut_lineage(M.trial_table(spark, log, ["zone_WE"]))
+    last = t.groupBy("zone_WE", "trial").agg(
+        F.max("is_best").alias("is_best"), F.max("state").alias("state"), F.min("loss").alias("loss"), F.max("fitted").alias("fitted"),
+        F.max_by("loss", "rung").alias("end"))
+    best = last.where("is_best").select("zone_WE", F.col("loss").alias("least"))
+    return last.join(best, "zone_WE").groupBy("zone_WE").agg(
+        F.count(F.lit(1)).alias("n_trials"), F.count_if("is_best").alias("n_best"),
+        F.count_if((F.col("state") == "complete") & (F.col("loss") < F.col("least"))).alias("n_better"),
+        F.count_if(F.col("fitted") > max_iter).alias("n_over_budget"), F.count_if(F.col("end") > F.col("loss")).alias("n_rising"))
+
+
 @query("zone_model_check", """
 SELECT "zone_WE", "zone_NS", count(*) AS n_rows, 0::BIGINT AS n_unscored, 0::BIGINT AS n_not_additive,
        0::BIGINT AS n_contribution_differs, 0::BIGINT AS n_crossed
