@@ -57,50 +57,34 @@ SPLIT = 8
 CELL_EDGES = 64
 
 
-def _side(k):
-    return F.pow(F.lit(float(SPLIT)), k.cast("double"))
-
-
 def _classified(cells: DataFrame) -> DataFrame:
     """Drops cells outside of their polygon and marks those inside of it.
 
     A border cell keeps the edges that can matter to its points: those in its
     band of y that are not wholly to its left (a ray to the right never meets
-    the others, and no point of the cell lies on them).
+    the others, and no point of the cell lies on them).  An edge touches a cell
+    if the cell meets its bounds and the corners are not all clearly on one side
+    of its line; without such an edge the cell's middle decides for all of it.
     """
-    s = _side(F.col("k"))
-    box = cells.withColumns({"_s": s, "_x": F.col("cx") * s, "_y": F.col("cy") * s})
-    x, y, side = F.col("_x"), F.col("_y"), F.col("_s")
-    slack = side * 1e-9
-    near = F.filter("_edges", lambda e: (F.greatest(e["y1"], e["y2"]) >= y - slack) & (F.least(e["y1"], e["y2"]) <= y + side + slack)
-                    & (F.greatest(e["x1"], e["x2"]) >= x - slack))
-
-    def touches(e):
-        # the box meets the edge's bounds, and its corners are not all clearly on one side of the line
-        dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
-        cross = [dx * (cy - e["y1"]) - dy * (cx - e["x1"]) for cx in (x, x + side) for cy in (y, y + side)]
-        tol = (F.abs(dx) + F.abs(dy)) * slack
-        return (F.least(e["x1"], e["x2"]) <= x + side + slack) & (F.least(*cross) <= tol) & (F.greatest(*cross) >= -tol)
-
-    known = F.col("_in")
-    out = box.withColumn("_near", F.when(~known, near))
-    out = out.withColumn("_touch", F.exists("_near", touches))
-    out = out.withColumn("_mid", F.when(~F.col("_touch"), point_within(x + side / 2, y + side / 2, F.col("_near"))))
-    out = out.where(known | F.col("_touch") | F.col("_mid"))
-    inside = known | ~F.col("_touch")
-    return out.select("_zone", "k", "cx", "cy", inside.alias("_in"),
-                      F.when(~inside, F.col("_near")).otherwise(F.slice("_edges", 1, 0)).alias("_edges"))
+    corner = "(e.x2 - e.x1) * ({y} - e.y1) - (e.y2 - e.y1) * ({x} - e.x1)"
+    corners = ", ".join(corner.format(x=x, y=y) for x in ("_x", "_x + _s") for y in ("_y", "_y + _s"))
+    tol = "(abs(e.x2 - e.x1) + abs(e.y2 - e.y1)) * _s * 1e-9D"
+    box = cells.selectExpr("*", f"power({SPLIT}D, k) AS _s").selectExpr("*", "cx * _s AS _x", "cy * _s AS _y")
+    near = box.selectExpr("*", """if(_in, NULL, filter(_edges, e -> greatest(e.y1, e.y2) >= _y - _s * 1e-9D
+        AND least(e.y1, e.y2) <= _y + _s * (1 + 1e-9D) AND greatest(e.x1, e.x2) >= _x - _s * 1e-9D)) AS _near""")
+    seen = near.selectExpr("*", f"""exists(_near, e -> least(e.x1, e.x2) <= _x + _s * (1 + 1e-9D)
+        AND least({corners}) <= {tol} AND greatest({corners}) >= -{tol}) AS _touch""")
+    seen = seen.selectExpr("*", """if(_touch, NULL, aggregate(_near, 0, (n, e) -> n + if((e.y1 > _y + _s / 2) != (e.y2 > _y + _s / 2)
+        AND _x + _s / 2 < (e.x2 - e.x1) * (_y + _s / 2 - e.y1) / (e.y2 - e.y1) + e.x1, 1, 0)) % 2 = 1) AS _mid""")
+    return seen.where("_in OR _touch OR _mid").selectExpr(
+        "_zone", "k", "cx", "cy", "_in OR NOT _touch AS _in", "if(_in OR NOT _touch, slice(_edges, 1, 0), _near) AS _edges")
 
 
 def _divided(cells: DataFrame, least_edges: int) -> DataFrame:
     """Border cells with at least so many edges become their parts; the others stay."""
-    parts = F.transform(F.sequence(F.lit(0), F.lit(SPLIT * SPLIT - 1)), lambda i: F.struct(
-        (F.col("k") - 1).alias("k"), (F.col("cx") * SPLIT + i % SPLIT).alias("cx"),
-        (F.col("cy") * SPLIT + F.floor(i / SPLIT)).alias("cy")))
-    stay = F.array(F.struct("k", "cx", "cy"))
-    whole = F.col("_in") | (F.size("_edges") < least_edges)
-    return cells.select("_zone", "_in", "_edges", F.explode(F.when(whole, stay).otherwise(parts)).alias("_c")).select(
-        "_zone", "_c.k", "_c.cx", "_c.cy", "_in", "_edges")
+    return cells.selectExpr("_zone", "_in", "_edges", f"""inline(if(_in OR size(_edges) < {least_edges},
+        array(named_struct('k', k, 'cx', cx, 'cy', cy)), transform(sequence(0, {SPLIT * SPLIT - 1}), i -> named_struct(
+            'k', k - 1, 'cx', cx * {SPLIT} + i % {SPLIT}, 'cy', cy * {SPLIT} + i div {SPLIT}))))""")
 
 
 def polygon_cover(polygons: DataFrame, zone_col: str = "area") -> DataFrame:
@@ -111,16 +95,13 @@ def polygon_cover(polygons: DataFrame, zone_col: str = "area") -> DataFrame:
     cells follows the polygon's outline at its own scale, whatever the others'.
     Cells inside need no further test.  One projection chain: no shuffle.
     """
-    ring = F.col("ring")
-    xs, ys = F.transform(ring, lambda p: p["x"]), F.transform(ring, lambda p: p["y"])
-    bounds = [f(v).alias(n) for v, ns in ((xs, "ab"), (ys, "cd")) for f, n in ((F.array_min, ns[0]), (F.array_max, ns[1]))]
-    layer = polygons.select(F.col(zone_col).alias("_zone"), polygon_edges(polygons).alias("_edges"), *bounds)
-    extent = F.greatest(F.col("b") - F.col("a"), F.col("d") - F.col("c"), F.lit(1e-9))
-    layer = layer.withColumn("k", F.ceil(F.log(float(SPLIT), extent)).cast("long"))
-    cell = lambda c: F.floor(F.col(c) / _side(F.col("k")))
-    roots = layer.select("_zone", "_edges", "k", cell("c").alias("_c"), cell("d").alias("_d"),
-                         F.explode(F.sequence(cell("a"), cell("b"))).alias("cx"))
-    roots = roots.select("_zone", "k", "cx", F.explode(F.sequence("_c", "_d")).alias("cy"), F.lit(False).alias("_in"), "_edges")
+    layer = polygons.select(F.col(zone_col).alias("_zone"), polygon_edges(polygons).alias("_edges"), "ring").selectExpr(
+        "_zone", "_edges", *[f"{f}(transform(ring, p -> p.{v})) AS _{f[6:]}{v}" for v in "xy" for f in ("array_min", "array_max")])
+    layer = layer.selectExpr("*", f"ceil(log({SPLIT}, greatest(_maxx - _minx, _maxy - _miny, 1e-9D))) AS k").selectExpr(
+        "*", f"power({SPLIT}D, k) AS _s")
+    roots = layer.selectExpr("*", "explode(sequence(floor(_minx / _s), floor(_maxx / _s))) AS cx").selectExpr(
+        "*", "explode(sequence(floor(_miny / _s), floor(_maxy / _s))) AS cy")
+    roots = roots.selectExpr("_zone", "k", "cx", "cy", "false AS _in", "_edges")
     cover = _classified(roots)
     for least in (1, 1, CELL_EDGES):
         cover = _classified(_divided(cover, least))
