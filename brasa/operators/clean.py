@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brasa.functions.columns import lookup, parse_decimal_text, require
@@ -64,21 +64,20 @@ def strip_zone_prefix(df: DataFrame, col: str = "ZONA", prefix: str = ZONE_PREFI
 def keep_first(df: DataFrame, key: Sequence[str] | str, order_cols: Sequence[str]) -> DataFrame:
     """Keep the first row per key in ``order_cols`` order (deterministic).
 
-    Implemented as ``min(struct(order..., row))`` per key: a hash/sort aggregate
-    with map-side partial aggregation, so a hot key is combined before the
-    shuffle instead of being ranked in one task.  Rows with a NULL in the key
-    are not duplicates of each other: all of them stay.
+    A rank-limited window: each task keeps its own first row of a key before the
+    shuffle, so a hot key sends one row per task.  Ties are broken by the other
+    columns.  Rows with a NULL in the key are not duplicates of each other: each
+    has a group of its own, in the same branch of the plan.
     """
     key = [key] if isinstance(key, str) else list(key)
-    order_cols = list(order_cols)
-    rest = [c for c in df.columns if c not in key]
-    packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)],
-                      F.struct(*[F.col(c) for c in rest]).alias("_row"))
-    named = F.lit(True)
+    missing = F.lit(False)
     for c in key:
-        named = named & F.col(c).isNotNull()
-    firsts = df.where(named).groupBy(*key).agg(F.min(packed).alias("_first"))
-    return firsts.select(*key, "_first._row.*").select(*df.columns).unionByName(df.where(~named))
+        missing = missing | F.col(c).isNull()
+    ties = [c for c, t in df.dtypes if c not in key and c not in order_cols and not t.startswith("map")]
+    alone = F.when(missing, F.monotonically_increasing_id()).otherwise(F.lit(-1))
+    first = Window.partitionBy(*key, "_alone").orderBy(*order_cols, *ties)
+    return (df.withColumn("_alone", alone).withColumn("_nth", F.row_number().over(first))
+            .where("_nth = 1").drop("_alone", "_nth"))
 
 
 def standardize_dispatches(df: DataFrame, *, report_type_col: str = "TIPO_FICHA",

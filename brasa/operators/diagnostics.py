@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brasa.operators.stats import exact_quantiles, join_groups
+from brasa.operators.stats import join_groups, quantiles_of
 
 LONG_ID_COLUMNS = ["fire_id", "zone_WE", "zone_NS", "high_season", "diurnal_nocturnal", "zone_alert",
                    "split2", "propagation_speed_mm"]
@@ -48,9 +48,8 @@ def residual_diagnostics(df: DataFrame, cols: Sequence[str], y_true: str, y_pred
         F.avg("_ar").alias("MAE"), F.max("_ar").alias("MaxAbsError"),
         F.avg(F.when(F.col("_r").isNotNull(), F.col("_y"))).alias("_ybar"),
         F.avg("_y").alias("_ymean"), F.avg("_yh").alias("_yhmean"))
-    qa = exact_quantiles(d, g, "_ar", [cutoff], ["_qabs"]).drop("n")
-    qr = exact_quantiles(d, g, "_r", [cutoff, 1 - cutoff], ["VaRUnder", "VaROver"]).drop("n")
-    stats = join_groups(join_groups(p1, qa, g, "left"), qr, g, "left")
+    cuts = quantiles_of(d, g, {"_qabs": ("_ar", cutoff), "VaRUnder": ("_r", cutoff), "VaROver": ("_r", 1 - cutoff)}).drop("n")
+    stats = join_groups(p1, cuts, g, "left")
     j = join_groups(d, stats.select(*g, "_ybar", "_qabs", "VaRUnder", "VaROver"), g)
     r, ar = F.col("_r"), F.col("_ar")
     p2 = j.groupBy(*g).agg(

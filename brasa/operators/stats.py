@@ -3,10 +3,12 @@
 Assume one group may hold a third of all rows.  Nothing here sends a whole
 group to one task:
 
-* ``exact_quantiles`` — exact linear-interpolated quantiles per group.  A
-  mergeable sketch (``percentile_approx``, partial aggregation) brackets each
-  target rank in a narrow value window; only rows inside that window are
-  ranked exactly, by one plan for every group size.
+* ``quantiles_of`` — exact linear-interpolated quantiles of several columns per
+  group.  A mergeable sketch (``percentile_approx``, partial aggregation)
+  brackets each target rank in a narrow value window; the rows inside are
+  counted by value in one more scan, a range histogram of the window finds the
+  bins that hold the rank, and only those are ranked exactly: one plan for
+  every group size.
 * ``rank_within_groups`` — exact 0-based rank by a uniformly distributed hash
   string.  Rows are split into 4096 sub-buckets by hash prefix; the rank is the
   sub-bucket's offset (from a groups x 4096 count table) plus the row's
@@ -15,7 +17,7 @@ group to one task:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,6 +25,8 @@ from pyspark.sql import functions as F
 from brasa.session import cut_lineage
 
 SKETCH_ACCURACY = 100_000
+#: Equal ranges of a bracket.
+BINS = 1024
 
 
 def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -37,69 +41,80 @@ def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                     probs: Sequence[float], names: Sequence[str] | None = None,
                     accuracy: int = SKETCH_ACCURACY) -> DataFrame:
-    """One row per group: ``group_cols + names + ['n']``.
+    """One row per group: ``group_cols + names + ['n']``; see :func:`quantiles_of`."""
+    names = list(names or [f"q{i}" for i in range(len(probs))])
+    return quantiles_of(df, group_cols, {nm: (value_col, p) for nm, p in zip(names, probs)}, accuracy)
+
+
+def quantiles_of(df: DataFrame, group_cols: Sequence[str], wanted: Mapping[str, tuple[str, float]],
+                 accuracy: int = SKETCH_ACCURACY) -> DataFrame:
+    """Quantiles of several columns, ``name -> (column, p)``: one row per group, ``group_cols + names + ['n']``.
 
     Linear interpolation between order statistics at ``p * (n - 1)`` (the
     numpy / ``quantile_cont`` definition).  NULL and NaN values are skipped;
-    a NULL group key is a group.
-
-    One plan for every size.  The values are written once; a mergeable sketch
-    gives two values that enclose each target rank with a margin of ten times
-    its error; the values between them are counted and ranked exactly.  A group
-    with fewer rows than that margin is its own bracket.  A rank outside of its
-    bracket fails the job instead of giving NULL.
+    a NULL group key is a group; ``n`` is the largest number of values.
+
+    One plan for every size and two scans of the values, which are written once
+    as (group, column, value).  The first gives, by a mergeable sketch, two
+    values that enclose each target rank with a margin of ten times its error.
+    The second counts the rows below them and, by value, the rows between them.
+    Equal ranges of a bracket (``BINS``) tell which of them holds the rank, and
+    the values of that one are ranked.  A group with fewer rows than the margin
+    is its own bracket.  A rank outside of its bracket fails the job instead of
+    giving NULL.
     """
     g = list(group_cols)
     ungrouped = not g
-    if ungrouped:  # one global group: a constant key, its one-row tables broadcast
+    if ungrouped:  # one global group: a constant key
         df, g = df.withColumn("_all", F.lit(0)), ["_all"]
-    names = list(names or [f"q{i}" for i in range(len(probs))])
-    K = len(probs)
+    names, cols = list(wanted), list(dict.fromkeys(c for c, _ in wanted.values()))
+    at = [cols.index(c) for c, _ in wanted.values()]
+    probs = [p for _, p in wanted.values()]
     delta = 10.0 / accuracy
-    lo_ps = [max(0.0, p - delta) for p in probs]
-    hi_ps = [min(1.0, p + delta) for p in probs]
-
-    v = cut_lineage(df.select(*g, F.col(value_col).cast("double").alias("_v"))
-                    .where(F.col("_v").isNotNull() & ~F.isnan("_v")))
-    stats = v.groupBy(*g).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_v", lo_ps + hi_ps, accuracy).alias("_b"),
-    )
+    ends = [max(0.0, p - delta) for p in probs] + [min(1.0, p + delta) for p in probs]
+
+    one = lambda i, c: [F.lit(i).alias("_c"), F.col(c).cast("double").alias("_v")]
+    values = one(0, cols[0]) if len(cols) == 1 else [F.inline(F.array(*[F.struct(*one(i, c)) for i, c in enumerate(cols)]))]
+    v = cut_lineage(df.select(*g, *values).where(F.col("_v").isNotNull() & ~F.isnan("_v")))
+    stats = v.groupBy(*g, "_c").agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", ends, accuracy).alias("_b"))
     # the margin has to hold the two order statistics around the rank: delta * n >= 2
     whole = F.col("_n") * F.lit(delta) < 2
-    lo_b = [F.when(whole, F.lit(float("-inf"))).otherwise(F.col("_b")[k]) for k in range(K)]
-    hi_b = [F.when(whole, F.lit(float("inf"))).otherwise(F.col("_b")[K + k]) for k in range(K)]
-    # stats has one row per group; AQE broadcasts it by measured size (exactly one row
-    # when ungrouped, so it is hinted)
-    j = join_groups(v, F.broadcast(stats) if ungrouped else stats, g)
-    below = j.groupBy(*g).agg(*[F.count_if(F.col("_v") < lo_b[k]).alias(f"_below{k}") for k in range(K)])
-    hits = F.array(*[F.when((F.col("_v") >= lo_b[k]) & (F.col("_v") <= hi_b[k]), F.lit(k)) for k in range(K)])
-    cand = (j.select(*g, "_v", F.explode(F.filter(hits, lambda x: x.isNotNull())).alias("_k"))
-              .groupBy(*g, "_k", "_v").agg(F.count(F.lit(1)).alias("_c")))
-    w = Window.partitionBy(*g, "_k").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    cand = cand.withColumn("_end", F.sum("_c").over(w))
-
-    # target ranks per (group, k)
-    tgt = join_groups(stats, below, g)
-    tgt = tgt.select(*g, "_n", F.explode(F.array(*[
-        F.struct(F.lit(k).alias("_k"), F.lit(float(p)).alias("_p"), F.col(f"_below{k}").alias("_below"))
-        for k, p in enumerate(probs)])).alias("_t")).select(*g, "_n", "_t.*")
+    brackets = F.array(*[F.when(F.col("_c") == at[k], F.struct(
+        F.lit(k).alias("_k"), F.lit(float(p)).alias("_p"), F.when(whole, F.lit(float("-inf"))).otherwise(F.col("_b")[k]).alias("_lo"),
+        F.when(whole, F.lit(float("inf"))).otherwise(F.col("_b")[len(names) + k]).alias("_hi"))) for k, p in enumerate(probs)])
+    stats = stats.select(*g, "_c", "_n", F.filter(brackets, lambda b: b.isNotNull()).alias("_b"))
+    # stats has one row per group and column; AQE broadcasts it by measured size.  A value below a bracket counts as NULL.
+    met = F.transform(F.filter("_b", lambda b: F.col("_v") <= b["_hi"]), lambda b: F.struct(
+        b["_k"].alias("_k"), F.when(F.col("_v") >= b["_lo"], F.col("_v")).alias("_x")))
+    counted = cut_lineage(join_groups(v, F.broadcast(stats) if ungrouped else stats, g + ["_c"])
+                          .select(*g, F.inline(met)).groupBy(*g, "_k", "_x").agg(F.count(F.lit(1)).alias("_cnt")))
+
     pos = F.col("_p") * (F.col("_n") - 1).cast("double")
-    tgt = tgt.select(*g, "_k", "_below", pos.alias("_pos"),
-                     F.floor(pos).alias("_rlo"), F.ceil(pos).alias("_rhi"), "_n")
-    m = join_groups(cand, F.broadcast(tgt) if ungrouped else tgt, g + ["_k"])
-    start = F.col("_below") + F.col("_end") - F.col("_c")
-    end = F.col("_below") + F.col("_end")
-    picked = m.groupBy(*g, "_k", "_pos", "_rlo", "_n").agg(
-        F.max(F.when((start <= F.col("_rlo")) & (F.col("_rlo") < end), F.col("_v"))).alias("_vlo"),
-        F.max(F.when((start <= F.col("_rhi")) & (F.col("_rhi") < end), F.col("_v"))).alias("_vhi"),
-    )
-    frac = F.col("_pos") - F.col("_rlo").cast("double")
-    q = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * frac
+    target = stats.select(*g, "_n", F.inline("_b")).withColumn("_pos", pos)
+    below = counted.where("_x is null").select(*g, "_k", F.col("_cnt").alias("_below"))
+    target = join_groups(target, below, g + ["_k"], "left").select(
+        *g, "_k", "_n", "_lo", "_hi", "_pos", F.floor("_pos").alias("_rlo"), F.ceil("_pos").alias("_rhi"),
+        F.coalesce("_below", F.lit(0)).alias("_below"))
+    share = (F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
+    narrow = (F.col("_lo") == float("-inf")) | (F.col("_hi") <= F.col("_lo")) | F.isnan(share)
+    binned = join_groups(counted.where("_x is not null"), target, g + ["_k"]).withColumn(
+        "_bin", F.when(narrow, 0).otherwise(F.least(F.lit(BINS - 1), F.floor(share * BINS).cast("int"))))
+    # at most BINS rows in a window, then the values of the bins that hold a rank
+    order = Window.partitionBy(*g, "_k").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    bins = binned.groupBy(*g, "_k", "_bin").agg(F.sum("_cnt").alias("_size"), F.first("_below").alias("_below"),
+                                                F.first("_rlo").alias("_rlo"), F.first("_rhi").alias("_rhi"))
+    start = F.col("_below") + F.coalesce(F.sum("_size").over(order), F.lit(0))
+    bins = bins.withColumn("_start", start).where((F.col("_start") <= F.col("_rhi")) & (F.col("_start") + F.col("_size") > F.col("_rlo")))
+    inside = Window.partitionBy(*g, "_k", "_bin").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = join_groups(binned.drop("_below"), bins.select(*g, "_k", "_bin", "_start"), g + ["_k", "_bin"]).withColumn(
+        "_end", F.col("_start") + F.sum("_cnt").over(inside))
+    holds = lambda r: (F.col("_end") - F.col("_cnt") <= F.col(r)) & (F.col(r) < F.col("_end"))
+    picked = ranked.groupBy(*g, "_k", "_pos", "_rlo", "_n").agg(
+        F.max(F.when(holds("_rlo"), F.col("_x"))).alias("_vlo"), F.max(F.when(holds("_rhi"), F.col("_x"))).alias("_vhi"))
+    q = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * (F.col("_pos") - F.col("_rlo").cast("double"))
     found = F.when(q.isNull(), F.raise_error(F.lit("quantile rank outside of its bracket"))).otherwise(q)
     out = picked.groupBy(*g).agg(
-        F.max("_n").alias("n"),
-        *[F.max(F.when(F.col("_k") == k, found)).alias(nm) for k, nm in enumerate(names)])
+        *[F.max(F.when(F.col("_k") == k, found)).alias(nm) for k, nm in enumerate(names)], F.max("_n").alias("n"))
     return out.drop("_all") if ungrouped else out
 
 

@@ -1100,7 +1100,7 @@ def _rename_parts(spark, folder, stem):
     path = jvm.org.apache.hadoop.fs.Path
     fs = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     for i, st in enumerate(fs.globStatus(path(f"{folder}/part-*.csv"))):
-        fs.rename(st.getPath(), path(f"{folder}/{stem} {i}.csv"))
+        fs.rename(st.getPath(), path(f"{folder}/{stem} {i:05d}.csv"))
 
 
 @query("csv_reports", """
@@ -1126,6 +1126,27 @@ def q_csv_reports(spark, d):
                       F.regexp_extract("ARCHIVO", "^(informe_[ab])_[0-9]+$", 1).alias("ARCHIVO"))
 
 
+@query("csv_scan_order", """
+SELECT season, arg_min(fire_id, k) AS first_id, arg_max(fire_id, k) AS last_id, count(*) AS n
+FROM (SELECT season, fire_id, (CASE WHEN fire_id % 100 = 7 THEN 1 WHEN fire_id % 3 = 0 THEN 3 ELSE 2 END) * 10000000000 + fire_id AS k
+      FROM (SELECT DISTINCT season, fire_id FROM fires))
+GROUP BY season""", ["fires"])
+def q_csv_scan_order(spark, d):
+    """First and last row of a season over reports of unequal sizes, in the order of the given files and their lines."""
+    f = fires(spark, d).select("season", "fire_id").distinct()
+    few, third = F.col("fire_id") % 100 == 7, F.col("fire_id") % 3 == 0
+    folders = []
+    for rows in (f.where(few), f.where(~few & ~third), f.where(~few & third)):
+        folders.append(_folder(spark, "csv"))
+        files.write_table(rows.orderBy("fire_id"), folders[-1], "csv")
+        _rename_parts(spark, folders[-1], "informe")
+    out = files.load_csv(spark, [f"{x}/informe*.csv" for x in folders])
+    key, fire = F.col(files.SEQ_COL), F.col("fire_id").cast("bigint")
+    out = out.withColumnsRenamed({"SEASON": "season", "FIRE_ID": "fire_id"})
+    return out.groupBy(F.col("season").cast("int").alias("season")).agg(
+        F.min_by(fire, key).alias("first_id"), F.max_by(fire, key).alias("last_id"), F.count(F.lit(1)).alias("n"))
+
+
 @query("csv_weather", """
 SELECT fire_id, temperature, relative_humidity, wind_direction FROM weather""", ["weather"])
 def q_csv_weather(spark, d):

@@ -7,6 +7,7 @@ afterwards with ``try_cast``.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,20 +58,39 @@ def load_csv(spark: SparkSession, path: str | Sequence[str], sep: str = ";",
     """Read every file (all strings), normalise headers, tag the file stem,
     drop all-empty rows, outer-union by name across header variants.
 
-    Files with the same header line are one read, in order of the first of them."""
+    Files with the same header line are one read, in order of the first of them.
+    ``ROW_SEQ`` orders the rows as the files' list and lines do: (place of the
+    file, start of its split, position in the task), whatever the sizes of the
+    files and however splits are packed into tasks.
+    """
+    paths = _expand(spark, path)
     groups: dict[str, list[str]] = {}
-    for f in _expand(spark, path):
+    for f in paths:
         groups.setdefault(_header(spark, f), []).append(f)
+    place: dict[str, int] = {}
+    for f in paths:
+        place.setdefault(_plain(f), len(place))
     # file names come URL-escaped; a plus sign is itself
-    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
-    stem = F.regexp_replace(F.regexp_extract(name, r"^(.*?)(\.[^.]*)?$", 1), r"\s", "_")
+    unescaped = lambda c: F.url_decode(F.replace(F.col(c), F.lit("+"), F.lit("%2B")))
+    stem = F.regexp_replace(F.regexp_extract(unescaped("_metadata.file_name"), r"^(.*?)(\.[^.]*)?$", 1), r"\s", "_")
+    ranks = F.map_from_arrays(F.array(*map(F.lit, place)), F.array(*map(F.lit, place.values())))
+    rank = F.element_at(ranks, F.regexp_replace(unescaped("_metadata.file_path"), _SCHEME, "/"))
+    seq = F.struct(F.coalesce(rank, F.raise_error(F.lit("unknown file"))).cast("int").alias("file"),
+                   F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"))
     out = None
     for files in groups.values():
         df = spark.read.option("sep", sep).option("header", True).option("inferSchema", False).csv(files)
-        df = drop_all_null_rows(normalise_headers(df)).withColumn(lineage_col, stem)
+        df = drop_all_null_rows(normalise_headers(df)).withColumn(lineage_col, stem).withColumn(SEQ_COL, seq)
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
-    # scan order (file, position): the row order keep-first rules refer to
-    return out.withColumn(SEQ_COL, F.monotonically_increasing_id())
+    return out
+
+
+_SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*:/*"
+
+
+def _plain(path: str) -> str:
+    """A path without its scheme: one form for what the file system and the scan call a file."""
+    return re.sub(_SCHEME, "/", path)
 
 
 WEATHER_RENAME = {"FICHA": "fire_id", "TEMPERATURA": "temperature", "HUMEDAD_RELATIVA": "relative_humidity",

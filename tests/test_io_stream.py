@@ -34,6 +34,25 @@ def test_load_csv_header_variants_and_names(spark, tmp):
     assert got["1"]["ROW_SEQ"] < got["2"]["ROW_SEQ"]
 
 
+def test_row_sequence_follows_files_and_lines(spark, tmp):
+    """Unequal files, several splits a file, splits of many files in one task: the list's order, then the lines'."""
+    _write(f"{tmp}/in/a 1.csv", "FICHA;SUP\n" + "1;0\n")
+    _write(f"{tmp}/in/b+2.csv", "FICHA;SUP\n" + "".join(f"{i};0\n" for i in range(2, 3000)))
+    _write(f"{tmp}/in/c%3.csv", "FICHA;OTRA\n" + "".join(f"{i};0\n" for i in range(3000, 3100)))
+    _write(f"{tmp}/in/d.csv", "FICHA;SUP\n" + "".join(f"{i};0\n" for i in range(3100, 3900)))
+    names = ["a 1", "b+2", "c%3", "d"]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("2k", old):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            rows = S.load_csv(spark, f"{tmp}/in").orderBy("ROW_SEQ").collect()
+            assert [int(r["FICHA"]) for r in rows] == list(range(1, 3900))
+            back = S.load_csv(spark, [f"{tmp}/in/{n}.csv" for n in reversed(names)]).orderBy("ROW_SEQ").collect()
+            assert [int(r["FICHA"]) for r in back] == [*range(3100, 3900), *range(3000, 3100), *range(2, 3000), 1]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_missing_csv_raises(spark, tmp):
     import pytest
     with pytest.raises(FileNotFoundError):

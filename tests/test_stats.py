@@ -50,3 +50,22 @@ def test_null_group_is_a_group(spark):
         out = {r.g: (r.n, r.q) for r in exact_quantiles(df, ["g"], "v", [0.5], ["q"], accuracy=accuracy).collect()}
         assert out[None] == (1000, 1998.0) and len(out) == 4
     assert rank_within_groups(df, ["g"], "h", ["id"]).count() == 4000
+
+
+def test_several_columns_in_one_plan(spark):
+    """Columns with gaps of their own, a skewed one with infinite values, one without values in a group."""
+    from brasa.operators.stats import quantiles_of
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({"g": rng.integers(0, 3, 40_000).astype("int64"), "a": rng.normal(size=40_000),
+                        "b": np.exp(rng.normal(size=40_000) * 8), "c": rng.integers(0, 4, 40_000).astype(float)})
+    pdf.loc[::7, "a"] = np.nan
+    pdf.loc[::5000, "b"] = np.inf
+    pdf.loc[pdf.g == 2, "c"] = np.nan
+    wanted = {"a5": ("a", 0.05), "a95": ("a", 0.95), "b50": ("b", 0.5), "b99": ("b", 0.99), "c50": ("c", 0.5)}
+    for accuracy in (100_000, 2000, 500):
+        out = quantiles_of(spark.createDataFrame(pdf), ["g"], wanted, accuracy).toPandas().set_index("g")
+        for g, sub in pdf.groupby("g"):
+            for name, (col, p) in wanted.items():
+                x = sub[col].dropna().to_numpy()
+                want = np.quantile(x, p) if len(x) else np.nan
+                assert (np.isnan(want) and np.isnan(out.loc[g, name])) or abs(out.loc[g, name] - want) <= 1e-9 * abs(want)
