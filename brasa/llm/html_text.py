@@ -10,11 +10,12 @@ Text lengths are summed over sliding windows of ``WINDOW`` lines: the sum
 surges where text begins and dives to zero where a gap as long as the window
 follows. The lines between surge and dive points form a text region. Regions
 whose sum peaks at ``SURGE`` or more are kept; if none does, the one with the
-highest peak; smaller ones between two kept ones stay. On a page with article (or main) elements the regions inside
-them are kept, whatever their size, and what is outside is dropped.
+highest peak; smaller ones between two kept ones stay. On a page with article (or main) elements their lines weigh
+a surge more and the lines outside nothing, so the windows choose among the article's lines.
 
 Each page is one row of an Arrow batch: no shuffle, no state. Defined results:
-null, empty and textless pages give an empty text; unclosed elements end with
+null, empty and textless pages give an empty text; a very long page is read
+once, from tag to tag, in time linear in its length and depth; unclosed elements end with
 their parent or the page, a tag cut off by the end of the page is dropped;
 repeated rows give repeated results; an empty table gives an empty result;
 only the named columns are read.
@@ -23,6 +24,7 @@ only the named columns are read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 import pandas as pd
@@ -54,9 +56,9 @@ STATES = frozenset("has is no not with without overflow show hide toggle open cl
 #: What becomes of the text of an element: kept, kept if there is no other article text, dropped (by name, by kind).
 KEPT, SPARE, BY_NAME, BY_KIND = range(4)
 _SPLIT = re.compile(r"[^a-z0-9]+")
-_TAG = re.compile(r"""<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*)>""")
-_GONE = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[|\]\]>|<![a-zA-Z][^>]*>|<\?[^>]*>"
-                   + "".join(rf"|<{t}(?=[\s/>])[^>]*>(?:(?<=/>)|.*?(?:</{t}\s*>|$))" for t in RAW), re.S | re.I)
+_MARK = re.compile(r"""(?P<comment><!--)|(?P<cdata><!\[CDATA\[|\]\]>)|(?P<other><(?:![a-zA-Z]|\?))"""
+                   r"""|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^<>"']|"[^"]*"|'[^']*')*)>""")
+_RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW}
 _CUT = re.compile(r"<(?:/?[a-zA-Z][^>]*|/|!|!-+)?$")
 _ATTR = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
 
@@ -96,11 +98,47 @@ def _within(parent: tuple[str, int, bool], name: str, attrs: str) -> int:
     return max(parent[1], _off(name, attrs, parent[2]))
 
 
+def marks(html: str):
+    """(text before, closing?, name, attributes) of each tag in page order, then the text that is left.
+
+    Comments, declarations and raw elements (scripts and the like) count as a
+    space; each is left by one search from where it starts, so a page is read
+    once. Without its end a comment or raw element runs to the end of the page.
+    """
+    # a tag that the end of the page cuts off
+    last = html.rfind(">") + 1
+    cut = _CUT.search(html, last)
+    html, text, at = html[:cut.start()] if cut else html, [], 0
+    while m := _MARK.search(html, at):
+        text.append(html[at:m.start()])
+        at = m.end()
+        if m["name"]:
+            name = m["name"].lower()
+            if name not in RAW or m["end"]:
+                yield "".join(text), bool(m["end"]), name, m["attrs"]
+                text = []
+                continue
+            if not m["attrs"].endswith("/"):
+                end = _RAW_END[name].search(html, at)
+                at = end.end() if end else len(html)
+        elif m["comment"]:
+            end = html.find("-->", at)
+            at = end + 3 if end >= 0 else len(html)
+        elif m["other"]:
+            if at >= last:
+                text.append(m[0])
+                continue
+            at = html.find(">", at) + 1
+        text.append(" ")
+    text.append(html[at:])
+    yield "".join(text), False, "", ""
+
+
 def lines_of(html: str) -> list[tuple[str, int, bool, float]]:
     """(text, what becomes of it, in an article element, share of link text) of each line with text, and of each dropped element."""
-    html = _CUT.sub("", _GONE.sub(" ", html))
     out, buf, linked, size = [], [], 0, 0
     stack: list[tuple[str, int, bool]] = []  # name, off, article
+    depth: Counter = Counter()
     off, article = KEPT, False
     link = 0
 
@@ -111,44 +149,35 @@ def lines_of(html: str) -> list[tuple[str, int, bool, float]]:
             out.append((text, off, article, linked / max(size, 1)))
         buf, linked, size = [], 0, 0
 
-    def add(text):
-        nonlocal linked, size
+    for text, closing, name, attrs in marks(html):
         buf.append(text)
         n = len(text.strip())
         size += n
         linked += n if link else 0
-
-    at = 0
-    for m in _TAG.finditer(html):
-        if m.start() > at:
-            add(html[at:m.start()])
-        at = m.end()
-        name, attrs = m[2].lower(), m[3]
         if name == "a":
-            link = 0 if m[1] else 1
-        if name in BLOCK:
+            link = 0 if closing else 1
+        if name in BLOCK or not name:
             flush()
-        if m[1]:
-            names = [s[0] for s in stack]
-            if name in names:
-                del stack[len(names) - 1 - names[::-1].index(name):]
-        elif name not in VOID and not attrs.endswith("/"):
-            if name == "p" or name in CLOSED_BY:
-                closes = CLOSED_BY.get(name, {"p"})
-                if stack and stack[-1][0] in closes:
-                    stack.pop()
+        if closing:
+            if depth[name]:
+                popped = None
+                while popped != name:
+                    popped = stack.pop()[0]
+                    depth[popped] -= 1
+        elif name and name not in VOID and not attrs.endswith("/"):
+            if (name == "p" or name in CLOSED_BY) and stack and stack[-1][0] in CLOSED_BY.get(name, {"p"}):
+                depth[stack.pop()[0]] -= 1
             parent = stack[-1] if stack else ("", KEPT, False)
             stack.append((name, _within(parent, name, attrs), parent[2] or name in ("article", "main")))
+            depth[name] += 1
         off, article = (stack[-1][1], stack[-1][2]) if stack else (KEPT, False)
-    add(html[at:])
-    flush()
     return out
 
 
 def regions(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int, int]]:
     """(surge, dive, peak): stretches of lines between gaps of ``window`` empty lines, and their highest window sum."""
     n = len(lengths)
-    sums = [sum(lengths[i:i + window]) for i in range(n)]
+    sums = [sum(lengths[i:i + window]) for i in range(n)]  # WINDOW is a small number
     out, start = [], None
     for i in range(n + 1):
         if i < n and sums[i] > 0:
@@ -164,8 +193,9 @@ def main_text(html: str | None) -> str:
     level = min((off for _, off, article, _ in lines if article), default=BY_KIND)
     inside = level <= SPARE
     use = [off <= (level if inside else KEPT) and (article if inside else share <= LINK_SHARE) for _, off, article, share in lines]
-    found = regions([len(x[0]) if ok else 0 for x, ok in zip(lines, use)])
-    if not inside and found:
+    # an article element weighs as much as a surge, so that none of its lines is too short for one
+    found = regions([len(x[0]) + SURGE * inside if ok else 0 for x, ok in zip(lines, use)])
+    if found:
         peak = max(r[2] for r in found)
         high = [i for i, r in enumerate(found) if r[2] >= min(SURGE, peak)]
         found = found[high[0]:high[-1] + 1]
