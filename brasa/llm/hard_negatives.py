@@ -49,7 +49,7 @@ NEGATIVES = 5
 LOW, HIGH = 80, 100
 SCALE = 256
 ROWS = 8192
-ANCHORS = 512
+ANCHORS = 128
 QUERY_BITS = 8
 SEED = 7
 #: Room for rounding in the ends of an interval, as a share of the product of the lengths.
@@ -222,8 +222,8 @@ def _negatives(k: int, least: int, most: int):
             left = np.flatnonzero(other & meets)
             score = scores(q[left], query)
             for positive, top in bands.tolist():
-                inside = np.array([least * top <= 100 * s <= most * top for s in score.tolist()], bool)
-                at = np.flatnonzero(inside)
+                # least * top <= 100 * score <= most * top in whole numbers
+                at = np.flatnonzero((score >= -(-least * top // 100)) & (score <= most * top // 100))
                 out += [(anchor, positive, top, int(ids[left[j]]), int(score[j]))
                         for j in at[_first(ids[left[at]], score[at], k)]]
         yield pd.DataFrame(out, columns=["anchor_id", "positive_id", "positive_score", "negative_id", "negative_score"])
