@@ -26,10 +26,7 @@ def preprocessing(fires: DataFrame, dispatches: DataFrame, *, dispatch_order: Se
     Returns ``(fires, dispatches)``."""
     d = dispatches
     if not already_standard:
-        d = clean.standardize_dispatches(
-            d, report_type_col="report_type", std_id_col="fire_dispatch_id", dispatch_id_col="dispatch_id",
-            fire_id_col="fire_id", zone_col="zone", order_cols=dispatch_order,
-            file_col="file_source")
+        d = clean.standard_dispatches(d, clean.DISPATCHES, dispatch_order)
         d = clean.standardize_teams(d, "glosa", "file_source", v1_sources, v2_sources)
     f = clean.filter_id_length(fires, "fire_id", 9)
     f, d = match.match_fires_and_dispatches(f, d, "fire_id")
@@ -60,7 +57,7 @@ def preprocessing_raw(fires: DataFrame, dispatches: DataFrame, *, v1_sources: Se
     fires, dispatches = cut_lineage(fires), cut_lineage(dispatches)
     f = clean.add_date_time_columns(fires, "INICIO")
     f = clean.standardize_fire_ids(f)
-    d = clean.standardize_dispatches(dispatches, order_cols=list(dispatch_order), file_col="ARCHIVO")
+    d = clean.standard_dispatches(dispatches, clean.RAW_DISPATCHES, dispatch_order)
     d = clean.standardize_teams(d, "GLOSA", "ARCHIVO", v1_sources, v2_sources)
     d = (d.withColumn("ID_DESPACHO", F.col("ID_DESPACHO").try_cast("bigint"))
           .withColumn("ID_FOCO_INCENDIO", F.col("ID_FOCO_INCENDIO").try_cast("bigint")))

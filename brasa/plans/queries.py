@@ -198,10 +198,7 @@ WHERE rn = 1 AND zone IN ('ZONA CHILLAN', 'ZONA CONSTITUCION', 'ZONA ARAUCO', 'Z
 
 
 def std_dispatches(spark, d):
-    return clean.standardize_dispatches(
-        dispatches(spark, d), report_type_col="report_type", std_id_col="fire_dispatch_id",
-        dispatch_id_col="dispatch_id", fire_id_col="fire_id", zone_col="zone", order_cols=DISPATCH_ORDER,
-        file_col="file_source")
+    return clean.standard_dispatches(dispatches(spark, d), clean.DISPATCHES, DISPATCH_ORDER)
 
 
 add_view("std_dispatches", _STD_SQL, ["dispatches"])

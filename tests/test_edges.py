@@ -208,7 +208,7 @@ def test_dispatch_ids_are_deduplicated_within_a_file(spark):
     from brasa.operators import clean
     rows = [("FOCO", 123456789, 5, "ZONA ARAUCO", "a", 1), ("FOCO", 123456789, 5, "ZONA ARAUCO", "a", 2), ("FOCO", 123456789, 5, "ZONA ARAUCO", "b", 3)]
     df = spark.createDataFrame(rows, "TIPO_FICHA string, ID_FOCO_INCENDIO long, ID_DESPACHO long, ZONA string, ARCHIVO string, seq int")
-    out = clean.standardize_dispatches(df, order_cols=["seq"], file_col="ARCHIVO").collect()
+    out = clean.standard_dispatches(df, clean.RAW_DISPATCHES, ["seq"]).collect()
     assert sorted((r.ARCHIVO, r.seq) for r in out) == [("a", 1), ("b", 3)]
 
 
