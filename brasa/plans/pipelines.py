@@ -187,11 +187,18 @@ def training_run(fires: DataFrame, dispatches: DataFrame, *, topo: DataFrame, we
     return {"paths": paths, "metrics": values}
 
 
-def assert_matches_file(actual: DataFrame, path: str, key: Sequence[str], schema=None, sep: str = ";",
-                        numeric_cols: Sequence[str] = (), exclude: Sequence[str] = (), tol: float = 1e-6) -> None:
-    """Compare with a golden CSV after applying a stored schema."""
-    from brasa.operators.check import assert_same
+def diff_with_file(actual: DataFrame, path: str, key: Sequence[str], schema=None, sep: str = ";",
+                   numeric_cols: Sequence[str] = (), exclude: Sequence[str] = (), tol: float = 1e-6) -> DataFrame:
+    """The rows that differ from a golden CSV, read under a stored schema."""
+    from brasa.operators.check import diff
     expected = actual.sparkSession.read.option("sep", sep).option("header", True).csv(path)
     if schema is not None:
         expected = schema.apply(expected)
-    assert_same(actual, expected, key, numeric_cols=numeric_cols, exclude=exclude, tol=tol)
+    return diff(actual, expected, key, numeric_cols=numeric_cols, exclude=exclude, tol=tol)
+
+
+def assert_matches_file(actual: DataFrame, path: str, key: Sequence[str], schema=None, **kw) -> None:
+    """Fails on the first differences from a golden CSV."""
+    bad = diff_with_file(actual, path, key, schema, **kw).limit(10).collect()
+    if bad:
+        raise AssertionError(f"table differs from {path}, e.g. {bad}")

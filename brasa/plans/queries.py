@@ -19,7 +19,7 @@ from brasa.operators import check, clean, diagnostics as DG, features as X, geo,
 from brasa.operators.schema import DtypeSchema, key_overlap, rename_dispatch_columns, rename_fire_columns, union_with_lineage
 from brasa.plans import oracle_shared as OS
 from brasa.plans.oracle_views import add_view, with_views
-from brasa.plans.pipelines import feature_engineering, postprocessing
+from brasa.plans.pipelines import diff_with_file, feature_engineering, postprocessing, scoring
 from brasa.session import checkpoint_dir, cut_lineage
 from brasa.sources import artifacts, derived as D, files
 
@@ -1180,6 +1180,34 @@ def q_scoring_input_files(spark, d):
     return files.load_scoring_input(spark, text)
 
 
+@query("zone_layer_file", _PIP, ["fires", "poly_edges"])
+def q_zone_layer_file(spark, d):
+    """S10 + J8: zones written as well-known text in a JSON file, holes included, read as a layer."""
+    def text(ring):
+        closed = F.concat(ring, F.slice(ring, 1, 1))
+        return F.concat(F.lit("("), F.array_join(F.transform(closed, lambda p: F.concat_ws(" ", p["x"], p["y"])), ", "), F.lit(")"))
+
+    rings = F.concat(F.array("ring"), F.coalesce("holes", F.array().cast("array<array<struct<x:double,y:double>>>")))
+    folder = _folder(spark, "zones")
+    files.write_table(D.polygons(spark).select(F.col("area").alias("name"), F.concat(
+        F.lit("POLYGON ("), F.array_join(F.transform(rings, text), ", "), F.lit(")")).alias("shape")), folder, "json")
+    layer = files.read_polygons(spark, folder, "json", "name", "shape")
+    return geo.add_zones(fires(spark, d).select("fire_id", "longitude", "latitude"), layer).select("fire_id", "zone_alert")
+
+
+@query("raster_file", _FUEL_SQL, ["fires", "fuel_raster", "fuel_codes"])
+def q_raster_file(spark, d):
+    """S11 + J9 + X9: a raster written as cells and a georeferencing record, read and sampled."""
+    cells, m = fuel_meta(spark, d)
+    table, record = _folder(spark, "cells"), _folder(spark, "georef")
+    files.write_table(cells, table)
+    files.write_table(spark.range(1).select(*[F.lit(getattr(m, c)).alias(c) for c in (
+        "x0", "dx", "y0", "dy", "nrows", "ncols", "nodata")]), record, "json")
+    cells, meta = files.read_raster(spark, table, record)
+    s = geo.sample_raster(fires(spark, d).select("fire_id", "longitude", "latitude"), cells, meta, out_col="fuel_code")
+    return s.select("fire_id", "fuel_code", X.fuel_code_label("fuel_code").alias("initial_fuel"))
+
+
 # ================================================================ C2 / C3 / C4 / C5
 @query("canonical_names", """
 SELECT fire_id, dispatch_id AS id_despacho, zone, glosa, file_source FROM dispatches""", ["dispatches"])
@@ -1287,6 +1315,27 @@ def q_artifact_roundtrip(spark, d):
         .select("fire_id", "split3", "initial_fuel_reduced")
 
 
+@query("stored_metrics", """
+SELECT 'rows' AS key, CAST(count(*) AS DOUBLE) AS value FROM post
+UNION ALL SELECT 'MAE_base_' || CASE WHEN split2 = 'test' THEN 'test' ELSE 'train' END,
+  round(avg(abs(propagation_speed_mm - prediction_base)), 9) FROM based GROUP BY split2
+UNION ALL SELECT 'preview_rows', CAST(least(50, count(*)) AS DOUBLE) FROM post
+UNION ALL SELECT 'preview_rows_of_the_table', CAST(least(50, count(*)) AS DOUBLE) FROM post""", ["based"])
+def q_stored_metrics(spark, d):
+    """Metrics of a run, read back from its folder, with the preview checked against the stored table."""
+    based, run = based_table(spark, d), _folder(spark, "run")
+    diag = DG.residual_diagnostics(DG.to_long(based, models=["base"]), ["split2"], "propagation_speed_mm", "prediction")
+    values = {"rows": based.count()}
+    values |= {f"MAE_base_{r['split2'].split('+')[0]}": r["MAE"] for r in diag.collect()}     # one row per split
+    artifacts.save_artifacts(run, df=based, metrics=artifacts.metrics_rows(spark, "r", values))
+    back = artifacts.load_artifacts(spark, run)
+    preview = spark.read.option("header", True).csv(f"{run}/data_preview.csv").select(F.col("fire_id").cast("bigint"))
+    of_table = preview.join(back["df"].select("fire_id"), "fire_id", "left_semi")
+    counts = [df.agg(F.lit(k).alias("key"), F.count(F.lit(1)).cast("double").alias("value"))
+              for k, df in (("preview_rows", preview), ("preview_rows_of_the_table", of_table))]
+    return back["metrics"].select("key", r9("value").alias("value")).unionByName(counts[0]).unionByName(counts[1])
+
+
 # ================================================================ P6-P8 / W7
 @query("table_diff", """
 SELECT coalesce(a.fire_id, e.fire_id) AS fire_id,
@@ -1313,6 +1362,86 @@ def q_table_diff(spark, d):
     return x.select("fire_id", F.col("_side").alias("side"), F.array_join("_columns", ",").alias("columns"))
 
 
+@query("golden_file_diff", """
+SELECT coalesce(a.fire_id, e.fire_id) AS fire_id,
+       CASE WHEN a.fire_id IS NULL THEN 'missing_actual' WHEN e.fire_id IS NULL THEN 'missing_expected' ELSE 'value' END AS side,
+       CASE WHEN a.fire_id IS NULL OR e.fire_id IS NULL THEN '' ELSE concat_ws(',',
+         CASE WHEN a.elevation IS DISTINCT FROM e.elevation AND NOT coalesce(abs(a.elevation - e.elevation) <= 0.6, false) THEN 'elevation' END,
+         CASE WHEN a.side IS DISTINCT FROM e.side THEN 'side' END) END AS columns
+FROM (SELECT fire_id, elevation, CASE WHEN aspect_degrees < 180 THEN 'E' ELSE 'W' END AS side FROM topo) a
+FULL JOIN (SELECT fire_id, CASE WHEN fire_id % 29 = 0 THEN elevation + 1.0 WHEN fire_id % 7 = 0 THEN elevation + 0.5 ELSE elevation END AS elevation,
+                  CASE WHEN fire_id % 23 = 0 THEN NULL WHEN aspect_degrees < 180 THEN 'E' ELSE 'W' END AS side
+           FROM topo WHERE fire_id % 17 <> 0) e USING (fire_id)
+WHERE a.fire_id IS NULL OR e.fire_id IS NULL
+  OR (a.elevation IS DISTINCT FROM e.elevation AND NOT coalesce(abs(a.elevation - e.elevation) <= 0.6, false))
+  OR a.side IS DISTINCT FROM e.side""", ["topo"])
+def q_golden_file_diff(spark, d):
+    """A table against a golden ``;`` CSV read under a stored schema; a level outside of its domain reads as NULL."""
+    side = F.when(F.col("aspect_degrees") < 180, "E").otherwise("W")
+    t, k, e = D.topo(spark, d).select("fire_id", "elevation", side.alias("side")), F.col("fire_id"), F.col("elevation")
+    golden = (t.where(k % 17 != 0).withColumn("elevation", F.when(k % 29 == 0, e + 1.0).when(k % 7 == 0, e + 0.5).otherwise(e))
+              .withColumn("side", F.when(k % 23 == 0, "N").otherwise(F.col("side"))))
+    folder = _folder(spark, "golden")
+    files.write_table(golden, folder, "csv")
+    stored = DtypeSchema.from_json(json.dumps({
+        "fire_id": {"type": "other", "dtype": "int64"}, "elevation": {"type": "other", "dtype": "float64"},
+        "side": {"type": "category", "categories": ["E", "W"], "ordered": False}}))
+    x = diff_with_file(t, folder, ["fire_id"], stored, numeric_cols=["elevation"], tol=0.6)
+    return x.select("fire_id", F.col("_side").alias("side"), F.array_join("_columns", ",").alias("columns"))
+
+
+#: A closed-form model per zone, so that the scoring run has results that SQL can state.
+ZONE_FORMULA = "0.3D + 0.05D * temperature + 0.02D * wind_speed_kmh + 0.01D * slope_degrees"
+
+add_view("p5_input", """
+SELECT f.fire_id, f.longitude, f.latitude, f.start_datetime, w.temperature, coalesce(w.wind_speed_ms, 0.0::DOUBLE) * 3.6::DOUBLE AS wind_speed_kmh,
+       w.relative_humidity
+FROM fires f JOIN weather w USING (fire_id) WHERE f.start_datetime IS NOT NULL""", ["fires", "weather"])
+
+
+@query("scoring_run", f"""
+SELECT fire_id, "zone_WE", "zone_NS", initial_fuel_reduced, round(p, 9) AS prediction, round(lo, 9) AS lo, round(hi, 9) AS hi,
+       round(sqrt(3.0::DOUBLE) * p, 9) AS major, round(p / sqrt(3.0::DOUBLE), 9) AS minor
+FROM (
+  SELECT s.fire_id, z."zone_WE", z."zone_NS", coalesce(m.initial_fuel_reduced, 'Unknown') AS initial_fuel_reduced,
+    CASE WHEN (z."zone_WE", z."zone_NS") IN (SELECT ("zone_WE", "zone_NS") FROM post)
+         THEN 0.3::DOUBLE + 0.05::DOUBLE * s.temperature + 0.02::DOUBLE * s.wind_speed_kmh + 0.01::DOUBLE * t.slope_degrees END AS p,
+    i.lo, i.hi
+  FROM p5_input s
+  JOIN (SELECT fire_id, regexp_extract(zone_alert, '^(.*) ', 1) AS "zone_WE", regexp_extract(zone_alert, ' ([^ ]*)$', 1) AS "zone_NS"
+        FROM ({_PIP}) pz) z USING (fire_id)
+  LEFT JOIN topo t USING (fire_id)
+  LEFT JOIN ({_FUEL_SQL}) r USING (fire_id)
+  LEFT JOIN ({_MAPPING}) m ON m."zone_WE" = z."zone_WE" AND m."zone_NS" = z."zone_NS" AND m.initial_fuel = r.initial_fuel
+  LEFT JOIN ({_INTERVALS}) i ON i."zone_WE" = z."zone_WE" AND i."zone_NS" = z."zone_NS"
+    AND i.diurnal_nocturnal = CASE WHEN hour(s.start_datetime) >= 3 AND hour(s.start_datetime) < 18 THEN 'diurnal' ELSE 'nocturnal' END
+    AND i.high_season = CASE WHEN month(s.start_datetime) * 100 + day(s.start_datetime) >= 1215
+                               OR month(s.start_datetime) * 100 + day(s.start_datetime) <= 315 THEN 'high' ELSE 'low' END)
+""", ["p5_input", "topo", "poly_edges", "fuel_raster", "fuel_codes", "based"])
+def q_scoring_run(spark, d):
+    """P5, M6: zones, raster fuel, fuel mapping, one stored model per zone, intervals and ellipse on incoming incidents."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import SQLTransformer
+    based = based_table(spark, d)
+    mapping, intervals = R.learn_groupwise_mapping(based, categories=tuple(FUEL_CODE_LABELS.values())), M.residual_intervals(
+        based.where(F.col("split3") == "valid"), "prediction_base", group_cols=[*M.ZONE_FACTORS, *M.PI_COVARIATES])
+    zones = [tuple(r) for r in based.select(*M.ZONE_FACTORS).distinct().collect()]      # at most 3 x 5
+    model = PipelineModel([SQLTransformer(statement=f"SELECT *, {ZONE_FORMULA} AS prediction FROM __THIS__")])
+    run = _folder(spark, "run")
+    artifacts.save_artifacts(run, models=dict.fromkeys(zones, model), intervals=intervals, mapping=mapping)
+    stored = artifacts.load_artifacts(spark, run)
+    cells, meta = fuel_meta(spark, d)
+    w = D.weather(spark, d).select("fire_id", "temperature", "relative_humidity",
+                                   (F.coalesce("wind_speed_ms", F.lit(0.0)) * 3.6).alias("wind_speed_kmh"))
+    incoming = (fires(spark, d).select("fire_id", "longitude", "latitude", "start_datetime").join(w, "fire_id")
+                .where(F.col("start_datetime").isNotNull()))
+    out = scoring(incoming, models=stored["model"], intervals=stored["pi"], mapping=stored["fuel_mapping"], topo=D.topo(spark, d),
+                  polygons=D.polygons(spark), fuel_cells=cells, fuel_meta=meta)
+    names = {"prediction_circular_speed_mm": "prediction", "lo_circular_speed_mm": "lo", "hi_circular_speed_mm": "hi",
+             "prediction_major_axis_speed_mm": "major", "prediction_minor_axis_speed_mm": "minor"}
+    return out.select("fire_id", *M.ZONE_FACTORS, "initial_fuel_reduced", *[r9(c).alias(n) for c, n in names.items()])
+
+
 @query("seeded_sample", """
 SELECT fire_id, zone_alert FROM fires ORDER BY md5('42:' || CAST(fire_id AS VARCHAR)), fire_id LIMIT 25""", ["fires"])
 def q_seeded_sample(spark, d):
