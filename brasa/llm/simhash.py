@@ -11,8 +11,12 @@ first three segments, at most one in the first seven. So 24 bits are equal,
 and of the next four segments one half (16 bits) is equal too. Every
 fingerprint is therefore posted under 8 starts x 2 halves, each key holding 40
 exact bits, and inside a key only fingerprints that pass the chain budgets get
-the full Hamming check. A key holds at most 2**24 different fingerprints by
-construction, whatever the size of the corpus.
+the full Hamming check. A key with more than ``DENSE`` fingerprints (a large
+family of near copies) is divided by its other 24 bits: of their four parts of
+6 bits two are equal when at most 2 bits differ, so each fingerprint goes to
+the six pairs of parts. A group then holds at most 2**12 different
+fingerprints by construction, whatever the size of the corpus or of a family,
+and the groups of one key lie in different tasks.
 
 Links inside a key are reduced to a spanning forest before they leave the
 task, so a large group of near copies yields as many edges as it has members,
@@ -42,6 +46,8 @@ SHINGLE = 3
 MAX_BITS = 2
 SEED = 42
 SEGMENTS = 8
+#: Fingerprints of a key that are compared as one group.
+DENSE = 1 << 12
 _LANES = np.array([[(b >> k) & 1 for k in range(8)] for b in range(256)], np.uint8).view(np.uint64).ravel()
 
 
@@ -153,6 +159,27 @@ def _posted() -> F.Column:
     return F.array(*keys)
 
 
+def _parts() -> F.Column:
+    """The 6 groups of a fingerprint inside a dense key: two equal 6-bit parts of the 24 bits that the key leaves open."""
+    turn = "cast(8 * shiftright(key, 41) as int)"
+    turned = f"(shiftrightunsigned(fp, {turn}) | shiftleft(fp, 64 - {turn}))"
+    rest = F.expr(f"if((shiftright(key, 40) & 1) = 0, shiftrightunsigned({turned}, 40), "
+                  f"(shiftrightunsigned({turned}, 24) & 65535L) | shiftleft(shiftrightunsigned({turned}, 56), 16))")
+    part = [F.shiftright(rest, 6 * i).bitwiseAND(63) for i in range(4)]
+    pairs = [(i, j) for i in range(4) for j in range(i)]
+    return F.array(*[F.lit(n << 12).cast("long") + F.shiftleft(part[i], 6) + part[j] for n, (i, j) in enumerate(pairs)])
+
+
+def posted_groups(reps: DataFrame) -> DataFrame:
+    """``key, fps``: the groups of fingerprints (column ``fp``, distinct) inside which links are looked for."""
+    posted = reps.select("fp", F.explode(_posted()).alias("key"))
+    dense = cut_lineage(posted.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > DENSE).select("key"))
+    light = posted.join(dense, "key", "left_anti").withColumn("part", F.lit(-1).cast("long"))
+    heavy = posted.join(dense, "key", "left_semi").withColumn("part", F.explode(_parts()))
+    return (light.unionByName(heavy).groupBy("key", "part").agg(F.collect_list("fp").alias("fps"))
+            .where(F.size("fps") > 1).drop("part"))
+
+
 def _links(batches):
     for pdf in batches:
         a, b = [], []
@@ -172,9 +199,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     docs = cut_lineage(df.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"),
                                  fingerprint_udf(shingle)(F.col(text)).alias("fp")))
     reps = cut_lineage(docs.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    keys = (reps.select("fp", F.explode(_posted()).alias("key")).groupBy("key")
-            .agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1))
-    comps = connected_components(keys.mapInPandas(_links, "a long, b long"))
+    comps = connected_components(posted_groups(reps).mapInPandas(_links, "a long, b long"))
     rooted = reps.join(comps, reps.fp == comps.node, "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
     names = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))

@@ -136,8 +136,10 @@ def test_simhash_equals_brute_force(spark, sf):
         assert (got[r.doc_id].fingerprint, got[r.doc_id].component_id) == (f"{f:016x}", low[c])
 
 
-def test_all_links_within_two_bits_are_found(spark):
+@pytest.mark.parametrize("dense", [1, simhash.DENSE])
+def test_all_links_within_two_bits_are_found(spark, monkeypatch, dense):
     """Chains of fingerprints one or two bits apart, and pairs three bits apart, through posting and pigeonring checks."""
+    monkeypatch.setattr(simhash, "DENSE", dense)
     rng = random.Random(9)
     fps = set()
     for _ in range(150):
@@ -149,9 +151,7 @@ def test_all_links_within_two_bits_are_found(spark):
     fps = sorted(fps)
     signed = [f - (1 << 64) if f >> 63 else f for f in fps]
     df = spark.createDataFrame([(s,) for s in signed], "fp long")
-    from pyspark.sql import functions as F
-    keys = (df.select("fp", F.explode(simhash._posted()).alias("key")).groupBy("key").agg(F.collect_list("fp").alias("fps"))
-            .where(F.size("fps") > 1))
+    keys = simhash.posted_groups(df)
     comps = {r.node: r.root for r in connected_components(keys.mapInPandas(simhash._links, "a long, b long")).collect()}
     want = brute_components(fps)
     groups = {}
@@ -161,6 +161,18 @@ def test_all_links_within_two_bits_are_found(spark):
     assert len({next(iter(g)) for g in groups.values()}) == len(groups)
 
 
+def test_groups_of_a_large_family_are_bounded(spark, monkeypatch):
+    """A family of 32 768 fingerprints that differ in 15 bits only: no group is larger than 2**12, and every link is in one."""
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(simhash, "DENSE", 64)
+    base = 0x0123456789ABCDEF
+    df = spark.range(1 << 15).select((F.col("id") * 512).bitwiseXOR(F.lit(base)).alias("fp"))
+    sizes = simhash.posted_groups(df).select(F.size("fps").alias("n")).agg(F.max("n")).first()[0]
+    assert sizes <= 1 << 12
+    comps = connected_components(simhash.posted_groups(df).mapInPandas(simhash._links, "a long, b long"))
+    assert comps.select("root").distinct().count() == 1 and comps.count() >= (1 << 15) - 1
+
+
 def test_simhash_edges_and_survivors(spark, edges):
     out = simhash.near_duplicates(edges)
     assert out.count() == len(EDGES)
