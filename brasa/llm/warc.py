@@ -10,12 +10,14 @@ below nodes that differ, so intact files cost one comparison and a corrupt
 record one path. Ranges are fixed in the offset space: a missing or extra
 record changes its own range and leaves its neighbours aligned.
 
-Only catalogue rows (no payloads) are shuffled. Files are filled by hash up to
-about ``FILE_BYTES``, so neither a host nor a group of copies decides how much
-one task gets, and the running offset of a file is a window over bounded rows.
+Only catalogue rows (no payloads) are shuffled. Files are filled up to about
+``FILE_BYTES`` by a hash of id, digest and number of the copy, so neither a host
+nor null ids nor a group of equal records decide how much one task gets, and
+the running offset of a file is a window over bounded rows.
 
 Defined results: null urls and bodies are empty, a null page_id is an id of its
-own; repeated rows are separate records at their own offsets; an empty replica
+own; repeated rows are separate records at their own offsets, dealt over the
+files; an empty replica
 against a full one reports every record as missing (or extra); two empty ones
 give an empty result; other columns are not read.
 """
@@ -33,6 +35,8 @@ from .common import table
 FILE_BYTES = 32_000_000
 RANGE = 1 << 16
 FAN_BITS = 4
+#: Equal records that are numbered in one step.
+COPIES = 4096
 #: Share of records damaged in the replica that the query audits, out of 256 by kind.
 DAMAGE = {"altered": (0, 4), "truncated": (4, 6), "missing": (6, 8)}
 
@@ -45,18 +49,29 @@ def record(url: Column, body: Column, page_id: Column) -> Column:
                     F.octet_length(body).cast("string"), F.lit("\r\n\r\n"), body, F.lit("\r\n\r\n"))
 
 
-def _mark(page_id: Column) -> Column:
-    return F.md5(F.coalesce(page_id.cast("string"), F.lit("")))
+def _mark(page_id: Column, digest: Column) -> Column:
+    return F.md5(F.concat(F.coalesce(page_id.cast("string"), F.lit("")), F.lit(":"), digest))
+
+
+def _records(pages: DataFrame) -> DataFrame:
+    """``page_id, r, digest, m`` of every page: the record, its sha256 and the md5 that decides about it."""
+    rows = pages.select("page_id", record(F.col("url"), F.col("html"), F.col("page_id")).alias("r"))
+    rows = rows.withColumn("digest", F.sha2("r", 256))
+    return rows.withColumn("m", _mark(F.col("page_id"), F.col("digest")))
 
 
 def catalogue(pages: DataFrame) -> DataFrame:
     """Catalogue of the archive that holds ``pages`` (page_id, url, html), in page order within each file."""
-    rows = pages.select("page_id", record(F.col("url"), F.col("html"), F.col("page_id")).alias("r"), _mark(F.col("page_id")).alias("m"))
-    rows = cut_lineage(rows.select("page_id", F.octet_length("r").cast("long").alias("length"),
-                                   F.sha2("r", 256).alias("digest"), "m"))
+    rows = cut_lineage(_records(pages).select("page_id", F.octet_length("r").cast("long").alias("length"), "digest", "m"))
     size = rows.agg(F.sum("length")).first()[0] or 0
     n = max(1, math.ceil(size / FILE_BYTES))
-    file = (F.conv(F.substring("m", 1, 8), 16, 10).cast("long") % n).alias("file")
+    # equal records are counted before they are shuffled, and numbered afterwards
+    rows = (rows.groupBy("page_id", "length", "digest", "m").agg(F.count(F.lit(1)).alias("n"))
+            .withColumn("block", F.explode(F.sequence(F.lit(0), F.expr(f"(n - 1) div {COPIES}"))))
+            .withColumn("copy", F.explode(F.sequence(F.lit(0), F.least(F.lit(COPIES), F.expr(f"n - block * {COPIES}")) - 1)))
+            .withColumn("copy", F.col("block") * COPIES + F.col("copy")))
+    place = F.md5(F.concat_ws(":", "m", "copy"))
+    file = (F.conv(F.substring(place, 1, 8), 16, 10).cast("long") % n).alias("file")
     order = W.partitionBy("file").orderBy("page_id", "length", "digest").rowsBetween(W.unboundedPreceding, -1)
     return rows.select(file, "page_id", "length", "digest", "m").select(
         "file", F.coalesce(F.sum("length").over(order), F.lit(0)).alias("offset"), "length",
@@ -106,21 +121,21 @@ def audit(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def damaged(records: DataFrame, pages: DataFrame) -> DataFrame:
-    """A second replica of the catalogue: some records of ``pages`` have a changed byte, lost their end, or are gone.
+    """Catalogue of a second replica that holds ``pages`` record by record at the same places: some records have a
+    changed byte, lost their end, or are gone.
 
-    Which ones follows from the md5 of the page id. Offsets are those of the replica's own catalogue, copied from
-    the first.
+    Which ones follows from the md5 of id and digest. Digests and lengths are those of the replica's own bytes; a
+    record that lost its end leaves a hole before the next.
     """
     hit = F.conv(F.substring("m", 31, 2), 16, 10).cast("int")
     within = lambda k: (hit >= DAMAGE[k][0]) & (hit < DAMAGE[k][1])
     r = F.col("r")
     new = F.when(within("altered"), F.concat(F.lit("X"), F.substring(r, 2, 2 ** 31 - 2))).otherwise(
         F.substring(r, F.lit(1), F.length(r) - 8))
-    rows = pages.select("page_id", record(F.col("url"), F.col("html"), F.col("page_id")).alias("r"),
-                        _mark(F.col("page_id")).alias("m")).where(within("altered") | within("truncated"))
-    changed = rows.select(F.sha2("r", 256).alias("digest"), F.sha2(new, 256).alias("new")).distinct()
+    changed = (_records(pages).where(within("altered") | within("truncated")).withColumn("r", new)
+               .select("digest", F.sha2("r", 256).alias("new"), F.octet_length("r").cast("long").alias("size")).distinct())
     return records.where(~within("missing")).join(changed, "digest", "left").select(
-        "file", "offset", "length", "record_id", F.coalesce("new", "digest").alias("digest"))
+        "file", "offset", F.coalesce("size", "length").alias("length"), "record_id", F.coalesce("new", "digest").alias("digest"))
 
 
 def query(spark, sf_dir) -> DataFrame:
@@ -130,16 +145,18 @@ def query(spark, sf_dir) -> DataFrame:
 
 
 def oracle(pages: str = "pages") -> str:
-    """DuckDB SQL of :func:`query` (page ids unique): offsets, and the records that the damage rule names."""
+    """DuckDB SQL of :func:`query`: offsets, and the records that the damage rule names."""
     return f"""
-WITH r AS (SELECT page_id, md5(coalesce(CAST(page_id AS VARCHAR), '')) AS m,
+WITH r AS (SELECT page_id,
     'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || coalesce(CAST(page_id AS VARCHAR), '')
       || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10)
       || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '')
       || chr(13) || chr(10) || chr(13) || chr(10) AS r FROM {pages}),
-c AS (SELECT page_id, m, CAST(strlen(r) AS BIGINT) AS length, sha256(r) AS digest FROM r),
+s AS (SELECT page_id, CAST(strlen(r) AS BIGINT) AS length, sha256(r) AS digest FROM r),
+c AS (SELECT *, md5(coalesce(CAST(page_id AS VARCHAR), '') || ':' || digest) AS m,
+    row_number() OVER (PARTITION BY page_id, digest) - 1 AS copy FROM s),
 n AS (SELECT greatest(1, CAST(ceil(sum(length) / {FILE_BYTES}.0) AS BIGINT)) AS n FROM c),
-f AS (SELECT CAST('0x' || substr(m, 1, 8) AS BIGINT) % n AS file, CAST('0x' || substr(m, 31, 2) AS INT) AS hit, * FROM c, n),
+f AS (SELECT CAST('0x' || substr(md5(m || ':' || copy), 1, 8) AS BIGINT) % n AS file, CAST('0x' || substr(m, 31, 2) AS INT) AS hit, * FROM c, n),
 o AS (SELECT *, CAST(coalesce(sum(length) OVER (PARTITION BY file ORDER BY page_id NULLS FIRST, length, digest ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset" FROM f)
 SELECT file, "offset", page_id AS record_id, length,
   CASE WHEN hit >= {DAMAGE['missing'][0]} AND hit < {DAMAGE['missing'][1]} THEN 'missing' ELSE 'altered' END AS status

@@ -421,6 +421,34 @@ def test_audit_finds_exactly_the_damage(spark, monkeypatch):
     assert warc.audit(empty, empty).count() == 0
 
 
+def test_null_ids_and_copies_fill_no_file(spark, monkeypatch):
+    """Two thirds of the rows without an id, half of those equal: files stay near their size, offsets have no gap."""
+    monkeypatch.setattr(warc, "FILE_BYTES", 40_000)
+    monkeypatch.setattr(warc, "COPIES", 100)
+    rows = [(None if i % 3 else i, "http://h/", "same" if i % 3 == 1 else f"page {i}") for i in range(6000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    a = warc.catalogue(pages).toPandas()
+    assert len(a) == 6000
+    sizes = a.groupby("file").length.sum()
+    assert sizes.max() < 2 * 40_000 and len(sizes) > 10
+    for _, f in a.groupby("file"):
+        f = f.sort_values("offset")
+        assert (f.offset.to_numpy() == np.concatenate(([0], f.length.cumsum().to_numpy()[:-1]))).all()
+
+
+def test_replica_is_catalogued_from_its_own_bytes(spark):
+    pages = spark.createDataFrame([(i, "u", f"<p>é text {i}</p>" * (i % 5)) for i in range(2000)], "page_id long, url string, html string")
+    first = warc.catalogue(pages)
+    bytes_of = {r.page_id: r.r for r in warc._records(pages).collect()}
+    kind = {r.record_id: next((k for k, (lo, hi) in warc.DAMAGE.items() if lo <= int(r.m[30:], 16) < hi), None) for r in first.collect()}
+    second = {r.record_id: r for r in warc.damaged(first, pages).collect()}
+    assert {k for k in kind.values()} == {None, *warc.DAMAGE}
+    assert set(bytes_of) - set(second) == {i for i, k in kind.items() if k == "missing"}
+    for i, r in second.items():
+        own = {"altered": "X" + bytes_of[i][1:], "truncated": bytes_of[i][:-8]}.get(kind[i], bytes_of[i]).encode()
+        assert (r.length, r.digest) == (len(own), hashlib.sha256(own).hexdigest())
+
+
 # ---- pipeline ---------------------------------------------------------------------------------------------------------
 
 def test_pipeline_equals_its_parts(spark, sf):
