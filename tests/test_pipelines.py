@@ -76,3 +76,13 @@ def test_rescored_sample_and_missing_run(spark, tmp):
     artifacts.save_artifacts(f"{tmp}/run", df=a)
     with pytest.raises(FileExistsError):
         artifacts.save_artifacts(f"{tmp}/run", df=a)
+
+
+def test_golden_file(spark, tmp):
+    from brasa.plans.pipelines import assert_matches_file
+    a = spark.createDataFrame([(1, 1.0, None), (2, 2.0, "y")], "k long, v double, s string")
+    S.write_table(a, f"{tmp}/golden", "csv")
+    same = dict(key=["k"], numeric_cols=["v"])
+    assert_matches_file(a.withColumn("k", F.col("k").cast("string")), f"{tmp}/golden", **same)
+    with pytest.raises(AssertionError):
+        assert_matches_file(a.withColumn("v", F.col("v") + 0.1).withColumn("k", F.col("k").cast("string")), f"{tmp}/golden", **same)
