@@ -187,32 +187,99 @@ def raster_shape(cells: DataFrame) -> tuple[int, int]:
     return int(r["r"]) + 1, int(r["c"]) + 1
 
 
+# ---- S11: blocks of cells -------------------------------------------------------
+#: cells along a side of a block
+TILE = 64
+
+
+@dataclass(frozen=True)
+class Tiles:
+    """A raster as one row per square block: ``(tile_row, tile_col, <one array per value column>)``.
+
+    A block holds its cells row by row; a cell without a value is NULL, cells
+    after the last one with a value are left off.
+    """
+    blocks: DataFrame
+    size: int
+    columns: tuple[str, ...] = ("value",)
+
+
+def _tile_key(row, col, size: int):
+    """(tile_row, tile_col, place in the block) of a cell."""
+    n = F.lit(size)
+    place = F.pmod(row, n) * n + F.pmod(col, n)
+    return (F.floor(row / n).alias("tile_row"), F.floor(col / n).alias("tile_col"), place.cast("int").alias("_place"))
+
+
+def tile_raster(cells: DataFrame, value_cols=("value",), size: int = TILE) -> Tiles:
+    """Cell table ``(row, col, *value_cols)`` -> blocks of ``size`` x ``size`` cells.
+
+    One shuffle, by block; a block has at most ``size * size`` cells, so no group
+    grows with the raster. Of repeated cells the largest value counts.
+    """
+    cols = list(value_cols)
+    key = _tile_key(F.col("row").cast("bigint"), F.col("col").cast("bigint"), size)
+    placed = (cells.where(F.col("row").isNotNull() & F.col("col").isNotNull()).select(*key, *cols)
+                   .repartition("tile_row", "tile_col"))
+    one = placed.groupBy("tile_row", "tile_col", "_place").agg(*[F.max(c).alias(c) for c in cols])
+    held = one.groupBy("tile_row", "tile_col").agg(F.array_sort(F.collect_list(F.struct("_place", *cols))).alias("_cells"))
+
+    def dense(c):
+        def fill(cell, i):
+            before = F.coalesce(F.get("_cells", i - 1)["_place"], F.lit(-1))
+            return F.concat(F.array_repeat(F.lit(None).cast(cells.schema[c].dataType), cell["_place"] - before - 1),
+                            F.array(cell[c]))
+        return F.flatten(F.transform("_cells", fill)).alias(c)
+
+    return Tiles(held.select("tile_row", "tile_col", *[dense(c) for c in cols]), size, tuple(cols))
+
+
+def _cell_values(pts: DataFrame, grid: DataFrame | Tiles, value_cols) -> DataFrame:
+    """``pts`` with the values of the cell ``(_row, _col)`` (NULL where there is none), key columns dropped.
+
+    On blocks, the join is on the block and each point picks its element there: a
+    block crosses the network once, not cell by cell, and is not copied per point.
+    A hot block's points are split by AQE like any skewed left side.
+    """
+    cols = list(value_cols)
+    if isinstance(grid, Tiles):
+        b = grid.blocks.select(F.col("tile_row").alias("_tr"), F.col("tile_col").alias("_tc"),
+                               *[F.col(c).alias(f"_block_{c}") for c in cols])
+        tr, tc, place = _tile_key(F.col("_row"), F.col("_col"), grid.size)
+        kept = [F.col(f"`{c}`") for c in pts.columns if c not in ("_row", "_col")]
+        x = pts.select(*kept, tr.alias("_tr"), tc.alias("_tc"), place).join(b, ["_tr", "_tc"], "left")
+        return x.select(*kept, *[F.get(f"_block_{c}", F.col("_place")).alias(c) for c in cols])
+    c = grid.select(F.col("row").cast("bigint").alias("_row"), F.col("col").cast("bigint").alias("_col"),
+                    *[F.col(c) for c in cols])
+    return pts.join(c, ["_row", "_col"], "left").drop("_row", "_col")
+
+
 # ---- J9 -----------------------------------------------------------------------
-def sample_raster(df: DataFrame, cells: DataFrame, meta: RasterMeta, *, x_col: str = "longitude",
+def sample_raster(df: DataFrame, cells: DataFrame | Tiles, meta: RasterMeta, *, x_col: str = "longitude",
                   y_col: str = "latitude", out_col: str = "fuel", crs: str = "EPSG:4326") -> DataFrame:
     """Value of the cell containing each point (floor indexing); bounds are closed.
 
     Points in another coordinate system than the raster's are projected first.
 
     Points outside the raster, on nodata, or on a missing cell get NULL; every
-    point is kept (left join on the cell key, shuffle or broadcast by AQE).
+    point is kept (left join on the cell or block key, shuffle or broadcast by AQE).
     """
     left, bottom, right, top = meta.bounds
     x, y = project(x_col, y_col, crs, meta.crs)
     inb = (x >= left) & (x <= right) & (y >= bottom) & (y <= top)
     pts = (df.withColumn("_row", F.when(inb, F.floor((y - F.lit(meta.y0)) / F.lit(meta.dy))))
              .withColumn("_col", F.when(inb, F.floor((x - F.lit(meta.x0)) / F.lit(meta.dx)))))
-    c = cells.select(F.col("row").cast("bigint").alias("_row"), F.col("col").cast("bigint").alias("_col"),
-                     F.col("value").alias("_value"))
     v = F.col("_value")
     if meta.nodata is not None:
         v = F.when(v != F.lit(float(meta.nodata)), v)
     v = F.when(~F.isnan(v), v)
-    return pts.join(c, ["_row", "_col"], "left").withColumn(out_col, v).drop("_row", "_col", "_value")
+    named = (Tiles(cells.blocks.withColumnRenamed("value", "_value"), cells.size) if isinstance(cells, Tiles)
+             else cells.withColumnRenamed("value", "_value"))
+    return _cell_values(pts, named, ["_value"]).withColumn(out_col, v).drop("_value")
 
 
 # ---- J10 ----------------------------------------------------------------------
-def sample_dem(df: DataFrame, terrain: DataFrame, meta: RasterMeta, *, x_col: str = "longitude",
+def sample_dem(df: DataFrame, terrain: DataFrame | Tiles, meta: RasterMeta, *, x_col: str = "longitude",
                y_col: str = "latitude", id_col: str = "fire_id",
                value_cols=("elevation", "slope_degrees", "aspect_degrees"), crs: str = "EPSG:4326") -> DataFrame:
     """Terrain attributes at each point: cell = half-even rounded grid offset; outside -> NULL.
@@ -224,14 +291,11 @@ def sample_dem(df: DataFrame, terrain: DataFrame, meta: RasterMeta, *, x_col: st
     row = F.bround((y - F.lit(meta.y0)) / F.lit(meta.dy), 0).cast("bigint")
     inside = (row >= 0) & (row < meta.nrows) & (col >= 0) & (col < meta.ncols)
     pts = df.select(id_col, F.when(inside, row).alias("_row"), F.when(inside, col).alias("_col"))
-    t = terrain.select(F.col("row").cast("bigint").alias("_row"), F.col("col").cast("bigint").alias("_col"),
-                       *[F.col(c) for c in value_cols])
-    return pts.join(t, ["_row", "_col"], "left").select(id_col, *value_cols)
+    return _cell_values(pts, terrain, value_cols).select(id_col, *value_cols)
 
 
 # ---- X23 ----------------------------------------------------------------------
 _OFFSETS = [(dr, dc) for dr in (-1, 0, 1) for dc in (-1, 0, 1)]
-TILE = 64
 
 
 def terrain_attributes(dem: DataFrame, res_x: float, res_y: float, slope_units: str = "degrees",

@@ -544,7 +544,7 @@ def q_terrain_slope(spark, d):
                     r9("aspect_degrees", 6).alias("aspect_degrees"))
 
 
-@query("dem_sample", f"""
+_DEM_SAMPLE = f"""
 SELECT p.fire_id, t.elevation, t.slope_degrees, t.aspect_degrees FROM (
   SELECT f.fire_id,
     CASE WHEN r >= 0 AND r < m.nrows AND c >= 0 AND c < {D.DEM_NCOLS} THEN r END AS r2,
@@ -554,7 +554,10 @@ SELECT p.fire_id, t.elevation, t.slope_degrees, t.aspect_degrees FROM (
        LATERAL (SELECT CAST(round_even((f.latitude - {D.DEM_Y0}::DOUBLE) / m.dy, 0) AS BIGINT) AS r,
                        CAST(round_even((f.longitude - {D.DEM_X0}::DOUBLE) / {D.DEM_DX}::DOUBLE, 0) AS BIGINT) AS c) rc
 ) p LEFT JOIN ({_TERRAIN}) t ON t."row" = p.r2 AND t.col = p.c2
-""", ["fires", "dem_raster"])
+"""
+
+
+@query("dem_sample", _DEM_SAMPLE, ["fires", "dem_raster"])
 def q_dem_sample(spark, d):
     t, meta = dem_terrain(spark, d)
     t = t.select("row", "col", "elevation", r9("slope_degrees", 6).alias("slope_degrees"),
@@ -1208,6 +1211,29 @@ def q_raster_file(spark, d):
     return s.select("fire_id", "fuel_code", X.fuel_code_label("fuel_code").alias("initial_fuel"))
 
 
+@query("raster_fuel_tiles", _FUEL_SQL, ["fires", "fuel_raster", "fuel_codes"])
+def q_raster_fuel_tiles(spark, d):
+    """S11 + J9 + X9: the raster stored as blocks of 64 x 64 cells, points sampled block by block."""
+    cells, m = fuel_meta(spark, d)
+    folder = _folder(spark, "tiles")
+    files.write_tiles(geo.tile_raster(cells), m, folder)
+    tiles, meta = files.read_tiles(spark, folder)
+    s = geo.sample_raster(fires(spark, d).select("fire_id", "longitude", "latitude"), tiles, meta, out_col="fuel_code")
+    return s.select("fire_id", "fuel_code", X.fuel_code_label("fuel_code").alias("initial_fuel"))
+
+
+@query("dem_sample_tiles", _DEM_SAMPLE, ["fires", "dem_raster"])
+def q_dem_sample_tiles(spark, d):
+    """X23 + S11 + J10: terrain attributes stored as blocks with an array per attribute, points sampled from them."""
+    t, m = dem_terrain(spark, d)
+    folder = _folder(spark, "terrain")
+    names = ("elevation", "slope_degrees", "aspect_degrees")
+    files.write_tiles(geo.tile_raster(t.select("row", "col", "elevation", *[r9(c, 6).alias(c) for c in names[1:]]), names, 32),
+                      m, folder)
+    tiles, meta = files.read_tiles(spark, folder)
+    return geo.sample_dem(fires(spark, d), tiles, meta)
+
+
 # ================================================================ C2 / C3 / C4 / C5
 @query("canonical_names", """
 SELECT fire_id, dispatch_id AS id_despacho, zone, glosa, file_source FROM dispatches""", ["dispatches"])

@@ -193,14 +193,37 @@ def read_polygons(spark: SparkSession, path: str, fmt: str = "parquet", area_col
     return df.select(F.col(area_col).alias("area"), "ring", *holes)
 
 
+def _raster_meta(spark: SparkSession, path: str):
+    """``RasterMeta`` of a one-row JSON record, and the record."""
+    from brasa.operators.geo import RasterMeta
+    m = spark.read.json(path).first().asDict()          # one metadata record
+    return RasterMeta(float(m["x0"]), float(m["dx"]), float(m["y0"]), float(m["dy"]), int(m["nrows"]),
+                      int(m["ncols"]), None if m.get("nodata") is None else float(m["nodata"]),
+                      m.get("crs") or "EPSG:4326"), m
+
+
 def read_raster(spark: SparkSession, cells_path: str, meta_path: str):
     """Cell table ``(row, col, value)`` + one-row JSON georeferencing record
     (``x0, dx, y0, dy, nrows, ncols, nodata, crs``) -> ``(cells, RasterMeta)``."""
-    from brasa.operators.geo import RasterMeta
-    m = spark.read.json(meta_path).first().asDict()          # one metadata record
-    meta = RasterMeta(float(m["x0"]), float(m["dx"]), float(m["y0"]), float(m["dy"]), int(m["nrows"]),
-                      int(m["ncols"]), None if m.get("nodata") is None else float(m["nodata"]),
-                      m.get("crs") or "EPSG:4326")
+    meta, _ = _raster_meta(spark, meta_path)
     cells = spark.read.parquet(cells_path).select(F.col("row").cast("bigint"), F.col("col").cast("bigint"),
                                                   F.col("value").cast("double"))
     return cells, meta
+
+
+def write_tiles(tiles, meta, path: str) -> None:
+    """Blocks of a raster as parquet and its georeferencing record as JSON, in one folder."""
+    tiles.blocks.write.mode("overwrite").parquet(f"{path}/blocks")
+    record = {c: getattr(meta, c) for c in ("x0", "dx", "y0", "dy", "nrows", "ncols", "nodata", "crs")}
+    spark = tiles.blocks.sparkSession
+    (spark.range(1).select(*[F.lit(v).alias(c) for c, v in record.items()], F.lit(tiles.size).alias("tile"),
+                           F.array(*map(F.lit, tiles.columns)).alias("columns"))
+          .write.mode("overwrite").json(f"{path}/georef"))
+
+
+def read_tiles(spark: SparkSession, path: str):
+    """``(Tiles, RasterMeta)`` as written by ``write_tiles``."""
+    from brasa.operators.geo import Tiles
+    meta, m = _raster_meta(spark, f"{path}/georef")
+    cols = tuple(m["columns"])
+    return Tiles(spark.read.parquet(f"{path}/blocks").select("tile_row", "tile_col", *cols), int(m["tile"]), cols), meta
