@@ -485,15 +485,18 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     blocks = cut_lineage(docs.mapInArrow(make_blocks, BLOCKS))
     size = blocks.agg(F.sum(F.octet_length("data"))).first()[0] or 0
     bits = max(0, math.ceil(math.log2(max(1, 3 * size / BUCKET_BYTES))))
+    # numbers of partitions that follow the data: a task holds about one bucket, or BUCKET_BYTES of blocks, at every size
+    buckets = lambda df: df.repartition(1 << bits, "bucket")
+    by_block = lambda df: df.repartition(max(1, math.ceil(size / BUCKET_BYTES)), "block")
     sent = blocks.mapInPandas(_send_anchors(bits), "bucket long, block long, part binary, several binary")
-    answers = sent.groupBy("bucket").applyInPandas(_repeated, "block long, bucket long, bits binary, n int")
-    answers = cut_lineage(answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias("answers")))
-    contexts = blocks.join(answers, "block").mapInPandas(
+    answers = buckets(sent).groupBy("bucket").applyInPandas(_repeated, "block long, bucket long, bits binary, n int")
+    answers = cut_lineage(by_block(answers).groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias("answers")))
+    contexts = by_block(blocks).join(by_block(answers), "block").mapInPandas(
         _send_contexts(bits), "bucket long, block long, ids binary, anchors binary, lengths binary, data binary")
-    lows = contexts.groupBy("bucket").applyInPandas(_sorted_bucket, "block long, bucket long, low binary")
-    lows = cut_lineage(lows.groupBy("block").agg(F.collect_list(F.struct("bucket", "low")).alias("lows"))
-                       .join(answers, "block"))
-    return blocks.join(lows, "block", "left").mapInPandas(
+    lows = buckets(contexts).groupBy("bucket").applyInPandas(_sorted_bucket, "block long, bucket long, low binary")
+    lows = cut_lineage(by_block(lows).groupBy("block").agg(F.collect_list(F.struct("bucket", "low")).alias("lows"))
+                       .join(by_block(answers), "block"))
+    return by_block(blocks).join(by_block(lows), "block", "left").mapInPandas(
         _marked(bits), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<array<long>>")
 
 
