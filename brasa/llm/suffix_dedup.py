@@ -277,7 +277,8 @@ class Block:
             turn = np.concatenate(([True], at[1:] != at[:-1], [True]))
             s = np.flatnonzero(ok[1:-1] & (turn[:-1] | ~ok[:-2]))
             e = np.flatnonzero(ok[1:-1] & (turn[1:] | ~ok[2:])) + 1
-            parts.append((a + s, a + e, h[at[s]]))
+            # mixed once more (one to one): smallest hashes crowd at the low end, where a few buckets would hold them all
+            parts.append((a + s, a + e, _mix(h[at[s]])))
         s, e, g = (np.concatenate(x) for x in zip(*parts))
         order = np.argsort(g, kind="stable")
         s, e, g = s[order], e[order], g[order]
