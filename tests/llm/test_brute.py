@@ -79,6 +79,16 @@ def test_repeats_of_edge_rows(spark, edges):
     assert suffix_dedup.remove_repeats(edges.limit(0)).count() == 0
 
 
+def test_anchors_fill_all_buckets():
+    """Minimizers are small hashes; the bucket numbers made of them are not."""
+    rng = random.Random(11)
+    [block] = [suffix_dedup.Block(r) for r in pack([(1, "".join(rng.choice("abcdefgh ") for _ in range(60_000)))])]
+    g = block.runs()[2]
+    assert (np.diff(g.astype(object)) >= 0).all()
+    held = [b - a for _, a, b in suffix_dedup._by_bucket(g, 5)]
+    assert len(held) == 32 and max(held) < 1.5 * sum(held) / 32
+
+
 def test_mergesort_orders_suffixes():
     rng = np.random.default_rng(5)
     data = rng.integers(97, 99, 90).astype(np.uint8)
