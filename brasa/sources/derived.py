@@ -29,17 +29,14 @@ FUEL_X0, FUEL_DX, FUEL_Y0, FUEL_HEIGHT, FUEL_NCOLS, FUEL_NODATA = -73.5, 0.035,
 DEM_X0, DEM_DX, DEM_Y0, DEM_HEIGHT, DEM_NCOLS = -74.05, 0.1025, -33.9, 6.2, 40
 
 
-_TABLES: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan of one benchmark table; the (immutable) DataFrame is reused per session
-    so the file listing and footer read happen once."""
-    key = (id(spark), sf_dir, name)
-    df = _TABLES.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return df
+    so the file listing and footer read happen once. The session holds its own
+    tables, so they go with it."""
+    tables = spark.__dict__.setdefault("_brasa_tables", {})
+    if (sf_dir, name) not in tables:
+        tables[sf_dir, name] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return tables[sf_dir, name]
 
 
 def _pick(values, idx):
