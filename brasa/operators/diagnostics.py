@@ -50,7 +50,8 @@ def residual_diagnostics(df: DataFrame, cols: Sequence[str], y_true: str, y_pred
         F.avg("_y").alias("_ymean"), F.avg("_yh").alias("_yhmean"))
     cuts = quantiles_of(d, g, {"_qabs": ("_ar", cutoff), "VaRUnder": ("_r", cutoff), "VaROver": ("_r", 1 - cutoff)}).drop("n")
     stats = join_groups(p1, cuts, g, "left")
-    j = join_groups(d, stats.select(*g, "_ybar", "_qabs", "VaRUnder", "VaROver"), g)
+    # every row has its group: a left join, so that only the table of groups can be broadcast
+    j = join_groups(d, stats.select(*g, "_ybar", "_qabs", "VaRUnder", "VaROver"), g, "left")
     r, ar = F.col("_r"), F.col("_ar")
     p2 = j.groupBy(*g).agg(
         F.avg(F.when(r.isNotNull(), F.abs(F.col("_y") - F.col("_ybar")))).alias("_mae_mean"),

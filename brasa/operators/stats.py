@@ -82,31 +82,34 @@ def quantiles_of(df: DataFrame, group_cols: Sequence[str], wanted: Mapping[str,
     brackets = F.array(*[F.when(F.col("_c") == at[k], F.struct(
         F.lit(k).alias("_k"), F.lit(float(p)).alias("_p"), F.when(whole, F.lit(float("-inf"))).otherwise(F.col("_b")[k]).alias("_lo"),
         F.when(whole, F.lit(float("inf"))).otherwise(F.col("_b")[len(names) + k]).alias("_hi"))) for k, p in enumerate(probs)])
-    stats = stats.select(*g, "_c", "_n", F.filter(brackets, lambda b: b.isNotNull()).alias("_b"))
-    # stats has one row per group and column; AQE broadcasts it by measured size.  A value below a bracket counts as NULL.
+    # one row per group and column, written: joins meet it by its measured size, the sketch runs once.  The values are
+    # the left side of left joins (each has its group), so they are never the side that goes through the driver.
+    stats = cut_lineage(stats.select(*g, "_c", "_n", F.filter(brackets, lambda b: b.isNotNull()).alias("_b")))
+    # a value below a bracket counts as NULL
     met = F.transform(F.filter("_b", lambda b: F.col("_v") <= b["_hi"]), lambda b: F.struct(
         b["_k"].alias("_k"), F.when(F.col("_v") >= b["_lo"], F.col("_v")).alias("_x")))
-    counted = cut_lineage(join_groups(v, F.broadcast(stats) if ungrouped else stats, g + ["_c"])
+    counted = cut_lineage(join_groups(v, F.broadcast(stats) if ungrouped else stats, g + ["_c"], "left")
                           .select(*g, F.inline(met)).groupBy(*g, "_k", "_x").agg(F.count(F.lit(1)).alias("_cnt")))
 
     pos = F.col("_p") * (F.col("_n") - 1).cast("double")
     target = stats.select(*g, "_n", F.inline("_b")).withColumn("_pos", pos)
     below = counted.where("_x is null").select(*g, "_k", F.col("_cnt").alias("_below"))
-    target = join_groups(target, below, g + ["_k"], "left").select(
+    target = cut_lineage(join_groups(target, below, g + ["_k"], "left").select(
         *g, "_k", "_n", "_lo", "_hi", "_pos", F.floor("_pos").alias("_rlo"), F.ceil("_pos").alias("_rhi"),
-        F.coalesce("_below", F.lit(0)).alias("_below"))
+        F.coalesce("_below", F.lit(0)).alias("_below")))
     share = (F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
     narrow = (F.col("_lo") == float("-inf")) | (F.col("_hi") <= F.col("_lo")) | F.isnan(share)
-    binned = join_groups(counted.where("_x is not null"), target, g + ["_k"]).withColumn(
+    binned = join_groups(counted.where("_x is not null"), target, g + ["_k"], "left").withColumn(
         "_bin", F.when(narrow, 0).otherwise(F.least(F.lit(BINS - 1), F.floor(share * BINS).cast("int"))))
     # at most BINS rows in a window, then the values of the bins that hold a rank
     order = Window.partitionBy(*g, "_k").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = binned.groupBy(*g, "_k", "_bin").agg(F.sum("_cnt").alias("_size"), F.first("_below").alias("_below"),
                                                 F.first("_rlo").alias("_rlo"), F.first("_rhi").alias("_rhi"))
     start = F.col("_below") + F.coalesce(F.sum("_size").over(order), F.lit(0))
-    bins = bins.withColumn("_start", start).where((F.col("_start") <= F.col("_rhi")) & (F.col("_start") + F.col("_size") > F.col("_rlo")))
+    bins = cut_lineage(bins.withColumn("_start", start).where(
+        (F.col("_start") <= F.col("_rhi")) & (F.col("_start") + F.col("_size") > F.col("_rlo"))).select(*g, "_k", "_bin", "_start"))
     inside = Window.partitionBy(*g, "_k", "_bin").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = join_groups(binned.drop("_below"), bins.select(*g, "_k", "_bin", "_start"), g + ["_k", "_bin"]).withColumn(
+    ranked = join_groups(binned.drop("_below"), bins, g + ["_k", "_bin"]).withColumn(
         "_end", F.col("_start") + F.sum("_cnt").over(inside))
     holds = lambda r: (F.col("_end") - F.col("_cnt") <= F.col(r)) & (F.col(r) < F.col("_end"))
     picked = ranked.groupBy(*g, "_k", "_pos", "_rlo", "_n").agg(

@@ -99,6 +99,10 @@ def feature_engineering(df: DataFrame, *, topo: DataFrame | None, weather: DataF
         out = X.add_weather_features(out)
     if not skip_target:
         out = X.add_surface_radius(X.add_elapsed_minutes(out))
+        wanted = {*include}
+        if wanted & {*out.columns}:   # columns that the result leaves out are neither joined nor written
+            wanted |= {"initial_surface_m2", "initial_radius_m", "dt_minutes"}
+            out = out.select(*[c for c in out.columns if c in wanted])
         if checkpoint:
             out = cut_lineage(out)
         out = X.trim_upper_outliers(out, "initial_surface_m2", 0.99)
