@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from brasa.operators import diagnostics as DG, stats
+from brasa.functions.lookups import COVARIATES, COVARIATES_CATEGORICAL
+from brasa.operators import diagnostics as DG, model as M, stats
 from brasa.plans import pipelines, queries as Q
 
 
@@ -90,3 +91,21 @@ def test_feature_table_writes_only_columns_it_needs(spark, monkeypatch):
     assert out.count() == 297 and out.columns == [c for c in out.columns if c in pipelines.FEATURE_COLUMNS]
     every = pipelines.feature_engineering(fires, topo=topo, include=())
     assert {"start_text", "elevation", "propagation_speed_kmh"} <= {*every.columns}
+
+
+def test_fits_of_a_small_zone_take_one_task(spark, monkeypatch):
+    rows = spark.range(400, numPartitions=4).select(
+        F.lit("Costa").alias("zone_WE"), F.lit("1").alias("zone_NS"), (F.col("id") % 7 * 1.0).alias("propagation_speed_mm"),
+        F.when(F.col("id") % 5 == 0, "test").otherwise("train+valid").alias("split2"),
+        F.when(F.col("id") % 5 == 0, "test").when(F.col("id") % 5 == 1, "valid").otherwise("train").alias("split3"),
+        *[(F.concat(F.lit(c), F.col("id") % 2) if c in COVARIATES_CATEGORICAL else (F.col("id") % 11 * 1.0)).alias(c)
+          for c in COVARIATES])
+    seen, cut = [], M.cut_lineage
+    monkeypatch.setattr(M, "cut_lineage", lambda df, **kw: (seen.append(df), cut(df, **kw))[1])
+    for per_task, tasks in ((50_000, 1), (150, 3)):        # more rows, more tasks
+        monkeypatch.setattr(M, "ROWS_PER_TASK", per_task, raising=False)
+        seen.clear()
+        models = M.train_zone_models(rows, n_trials=1, max_iter=1)
+        vectors, = [df for df in seen if "_features" in df.columns]
+        assert vectors.rdd.getNumPartitions() == tasks and vectors.count() == 400
+        assert M.add_zone_predictions(rows, models).where("prediction is not null").count() == 400
